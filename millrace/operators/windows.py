@@ -119,7 +119,10 @@ def prefix_scan(
         Column.__and__, [local[b].eqNullSafe(carried[f"__k{i}"]) for i, b in enumerate(by)]
     )
     merged = local.join(F.broadcast(carried), cond, "inner").withColumns(
-        {m.name: m.merge(F.col(f"__{m.name}"), F.col(m.name)) for m in measures}
+        {
+            m.name: m.merge(F.col(f"__{m.name}"), F.col(m.name)).cast(local.schema[m.name].dataType)
+            for m in measures
+        }
     )
     columns = [*df.columns, *[m.name for m in measures]]
     return merged.select(*columns).unionByName(running(small, by).select(*columns))
@@ -235,9 +238,52 @@ def mark_occurrences(
     return out.withColumn(name, F.col("occurrence") == 1)
 
 
-def lead_value(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], column: str, into: str) -> DataFrame:
-    """Value of the next row of the group."""
-    return df.withColumn(into, F.lead(column).over(Window.partitionBy(*by).orderBy(*_order(order))))
+def lead_value(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    column: str,
+    into: str,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Value of the next row of the group; ``order`` must be total.
+
+    Oversized groups are cut into blocks; the last row of a block takes the
+    first value of the group's next block.
+    """
+    keys = _order(order)
+    hot = oversized_groups(df, by, max_group_rows)
+
+    def plain(frame: DataFrame, group: Sequence[str]) -> DataFrame:
+        return frame.withColumn(into, F.lead(column).over(Window.partitionBy(*group).orderBy(*keys)))
+
+    if not hot:
+        return plain(df, by)
+    big, small = _split(df, by, hot)
+    n = sum(math.ceil(h[-1] / max_group_rows) for h in hot) * 2
+    group = [*by, "__block"]
+    blocks = _blocks(big, by, keys, n)
+    firsts = pick_first(blocks, group, keys).select(*group, F.struct(F.col(column).alias("v")).alias("__first"))
+    w = Window.partitionBy(*by).orderBy("__block")
+    follow = firsts.select(
+        *[F.col(b).alias(f"__k{i}") for i, b in enumerate(by)],
+        F.col("__block").alias("__b"),
+        F.lead("__first").over(w).alias("__next"),
+    )
+    local = blocks.withColumns(
+        {
+            into: F.lead(column).over(Window.partitionBy(*group).orderBy(*keys)),
+            "__last": F.lead(F.lit(1)).over(Window.partitionBy(*group).orderBy(*keys)).isNull(),
+        }
+    )
+    cond = (local["__block"] == follow["__b"]) & reduce(
+        Column.__and__, [local[b].eqNullSafe(follow[f"__k{i}"]) for i, b in enumerate(by)]
+    )
+    joined = local.join(F.broadcast(follow), cond).withColumn(
+        into, F.when(F.col("__last"), F.col("__next.v")).otherwise(F.col(into))
+    )
+    columns = [*df.columns, into]
+    return joined.select(*columns).unionByName(plain(small, by).select(*columns))
 
 
 def pick_first(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], cols: Sequence[str] | None = None) -> DataFrame:

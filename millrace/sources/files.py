@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import codecs
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,14 +147,14 @@ class RejectLimitExceeded(RuntimeError):
 def enforce_reject_limit(rejects: DataFrame, max_rejects: int = 0, path: str | None = None) -> int:
     """Write the rejected lines, then fail when there are too many. Runs a job.
 
-    The count is observed while the lines are written, so the input is read once.
+    Each call writes a folder of its own (``load_id`` is a partition column for
+    readers), and the count comes from the files just written.
     """
     if path:
-        seen = Observation("rejects")
-        rejects.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-        n = seen.get["n"]
-    else:
-        n = rejects.count()
+        folder = f"{path}/load_id={uuid.uuid4()}"
+        rejects.write.parquet(folder)
+        rejects = rejects.sparkSession.read.schema(rejects.schema).parquet(folder)
+    n = rejects.count()
     if n > max_rejects:
         raise RejectLimitExceeded(f"{n} rejected lines, {max_rejects} allowed")
     return n
