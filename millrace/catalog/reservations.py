@@ -24,7 +24,7 @@ def message_text(t: Tables) -> DataFrame:
         return c.cast("string")
 
     def shifted(i: Column, extra: int) -> Column:
-        return F.date_format(F.date_add(day, (i * 30 + extra).cast("int")), "yyyy-MM-dd")
+        return text(F.date_add(day, (i * 30 + extra).cast("int")))
 
     first = F.struct(text(key).alias("reservationCode"), F.lit("1").alias("reservationInstance"))
     second = F.struct(F.concat(F.lit("X"), text(key)).alias("reservationCode"), F.lit("2").alias("reservationInstance"))
@@ -51,9 +51,9 @@ def message_text(t: Tables) -> DataFrame:
     name = F.struct(F.when(key % 17 != 0, F.concat(F.lit("N"), text(cust))).alias("givenName"))
     guest = F.array(F.struct(F.struct(F.array(F.struct(F.array(name).alias("name"))).alias("customer")).alias("profiles")))
     message = F.struct(
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("lastupdatetime"),
+        text(F.col("o_orderdate")).alias("lastupdatetime"),
         F.struct(
-            F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:00:00")).alias("creationDateTime"),
+            F.concat(text(day), F.lit("T10:00:00")).alias("creationDateTime"),
             F.concat(F.lit("U"), text(cust)).alias("creatorID"),
             F.when(key % 2 == 0, F.array(first, second)).otherwise(F.array(first)).alias("reservationConfirmations"),
         ).alias("reservation"),

@@ -27,7 +27,7 @@ def nth_word(column: str | Column, position: int, sep: str = " ") -> Column:
 
 def clean_text(column: str | Column) -> Column:
     """Drop punctuation and digits, then lower-case."""
-    return F.lower(F.regexp_replace(F.regexp_replace(column, ASCII_PUNCTUATION, ""), DIGITS, ""))
+    return F.lower(F.regexp_replace(column, f"{ASCII_PUNCTUATION}|{DIGITS}", ""))
 
 
 def text_profile(df: DataFrame, column: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Lookups, star joins, anti and semi joins.
 
-No join is hinted. Sides that Spark knows to be under
-``spark.sql.autoBroadcastJoinThreshold`` are broadcast, anything larger is
-shuffled and, when one key is hot, split by AQE. A forced broadcast would turn
-a dimension that has grown into a failed job.
+Sides read from files are not hinted: Spark knows their size, broadcasts them
+under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles anything larger,
+splitting hot keys at run time. For sides that are themselves joins or
+aggregates Spark only has a guess, usually far too high; ``broadcast_if_small``
+counts those and hints them when they are small. A blind hint would turn a
+dimension that has grown into a failed job.
 """
 
 from __future__ import annotations
@@ -20,6 +22,17 @@ def _all(conds: Sequence[Column]) -> Column:
     return reduce(Column.__and__, conds)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a narrow side of at most ``max_rows`` rows, else leave it to Spark.
+
+    Runs a job: the side is counted.
+    """
+    return F.broadcast(side) if side.count() <= max_rows else side
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -37,6 +50,7 @@ def lookup(
     if extra is not None:
         dim = dim.filter(extra)
     keys = {f"__{i}_{d}": d for i, d in enumerate(on.values())}
+    # A select keeps a broadcast hint of the dimension.
     slim = dim.select(
         *[F.col(d).alias(k) for k, d in keys.items()], *[F.col(old).alias(new) for new, old in cols.items()]
     )
@@ -94,6 +108,22 @@ def double_lookup(
     return keep(keep(df, first), second)
 
 
+def double_match(
+    df: DataFrame,
+    dim: DataFrame,
+    first: Mapping[str, str],
+    second: Mapping[str, str],
+    active: Column,
+    into: str,
+) -> DataFrame:
+    """Like ``double_lookup``, but marks the rows in a boolean column and keeps all of them."""
+    live = dim.filter(active)
+    for i, on in enumerate((first, second)):
+        side = live.select(*on.values()).distinct().withColumn("__hit", F.lit(True))
+        df = lookup(df, side, on, {f"__hit{i}": "__hit"}, "left")
+    return df.withColumn(into, F.col("__hit0").isNotNull() & F.col("__hit1").isNotNull()).drop("__hit0", "__hit1")
+
+
 def convert_currency(
     df: DataFrame,
     rates: DataFrame,
@@ -106,7 +136,7 @@ def convert_currency(
     The rate is the one of the booking date and currency. ``df`` has
     ``create_date`` and ``currency_code``; see ``fx_table`` for the dimensions.
     """
-    fx = fx_table(rates, dates, currencies)
+    fx = broadcast_if_small(fx_table(rates, dates, currencies))
     cond = (df["create_date"] == fx["creation_date"]) & (df["currency_code"] == fx["currency_iso_cd"])
     return df.join(fx, cond, how).drop("creation_date", "currency_iso_cd")
 
@@ -129,8 +159,22 @@ def fx_table(rates: DataFrame, dates: DataFrame, currencies: DataFrame) -> DataF
 
 
 def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Natural-key join of derived values back to their parent rows; keys kept once."""
-    return parent.join(child, list(keys), how)
+    """Join values grouped by key back to the rows of that key; keys kept once.
+
+    A grouped side is already partitioned by the key, so Spark would join it as
+    it is. AQE then cannot split a hot key of the parent side, because it only
+    does so between two shuffles. A hash of the key as an extra join column asks
+    for a partitioning of its own; the grouped side, one row per key, is
+    shuffled once more, and hot keys are split.
+    """
+    marked = child.select(*[F.col(c) if c not in keys else F.col(c).alias(f"__{c}") for c in child.columns])
+    marked = marked.withColumn("__hash", F.xxhash64(*[f"__{k}" for k in keys]))
+    cond = _all([F.xxhash64(*[parent[k] for k in keys]) == marked["__hash"], *[parent[k] == marked[f"__{k}"] for k in keys]])
+    joined = parent.join(marked, cond, how).drop("__hash", *[f"__{k}" for k in keys])
+    if how in ("left_semi", "left_anti"):
+        return joined
+    rest = [c for c in joined.columns if c not in keys]
+    return joined.select(*keys, *rest)
 
 
 # --- anti and semi joins ----------------------------------------------------------
@@ -195,7 +239,7 @@ def attribute_lookup(
         .groupBy(F.col(attr_key).alias("__key"))
         .agg(*[F.min(F.when(F.col(name) == n, F.col(value))).alias(c) for c, n in columns.items()])
     )
-    return df.join(wide, df[key] == wide["__key"], "left").drop("__key")
+    return join_back(df, wide.withColumnRenamed("__key", key), [key], "left")
 
 
 def gate(df: DataFrame, report: DataFrame) -> DataFrame:

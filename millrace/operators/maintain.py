@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import surrogate_key
-from millrace.operators.joins import anti_missing, double_lookup
+from millrace.operators.joins import double_lookup, join_back
 from millrace.operators.windows import pick_first
 
 # The operations of a change log, weakest first. On equal sequence
@@ -34,7 +34,7 @@ def upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str], ts: dt.dat
     ``quality.NoNulls`` on the keys first to refuse duplicate or missing keys.
     """
     stamp = ts if isinstance(ts, Column) else F.lit(ts)
-    kept = anti_missing(target, staged.select(*keys).distinct(), {k: k for k in keys})
+    kept = join_back(target, staged.select(*keys).distinct(), keys, "left_anti")
     fresh = staged.withColumn(stamp_col, stamp.cast(target.schema[stamp_col].dataType))
     return kept.unionByName(fresh.select(*target.columns))
 
@@ -64,11 +64,9 @@ def net_change(
 
 def set_flag(target: DataFrame, matched: DataFrame, key: str, flag: str) -> DataFrame:
     """Set ``flag`` on rows whose key is in ``matched``; nothing else changes."""
-    hits = matched.select(F.col(key).alias("__hit")).distinct()
-    joined = target.join(hits, target[key] == hits["__hit"], "left")
-    return joined.withColumn(flag, F.when(F.col("__hit").isNotNull(), F.lit(True)).otherwise(F.col(flag))).select(
-        *target.columns
-    )
+    hits = matched.select(key).distinct().withColumn("__hit", F.lit(True))
+    joined = join_back(target, hits, [key], "left")
+    return joined.withColumn(flag, F.coalesce("__hit", F.col(flag))).select(*target.columns)
 
 
 def qualify(

@@ -25,16 +25,25 @@ ENGLISH_STOP_WORDS = (
 ).split()
 
 
+def _pieces(column: str | Column) -> Column:
+    return F.split(clean_text(column), r"\s+")
+
+
 def tokens(column: str | Column, stop: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
-    """Words of a text: no punctuation, no digits, lower case, no stop words."""
-    words = F.split(F.trim(F.regexp_replace(clean_text(column), r"\s+", " ")), " ")
-    return F.filter(words, lambda w: (w != "") & ~w.isin(*stop))
+    """Array of the words of a text: no punctuation, no digits, lower case, no stop words."""
+    dropped = ["", *stop]
+    return F.filter(_pieces(column), lambda w: ~w.isin(*dropped))
 
 
 def bag_of_words(df: DataFrame, doc: str, text: str, stop: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
-    """(doc, term, n). The words of one text are counted before the shuffle."""
+    """(doc, term, n). The words of one text are counted before the shuffle.
+
+    Words are filtered after the explode, where the test is compiled code; inside
+    an array function it would be interpreted.
+    """
     return (
-        df.select(doc, F.explode(tokens(text, stop)).alias("term"))
+        df.select(doc, F.explode(_pieces(text)).alias("term"))
+        .filter(~F.col("term").isin("", *stop))
         .groupBy(doc, "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -46,7 +55,7 @@ def has_any_term(df: DataFrame, text: str, terms: Sequence[str], exactly_once: b
     Decided inside the row, so no shuffle. ``exactly_once`` keeps only rows in
     which one of the terms occurs a single time.
     """
-    words = tokens(text, ())
+    words = _pieces(text)
     if not exactly_once:
         return df.filter(F.arrays_overlap(words, F.array(*[F.lit(t) for t in terms])))
     once = F.exists(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.keys import surrogate_key
 from millrace.operators.aggregates import attribute_amounts
+from millrace.operators.joins import double_match
 from millrace.operators.maintain import qualify, set_flag
 from millrace.operators.quality import Check, NotInTarget, SumsAtMost, SumsTo, Unique, check_report
 from millrace.operators.windows import pick_first
@@ -116,6 +117,24 @@ def daily_checks(target: DataFrame | None = None) -> list[Check]:
     return checks
 
 
+def flag_qualified(match: DataFrame, agencies: DataFrame, prefixes: Sequence[str] = PREFIXES) -> DataFrame:
+    """Match table with the flag set on its qualified rows, in one pass.
+
+    Gives what ``flag_daily`` gives when ``atrb_key`` is unique, which is one of
+    the checks, without computing the match table a second time.
+    """
+    marked = double_match(
+        match,
+        agencies,
+        {"book_id": "agency_id"},
+        {"atrb_id": "agency_id", "camp_source_abrv_txt": "source_txt"},
+        F.col("active_ind") == "A",
+        "__qualified",
+    )
+    hit = F.col("__qualified") & F.substring("camp_source_abrv_txt", 1, 3).isin(*prefixes)
+    return marked.withColumn("flag", F.col("flag") | hit).select(*match.columns)
+
+
 def flag_daily(match: DataFrame, daily: DataFrame) -> DataFrame:
     """Match table with the flag set on rows that went into the daily table."""
     return set_flag(match, daily, "atrb_key", "flag")
@@ -139,5 +158,5 @@ def attribution(stays: DataFrame, allocations: DataFrame, agencies: DataFrame, l
         check_report(match, match_checks(), "match"),
         daily,
         check_report(daily, daily_checks(), "daily"),
-        flag_daily(match, daily),
+        flag_qualified(match, agencies),
     )

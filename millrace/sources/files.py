@@ -40,16 +40,19 @@ def parse_json(df: DataFrame, column: str, schema: str | T.StructType, into: str
     Works on batch and streaming frames alike. Blank lines count as corrupt.
     """
     schema = as_struct(schema)
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
-    parsed = df.withColumn(
-        into,
-        F.from_json(column, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}),
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField("__corrupt", T.StringType())])
+    raw = F.from_json(column, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
+    # A filter on a projected column is pushed below the projection together with
+    # the expression, which would parse every text again for each use. Filters
+    # do not pass a generator, so a one-element array keeps it at one parse.
+    parsed = df.select("*", F.explode(F.array(raw)).alias("__raw"))
+    good = F.struct(*[F.col("__raw").getField(f.name).alias(f.name) for f in schema.fields])
+    is_bad = F.col("__raw").isNull() | F.col("__raw.__corrupt").isNotNull()
+    return parsed.select(
+        *[c for c in df.columns if c not in (into, corrupt)],
+        F.when(is_bad, F.coalesce(F.col(column), F.lit(""))).alias(corrupt),
+        F.when(~is_bad, good).alias(into),
     )
-    bad = F.when(
-        F.col(into).isNull() | F.col(f"{into}.{corrupt}").isNotNull(), F.coalesce(F.col(column), F.lit(""))
-    )
-    good = F.when(bad.isNull(), F.struct(*[F.col(into).getField(f.name).alias(f.name) for f in schema.fields]))
-    return parsed.withColumns({corrupt: bad, into: good})
 
 
 def quarantine(df: DataFrame, corrupt: str = CORRUPT) -> tuple[DataFrame, DataFrame]:

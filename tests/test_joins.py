@@ -109,3 +109,42 @@ def test_currency_join(spark, how, n):
     out = J.convert_currency(facts, rates, calendar(spark, "2024-01-01", "2024-01-31"), cur, how)
     assert out.count() == n
     assert out.filter("currency_code = 'EUR'").first().exch_per_us_dlr_rte == 1.25
+
+
+def test_hot_keys_are_split_when_joined_back(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(600000, numPartitions=16).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("p")
+        )
+        grouped = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        for how in ("inner", "left"):
+            out = J.join_back(rows, grouped, ["k"], how).agg(F.count(F.lit(1)), F.max("p"), F.sum("n"))
+            assert out.collect()[0][0] == 600000
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_checked_broadcast(spark):
+    small = J.broadcast_if_small(spark.range(10), 10)
+    large = J.broadcast_if_small(spark.range(11), 10)
+    assert "strategy=broadcast" in small._jdf.queryExecution().toString()
+    assert "strategy=broadcast" not in large._jdf.queryExecution().toString()
+
+
+def test_double_match_marks_and_keeps(spark):
+    rows = frame(spark, [(1, 2), (1, 3), (4, 2)], "a INT, b INT")
+    dim = frame(spark, [(1, "A"), (1, "A"), (2, "A")], "id INT, act STRING")
+    assert got(J.double_match(rows, dim, {"a": "id"}, {"b": "id"}, F.col("act") == "A", "m")) == [
+        (1, 2, True), (1, 3, False), (4, 2, False)
+    ]

@@ -115,3 +115,11 @@ def test_reload_is_seen_by_the_target_checks(spark):
     daily = P.qualified_rows(match, cat.agencies(t))
     got = {r.error_abv: r.row_cnt for r in Q.check_report(daily, P.daily_checks(daily.filter(F.lit(False))), "d").collect()}
     assert got["BOOKING_STAY_KEY_EXISTS"] == 0
+
+
+def test_flag_in_one_pass_equals_flag_by_join(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    a = P.attribution(cat.stays(t), cat.allocations(t), cat.agencies(t), TS)
+    joined = P.flag_daily(a.match, a.daily)
+    assert sorted(map(str, a.flagged.collect())) == sorted(map(str, joined.collect()))
+    assert a.flagged.filter("flag").count() == a.daily.count() > 0

@@ -64,7 +64,7 @@ def test_classifier(spark):
     df = spark.createDataFrame(rows, "id INT, words ARRAY<STRING>, label DOUBLE")
     train, test = C.split(df, "id", 0.75, 3)
     assert train.count() + test.count() == 80 and train.join(test, "id").count() == 0
-    pred = C.train_classifier(train, "words", "label", trees=5).transform(test)
+    pred = C.train_classifier(train, "words", "label", trees=5, n_features=16).transform(test)
     assert C.evaluate(pred, "label").first().accuracy == 1.0
     assert {(r.actual, r.predicted) for r in C.confusion(pred, "label").collect()} == {(0, 0), (1, 1)}
 
