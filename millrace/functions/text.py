@@ -8,10 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the 32 ASCII punctuation marks, as four character ranges.
-ASCII_PUNCTUATION = r"[!-/:-@\[-`{-~]"
-# Fixed value: every decimal digit of any script.
-DIGITS = r"\p{Nd}"
+# The 32 ASCII punctuation marks as four character ranges, and
+# the decimal digits of any script.
+NO_WORD = r"[!-/:-@\[-`{-~\p{Nd}]+"
 
 
 def blank(column: str | Column) -> Column:
@@ -27,7 +26,7 @@ def nth_word(column: str | Column, position: int, sep: str = " ") -> Column:
 
 def clean_text(column: str | Column) -> Column:
     """Drop punctuation and digits, then lower-case."""
-    return F.lower(F.regexp_replace(column, f"{ASCII_PUNCTUATION}|{DIGITS}", ""))
+    return F.lower(F.regexp_replace(column, NO_WORD, ""))
 
 
 def text_profile(df: DataFrame, column: str) -> DataFrame:
