@@ -78,7 +78,7 @@ def aggregate_count_by(t: Tables) -> DataFrame:
     return A.count_by(t.lineitem, ["l_suppkey", "l_returnflag"])
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY 1")
 def aggregate_value_counts(t: Tables) -> DataFrame:
     return A.value_counts(t.events, "event_type")
 

@@ -96,10 +96,10 @@ def source_fixed_width_slices(t: Tables) -> DataFrame:
     records = t.customer.select(fixed_record(RECORD).alias("record"))
     cut = records.select(*slice_record("record", [f.width for f in RECORD], ["k", "name", "segment", "n"]))
     return cut.select(
-        F.col("k").cast("bigint").alias("c_custkey"),
+        F.col("k").try_cast("bigint").alias("c_custkey"),
         F.rtrim("name", F.lit("-")).alias("name"),
         F.rtrim("segment").alias("segment"),
-        F.trim("n").cast("int").alias("nationkey"),
+        F.trim("n").try_cast("int").alias("nationkey"),
     )
 
 

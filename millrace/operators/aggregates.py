@@ -91,7 +91,7 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence[object] | None = No
     """Counts of ``a`` x ``b``: long form, or one column per value when ``values`` is given."""
     if values is None:
         return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
-    return df.groupBy(a).pivot(b, list(values)).count().na.fill(0)
+    return df.groupBy(a).pivot(b, list(values)).count().na.fill(0, [str(v) for v in values])
 
 
 def attribute_amounts(allocations: DataFrame, keys: Sequence[str], source: str, amount: str, key: str,

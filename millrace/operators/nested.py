@@ -22,12 +22,13 @@ def explode_aligned(df: DataFrame, cols: Mapping[str, str], keep_short: bool = T
     """Explode arrays side by side, matched by position.
 
     ``keep_short`` pads shorter arrays with NULL; otherwise rows stop at the
-    shortest array.
+    shortest array. A missing array is an empty one.
     """
-    arrays = list(cols.values())
-    zipped = F.arrays_zip(*[F.col(a).alias(f"v{i}") for i, a in enumerate(arrays)])
+    arrays = [F.coalesce(F.col(a), F.array().cast(df.schema[a].dataType)) for a in cols.values()]
+    zipped = F.arrays_zip(*[a.alias(f"v{i}") for i, a in enumerate(arrays)])
     if not keep_short:
-        zipped = F.slice(zipped, F.lit(1), F.least(*[F.size(a) for a in arrays]) if len(arrays) > 1 else F.size(arrays[0]))
+        sizes = [F.size(a) for a in arrays]
+        zipped = F.slice(zipped, F.lit(1), F.least(*sizes) if len(sizes) > 1 else sizes[0])
     base = df.select("*", F.posexplode(zipped).alias("__pos", "__z"))
     out = base.withColumns({new: F.col(f"__z.v{i}") for i, new in enumerate(cols)})
     if position:

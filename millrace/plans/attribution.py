@@ -24,8 +24,8 @@ PREFIXES = ("AFF", "PAI", "REF")
 
 
 def collapse_stays(stays: DataFrame) -> DataFrame:
-    """One row per booking: the first market code, lowest stay key on ties."""
-    first = pick_first(stays, STAY_KEY, ["market_cd", "atrb_stay_key"])
+    """One row per booking: the first market code, lowest stay key and booking id on ties."""
+    first = pick_first(stays, STAY_KEY, ["market_cd", "atrb_stay_key", "book_id"])
     return first.select(
         "market_cd", *STAY_KEY, F.coalesce("book_id", F.lit("")).alias("book_id"), "atrb_stay_key"
     )

@@ -8,11 +8,12 @@ lost executor costs a re-read of files, not a recomputation.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.dates import text_date
 from millrace.functions.money import implied_decimals
@@ -21,6 +22,8 @@ from millrace.operators.project import select_as
 from millrace.operators.quality import Check, ChecksFailed, NoNulls, Unique, check_report, failures, publish_if_clean
 from millrace.plans import attribution as attr
 from millrace.sinks import tables
+from millrace.sources.files import CORRUPT, corrupt_counts, enforce_reject_limit, parse_json, quarantine, read_delimited
+from millrace.sources.tables import read_jdbc
 
 # Layout of a rejects record, (column, width).
 REJECT_LAYOUT: dict[str, int] = {
@@ -91,6 +94,58 @@ def load_dimension(staged: DataFrame, names: Mapping[str, str], load: GatedLoad,
     return load.run(select_as(staged, names), ts, row.data_batch_dt)
 
 
+def load_delimited(spark: SparkSession, path: str, schema: str | T.StructType, table: str, reject_path: str,
+                   max_rejects: int = 0, **reader) -> int:
+    """Bulk load of a delimited file over ``table``; returns the number of rejected lines.
+
+    Rejected lines are written first; too many of them stop the load before the
+    table is touched.
+    """
+    rows, rejects = read_delimited(spark, path, schema, **reader)
+    n = enforce_reject_limit(rejects, max_rejects, reject_path)
+    tables.rewrite(rows, table)
+    return n
+
+
+def load_jdbc(spark: SparkSession, url: str, source: str, table: str, **options) -> None:
+    """Copy a database table over a staging table."""
+    tables.rewrite(read_jdbc(spark, url, source, **options), table)
+
+
+@dataclass(frozen=True)
+class IngestResult:
+    messages: int
+    good: int
+    corrupt: int
+
+
+def ingest_messages(
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    transform: Callable[[DataFrame], DataFrame],
+    good_path: str,
+    corrupt_path: str,
+    staging_path: str,
+    run: str,
+    fmt: str = "orc",
+) -> IngestResult:
+    """Batch ingest of JSON lines: parse, set corrupt text aside, transform, append.
+
+    The parsed lines are written to the staging folder of this run and everything
+    after reads them from there: a text is parsed once, however often the
+    transformation reads its input. Running the same ``run`` again replaces its
+    output.
+    """
+    staged = f"{staging_path}/run={run}"
+    parse_json(spark.read.text(path), "value", schema).drop("value").write.mode("overwrite").parquet(staged)
+    parsed = spark.read.parquet(staged)
+    good, bad = quarantine(parsed)
+    bad.select(F.col(CORRUPT).alias("value")).write.mode("overwrite").text(f"{corrupt_path}/run={run}")
+    transform(good.select("message.*")).write.mode("overwrite").format(fmt).save(f"{good_path}/run={run}")
+    return IngestResult(*corrupt_counts(parsed).first())
+
+
 def load_keyed(spark: SparkSession, staged: DataFrame, target: str, keys: Sequence[str], ts: dt.datetime,
                stamp_col: str = "load_dt") -> LoadResult:
     """Dedup the staged rows, refuse missing or repeated keys, upsert, swap."""

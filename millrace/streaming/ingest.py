@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -44,11 +45,19 @@ def ingest_batch(
     column: str = "value",
     fmt: str = "orc",
 ) -> Callable[[DataFrame, int], None]:
-    """Handler that parses JSON text, sets corrupt text aside and appends the rest."""
+    """Handler that parses JSON text, sets corrupt text aside and appends the rest.
+
+    The parsed batch is kept for the time of its two writes, so that each text
+    is parsed once.
+    """
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        good, bad = quarantine(parse_json(df.select(column), column, schema))
-        write_batch(bad.selectExpr(f"{CORRUPT} AS value"), batch_id, corrupt_path, "text")
-        write_batch(transform(good.select("message.*")), batch_id, good_path, fmt)
+        parsed = parse_json(df.select(column), column, schema).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = quarantine(parsed)
+            write_batch(bad.selectExpr(f"{CORRUPT} AS value"), batch_id, corrupt_path, "text")
+            write_batch(transform(good.select("message.*")), batch_id, good_path, fmt)
+        finally:
+            parsed.unpersist()
 
     return handle

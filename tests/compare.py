@@ -14,6 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def connect(folder: str):
     con = duckdb.connect()
+    # Spark's order of NULLs.
+    con.execute("SET default_null_order = 'nulls_first_on_asc_last_on_desc'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     return con

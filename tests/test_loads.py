@@ -123,3 +123,18 @@ def test_flag_in_one_pass_equals_flag_by_join(spark):
     joined = P.flag_daily(a.match, a.daily)
     assert sorted(map(str, a.flagged.collect())) == sorted(map(str, joined.collect()))
     assert a.flagged.filter("flag").count() == a.daily.count() > 0
+
+
+def test_load_delimited(spark, tmp_path):
+    from millrace.sources.files import RejectLimitExceeded
+
+    f = tmp_path / "codes.txt"
+    f.write_text("CD|DS\nA|one\nB|two|extra\n")
+    tables.drop(spark, "ld_codes")
+    assert L.load_delimited(spark, str(f), "cd STRING, ds STRING", "ld_codes", str(tmp_path / "rej"), skip=1) == 0
+    f.write_text("CD|DS\nC\n")
+    with pytest.raises(RejectLimitExceeded):
+        L.load_delimited(spark, str(f), "cd STRING, ds STRING", "ld_codes", str(tmp_path / "rej"), skip=1)
+    assert sorted(map(tuple, spark.table("ld_codes").collect())) == [("A", "one"), ("B", "two")]
+    assert L.load_delimited(spark, str(f), "cd STRING, ds STRING", "ld_codes", str(tmp_path / "rej"), 1, skip=1) == 1
+    assert spark.table("ld_codes").count() == 0 and spark.read.parquet(str(tmp_path / "rej")).count() == 2

@@ -142,3 +142,9 @@ def test_explode_aligned_length(spark):
     df = spark.createDataFrame([(1, [1, 2, 3], ["a"]), (2, [], ["b"])], "k INT, a ARRAY<INT>, b ARRAY<STRING>")
     assert N.explode_aligned(df, {"x": "a", "y": "b"}).count() == 4
     assert N.explode_aligned(df, {"x": "a", "y": "b"}, keep_short=False).count() == 1
+
+
+def test_missing_array_is_empty_when_aligned(spark):
+    df = spark.createDataFrame([(1, None, ["a", "b"]), (2, None, None)], "k INT, a ARRAY<INT>, b ARRAY<STRING>")
+    assert sorted((r.k, r.x, r.y) for r in N.explode_aligned(df, {"x": "a", "y": "b"}).collect()) == [(1, None, "a"), (1, None, "b")]
+    assert N.explode_aligned(df, {"x": "a", "y": "b"}, keep_short=False).count() == 0

@@ -68,3 +68,17 @@ def test_timed_trigger(spark, folders):
     query.processAllAvailable()
     query.stop()
     assert seen == [1]
+
+
+def test_batch_ingest_equals_plan_and_can_be_repeated(spark, folders, dims):  # noqa: F811
+    from millrace.plans.loads import IngestResult, ingest_messages
+
+    (folders / "in" / "all.json").write_text("\n".join(lines()) + "\n")
+    args = (spark, str(folders / "in"), RESERVATION, lambda m: parse_reservations(m, dims), str(folders / "good"),
+            str(folders / "bad"), str(folders / "staged"), "2024-02-01")
+    for _ in range(2):
+        assert ingest_messages(*args) == IngestResult(len(CASES) + 1, len(CASES), 1)
+    text = spark.createDataFrame([(line,) for line in lines()], "value STRING")
+    batch = parse_reservations(quarantine(parse_json(text, "value", RESERVATION))[0].select("message.*"), dims)
+    assert rows(spark.read.orc(str(folders / "good"))) == rows(batch)
+    assert [r.value for r in spark.read.text(str(folders / "bad")).collect()] == ['{"broken']

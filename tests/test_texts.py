@@ -138,3 +138,8 @@ def test_trap_23_monthly_refunds_use_the_event_side(spark):
     ev = one(spark, "SELECT 1 AS event_reference_id, TIMESTAMP '2024-01-05 00:00:00' AS event_date, 'CLOSED' AS event_status, 1.5D AS event_refund UNION ALL SELECT 1, TIMESTAMP '2024-02-05 00:00:00', 'COMPLETE', 2.0D UNION ALL SELECT 2, TIMESTAMP '2024-02-05 00:00:00', 'OPEN', 9.0D")
     ex = one(spark, "SELECT 1 AS event_reference_id, TIMESTAMP '2020-01-01 00:00:00' AS event_date UNION ALL SELECT 1, TIMESTAMP '2020-01-01 00:00:00'")
     assert [(r[0], float(r[1])) for r in R.monthly_refunds(ev, ex).collect()] == [("202401", 3.0), ("202402", 4.0)]
+
+
+def test_wide_crosstab_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (0, 1)], "a INT, b INT")
+    assert sorted(map(tuple, A.crosstab(df, "a", "b", [0, 1]).collect()), key=str) == [(0, 0, 1), (None, 0, 1)]
