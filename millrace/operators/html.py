@@ -2,85 +2,85 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Comments, raw-text elements and declarations, then tags, then text.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"|(?P<text>[^<]+|<)",
+    re.IGNORECASE | re.DOTALL,
+)
 
-class _Rows(HTMLParser):
-    """Collects table rows as lists of (tag, text).
+Cell = tuple[str, str | None]
 
-    The text of a cell is kept when the cell, and each element inside it, has
-    one single child; otherwise it is None.
-    """
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[tuple[str, str | None]]] = []
-        self.row: list[tuple[str, str | None]] | None = None
-        self.cell: str | None = None
-
-    def _open_cell(self, tag: str) -> None:
-        self.cell, self.children, self.single, self.text = tag, [0], True, []
-
-    def _close_cell(self) -> None:
-        if self.cell is not None and self.row is not None:
-            single = self.single and all(n == 1 for n in self.children)
-            self.row.append((self.cell, "".join(self.text) if single else None))
-        self.cell = None
-
-    def _close_row(self) -> None:
-        self._close_cell()
-        if self.row:
-            self.rows.append(self.row)
-        self.row = None
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "tr":
-            self._close_row()
-            self.row = []
-        elif tag in ("td", "th"):
-            self._close_cell()
-            self._open_cell(tag)
-        elif self.cell is not None:
-            self.children[-1] += 1
-            self.children.append(0)
-
-    def handle_startendtag(self, tag, attrs):
-        if self.cell is not None:
-            self.children[-1] += 1
-            self.single = False
-
-    def handle_endtag(self, tag):
-        if tag in ("tr", "table"):
-            self._close_row()
-        elif tag in ("td", "th"):
-            self._close_cell()
-        elif self.cell is not None and len(self.children) > 1:
-            self.single = self.single and self.children.pop() == 1
-
-    def handle_data(self, data):
-        if self.cell is not None:
-            self.children[-1] += 1
-            self.text.append(data)
+def _table_rows(html: str) -> list[list[Cell]]:
+    """Rows of (tag, text) cells of a page.
+
+    A cell has a text when it, and each element inside it, has one single child;
+    otherwise the text is None. A new cell or row closes an open one.
+    """
+    rows: list[list[Cell]] = []
+    row: list[Cell] | None = None
+    cell: str | None = None
+    children, parts, single, in_text = [0], [], True, False
+
+    def close_cell() -> None:
+        nonlocal cell
+        if cell is not None and row is not None:
+            whole = single and all(n == 1 for n in children)
+            row.append((cell, unescape("".join(parts)) if whole else None))
+        cell = None
+
+    def close_row() -> None:
+        nonlocal row
+        close_cell()
+        if row:
+            rows.append(row)
+        row = None
+
+    for token in _TOKEN.finditer(html):
+        tag = token["tag"]
+        if tag is None:
+            if cell is not None and token["text"] is not None:
+                children[-1] += not in_text
+                parts.append(token["text"])
+                in_text = True
+            continue
+        tag, in_text = tag.lower(), False
+        if tag in ("td", "th"):
+            close_cell()
+            if not token["end"]:
+                cell, children, parts, single = tag, [0], [], True
+        elif tag == "tr" or (tag == "table" and token["end"]):
+            close_row()
+            row = [] if tag == "tr" and not token["end"] else None
+        elif cell is not None and not token["end"]:
+            children[-1] += 1
+            children.append(0)
+        elif cell is not None and len(children) > 1:
+            single = children.pop() == 1 and single
+    close_row()
+    return rows
 
 
 def _records(html: str, n_cols: int) -> Iterator[tuple[int, str | None, str | None]]:
-    parser = _Rows()
-    parser.feed(html)
-    parser.close()
-    parser._close_row()
+    rows = _table_rows(html)
     names: list[str | None] = []
-    for row in parser.rows:
+    for row in rows:
         heads = [text for tag, text in row if tag == "th"]
         if len(heads) == n_cols:
             names.extend(heads)
     number = 0
-    for row in parser.rows:
+    for row in rows:
         values = [text for tag, text in row if tag == "td"]
         if len(values) == n_cols:
             number += 1

@@ -119,8 +119,8 @@ def double_match(
     """Like ``double_lookup``, but marks the rows in a boolean column and keeps all of them."""
     live = dim.filter(active)
     for i, on in enumerate((first, second)):
-        side = live.select(*on.values()).distinct().withColumn("__hit", F.lit(True))
-        df = lookup(df, side, on, {f"__hit{i}": "__hit"}, "left")
+        side = live.select(*[F.col(d).alias(f) for f, d in on.items()]).distinct()
+        df = join_back(df, side.withColumn(f"__hit{i}", F.lit(True)), list(on), "left")
     return df.withColumn(into, F.col("__hit0").isNotNull() & F.col("__hit1").isNotNull()).drop("__hit0", "__hit1")
 
 

@@ -35,7 +35,7 @@ def monthly_refunds(events: DataFrame, export: DataFrame, key: str = "event_refe
     joined = refunds.join(matches, refunds[key] == matches["__ref"])
     return (
         joined.groupBy(month)
-        .agg(F.round(F.sum(F.col("__sum") * F.col("__matches").cast("decimal(10,0)")), 2).alias(total))
+        .agg(F.round(F.sum(F.col("__sum") * F.col("__matches").cast("decimal(18,0)")), 2).alias(total))
         .orderBy(month)
     )
 

@@ -143,3 +143,22 @@ def test_trap_23_monthly_refunds_use_the_event_side(spark):
 def test_wide_crosstab_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (0, 1)], "a INT, b INT")
     assert sorted(map(tuple, A.crosstab(df, "a", "b", [0, 1]).collect()), key=str) == [(0, 0, 1), (None, 0, 1)]
+
+
+@pytest.mark.parametrize(
+    "cell,want",
+    [
+        ("x", "x"), ("a &lt; b", "a < b"), ("<b>x</b>", "x"), ("<b><i>x</i></b>", "x"), ("<b>x</b>y", None), ("a<br>b", None),
+        ("", None), ("<b></b>", None), ("a < b", "a < b"), ("<a title='1>2'>x</a>", "x"), ("<!-- c -->x", "x"),
+        ("<script>var t = '</td>';</script>x", "x"),
+    ],
+)
+def test_cell_text(cell, want):
+    rows = H._table_rows(f"<table><tr><td>{cell}</td><td>z</td></tr></table>")
+    assert rows == [[("td", want), ("td", "z")]]
+
+
+def test_open_cells_and_rows_are_closed():
+    assert H._table_rows("<TABLE><tr><TH>h<th>i<tr><td>1<td>2</table><td>stray") == [
+        [("th", "h"), ("th", "i")], [("td", "1"), ("td", "2")]
+    ]
