@@ -170,11 +170,7 @@ def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str
     marked = child.select(*[F.col(c) if c not in keys else F.col(c).alias(f"__{c}") for c in child.columns])
     marked = marked.withColumn("__hash", F.xxhash64(*[f"__{k}" for k in keys]))
     cond = _all([F.xxhash64(*[parent[k] for k in keys]) == marked["__hash"], *[parent[k] == marked[f"__{k}"] for k in keys]])
-    joined = parent.join(marked, cond, how).drop("__hash", *[f"__{k}" for k in keys])
-    if how in ("left_semi", "left_anti"):
-        return joined
-    rest = [c for c in joined.columns if c not in keys]
-    return joined.select(*keys, *rest)
+    return parent.join(marked, cond, how).drop("__hash", *[f"__{k}" for k in keys])
 
 
 # --- anti and semi joins ----------------------------------------------------------

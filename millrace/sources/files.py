@@ -75,7 +75,7 @@ def corrupt_counts(df: DataFrame, corrupt: str = CORRUPT) -> DataFrame:
 
 def _lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
     if skip == 0:
-        return spark.read.text(path)
+        return spark.read.text(path).filter(F.trim("value") != "")
     if skip == 1:
         # The CSV reader is the one reader that drops the first line of every
         # file while still splitting large files. A separator that is no
@@ -110,7 +110,8 @@ def read_delimited(
     """Bulk-load reader: (rows, rejects).
 
     Extra fields are ignored. A line is rejected when it has too few fields or
-    when a non-empty field cannot be read as its type. Empty fields are NULL.
+    when a non-empty field cannot be read as its type. Empty fields are NULL,
+    blank lines are ignored.
     """
     schema = as_struct(schema)
     fields = split_escaped("value", sep, escape)

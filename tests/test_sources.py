@@ -173,3 +173,13 @@ def test_kafka_options():
 def test_metastore_table(spark):
     spark.range(3).write.mode("overwrite").saveAsTable("src_read_me")
     assert tables.read_table(spark, "src_read_me").agg(F.sum("id")).first()[0] == 3
+
+
+def test_quotes_and_blank_lines_are_plain(spark, tmp_path):
+    p = put(tmp_path / "q.txt", 'H|H\n"a|b"\n\n  x|"y\n#c|d\n')
+    for skip, n in ((1, 3), (0, 4)):
+        rows, rejects = files.read_delimited(spark, p, "a STRING, b STRING", skip=skip)
+        assert rows.count() == n and rejects.count() == 0
+    assert {(r.a, r.b) for r in files.read_delimited(spark, p, "a STRING, b STRING", skip=1)[0].collect()} == {
+        ('"a', 'b"'), ("  x", '"y'), ("#c", "d")
+    }
