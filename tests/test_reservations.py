@@ -148,3 +148,48 @@ def test_missing_array_is_empty_when_aligned(spark):
     df = spark.createDataFrame([(1, None, ["a", "b"]), (2, None, None)], "k INT, a ARRAY<INT>, b ARRAY<STRING>")
     assert sorted((r.k, r.x, r.y) for r in N.explode_aligned(df, {"x": "a", "y": "b"}).collect()) == [(1, None, "a"), (1, None, "b")]
     assert N.explode_aligned(df, {"x": "a", "y": "b"}, keep_short=False).count() == 0
+
+
+def test_hot_reservation_key_is_split(spark):
+    """A third of the messages carry one reservation number."""
+    from pyspark.sql import functions as F
+
+    from millrace.catalog import reservations as C
+    from millrace.sources.tables import Tables
+
+    class Hot(Tables):
+        @property
+        def orders(self):
+            plain = Tables(self.spark, self.folder).orders
+            hot = F.col("o_orderkey") % 3 == 0
+            return plain.withColumns(
+                {
+                    "o_orderkey": F.when(hot, 9).otherwise(F.col("o_orderkey")),
+                    "o_orderdate": F.when(hot, F.lit("1997-03-04").cast("timestamp_ntz")).otherwise(F.col("o_orderdate")),
+                }
+            ).repartition(8)
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    t = Hot(spark, "/root/testdata/sf0.01")
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = R.parse_reservations(C.messages(t), C.dimensions(t))
+        got = out.groupBy("confo_num_orig").agg(
+            F.count(F.lit(1)).alias("n"), F.max("baseAmount").alias("a"), F.max(F.to_json("guest")), F.max(F.to_json("reservationSegments"))
+        )
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    top = max(rows, key=lambda r: r.n)
+    assert top.confo_num_orig == "9" and top.n == 5000 and top.a > 0 and len(rows) > 1000
+    assert "skew=true" in plan
