@@ -1,4 +1,4 @@
 """All queries of this package, by name."""
 
-from millrace.llm import native_queries, pair_queries  # noqa: F401
+from millrace.llm import native_queries, pair_queries, text_queries  # noqa: F401
 from millrace.llm.shared import QUERIES  # noqa: F401
