@@ -55,13 +55,15 @@ def _long_hash(data: np.ndarray) -> np.uint64:
         return mixed(np.array([total + np.uint64(len(data))], dtype=np.uint64))[0]
 
 
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of every word of one text, given as bytes, in order."""
-    if not len(data):
-        return np.zeros(0, dtype=np.uint64)
-    held = ~_SPACES[data]
-    edges = np.flatnonzero(np.diff(held, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word, and the byte behind it."""
+    edges = np.flatnonzero(np.diff(~_SPACES[data], prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def word_hashes(data: np.ndarray, bounds: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Hash of every word of one text, given as bytes, in order, or of the given byte ranges."""
+    starts, ends = bounds or word_bounds(data)
     if len(data) <= _BLOCK:
         return _block_hashes(data, starts, ends)
     out = np.empty(len(starts), dtype=np.uint64)

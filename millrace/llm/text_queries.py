@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from millrace.llm.packing import pack_documents
+from millrace.llm.quality_net import quality_scores
+from millrace.llm.sentence_spans import drop_repeated
 from millrace.llm.shared import query
 
 
@@ -18,3 +20,13 @@ def vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
 @query()
 def op2_best_fit_packing(t) -> DataFrame:
     return pack_documents(t.documents, vocabulary())
+
+
+@query()
+def op3_substring_dedup(t) -> DataFrame:
+    return drop_repeated(t.documents)
+
+
+@query()
+def op4_quality_classifier(t) -> DataFrame:
+    return quality_scores(t.documents, t.labels)
