@@ -31,6 +31,13 @@ class Network:
     epochs: int = 40
     threshold: float = 0.3
 
+    @property
+    def inputs(self) -> int:
+        """Length of a document's vector: see ``pool``."""
+        return self.dims + LAGS + 2
+
+
+LAGS = 4
 
 # Letters (with all bytes of other scripts), digits, white space, and each other sign by itself.
 _CLASS = np.arange(256)
@@ -112,8 +119,25 @@ def word_vectors(docs: DataFrame, how: Network, text: str = "text") -> np.ndarra
     return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
+def pool(t: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Mean vector of a document's tokens, and how alike its tokens are.
+
+    The last values are the mean products of the vectors of tokens one to four
+    places apart, the share of distinct tokens and the logarithm of their number.
+    """
+    used, n = np.unique(t, return_counts=True)
+    mean = (n.astype(np.float32) @ vectors[used]) / np.float32(len(t))
+    alike = np.zeros(LAGS, dtype=np.float64)
+    for at in range(0, len(t), 20_000):
+        part = vectors[t[at : at + 20_000 + LAGS]]
+        for k in range(min(LAGS, len(part) - 1)):
+            own = part[: min(20_000, len(part) - 1 - k)]
+            alike[k] += np.einsum("ij,ij->", own, part[k + 1 : k + 1 + len(own)])
+    return np.concatenate([mean, alike / len(t), [len(used) / len(t), np.log1p(len(t))]]).astype(np.float32)
+
+
 def features(docs: DataFrame, vectors: np.ndarray, how: Network, doc_id: str, text: str) -> DataFrame:
-    """``doc_id`` and ``pooled``, the mean vector of the tokens of the whole text; zeros for an empty one."""
+    """``doc_id`` and ``pooled``, the vector of the whole text; zeros for an empty one."""
     table = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +146,11 @@ def features(docs: DataFrame, vectors: np.ndarray, how: Network, doc_id: str, te
             for raw in texts_as_bytes(b.column(1), lower=False):
                 t = tokens(raw, how.buckets)
                 if not len(t):
-                    rows.append(np.zeros(how.dims, dtype=np.float32))
+                    rows.append(np.zeros(how.inputs, dtype=np.float32))
                     continue
-                used, n = np.unique(t, return_counts=True)
-                rows.append((n.astype(np.float32) @ table.value[used]) / np.float32(len(t)))
+                rows.append(pool(t, table.value))
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, dtype=np.float32))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * how.dims), flat)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * how.inputs), flat)
             yield pa.record_batch([b.column(0), lists], names=["doc_id", "pooled"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -157,7 +180,7 @@ def fit(x: np.ndarray, y: np.ndarray, tune: np.ndarray, how: Network, seed: int
     Without labels every score is 0.5; with one label only, all scores lean to it.
     """
     rng = np.random.default_rng(seed)
-    d = how.dims
+    d = how.inputs
     zero = Fitted(np.zeros(d), np.ones(d), np.zeros((d, how.hidden)), np.zeros(how.hidden), np.zeros(how.hidden), 0.0, 1.0)
     fx, fy = x[~tune], y[~tune]
     if not len(fx):
@@ -212,13 +235,13 @@ def quality_scores(
     known = known.orderBy(F.xxhash64("l_id"), "l_id").limit(how.most_labelled)
     sample = pooled.join(known, pooled["doc_id"] == known["l_id"]).select("l_id", "pooled", "y", "fold").toPandas()
     sample = sample.sort_values("l_id", kind="stable")
-    x = np.array(sample["pooled"].tolist(), dtype=np.float64).reshape(len(sample), how.dims)
+    x = np.array(sample["pooled"].tolist(), dtype=np.float64).reshape(len(sample), how.inputs)
     model = fit(x, sample["y"].to_numpy(), (sample["fold"] == 1).to_numpy(), how)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat = b.column(1).flatten().to_numpy(zero_copy_only=False)
-            s = model.score(flat.reshape(b.num_rows, how.dims).astype(np.float64))
+            s = model.score(flat.reshape(b.num_rows, how.inputs).astype(np.float64))
             yield pa.record_batch(
                 [b.column(0), pa.array(s), pa.array((s >= how.threshold).astype(np.int32))], names=["doc_id", "score", "predicted"]
             )

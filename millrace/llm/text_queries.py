@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from millrace.llm.packing import pack_documents
+from millrace.llm.page_text import extract_pages
 from millrace.llm.quality_net import quality_scores
+from millrace.llm.secret_forest import find_secrets
 from millrace.llm.sentence_spans import drop_repeated
 from millrace.llm.shared import query
 
@@ -17,6 +19,11 @@ def vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
     return str(public_tokenizers.path(f"{name}.json")), str(public_tokenizers.path(f"{name}.tiktoken")), public_tokenizers.PATTERN
 
 
+@query()
+def op1_html_extraction(t) -> DataFrame:
+    return extract_pages(t.pages)
+
+
 @query()
 def op2_best_fit_packing(t) -> DataFrame:
     return pack_documents(t.documents, vocabulary())
@@ -30,3 +37,8 @@ def op3_substring_dedup(t) -> DataFrame:
 @query()
 def op4_quality_classifier(t) -> DataFrame:
     return quality_scores(t.documents, t.labels)
+
+
+@query()
+def op9_secret_scan(t) -> DataFrame:
+    return find_secrets(t.documents)
