@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from millrace.llm.packing import pack_documents
+from millrace.llm.packing import pack_documents, vocabulary
 from millrace.llm.page_text import extract_pages
 from millrace.llm.quality_net import quality_scores
 from millrace.llm.secret_forest import find_secrets
@@ -12,13 +12,6 @@ from millrace.llm.sentence_spans import drop_repeated
 from millrace.llm.shared import query
 
 
-def vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
-    """A public tokenizer: its file, the same vocabulary as ranks, and its word pattern."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(f"{name}.json")), str(public_tokenizers.path(f"{name}.tiktoken")), public_tokenizers.PATTERN
-
-
 @query()
 def op1_html_extraction(t) -> DataFrame:
     return extract_pages(t.pages)
