@@ -138,80 +138,99 @@ def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: np.ndarray, length: int, rounds: int = 50) -> list[list[int]]:
-    """Empty bins by moves and exchanges between underfull ones.
-
-    Each step takes the emptiest bin and tries for its documents, largest first:
-    a move into a bin with room for it; an exchange with one document, or with
-    two, of another bin that fills the other bin up further. Every step increases
-    the sum of squared fills, so the search ends; it stops earlier when no fewer
-    bins can hold the total, or after ``rounds`` passes over a bin.
+class Search:
+    """Underfull bins, found by the gaps they have and by the sizes of their documents."""
+
+    def __init__(self, bins: list[list[int]], sizes: np.ndarray, length: int):
+        self.bins, self.sizes, self.length = bins, sizes.tolist(), length
+        self.fill = [sum(self.sizes[i] for i in b) for b in bins]
+        self.by_gap: dict[int, dict[int, None]] = {}
+        self.by_size: dict[int, dict[int, None]] = {}
+        self.used = sum(map(bool, self.fill))
+        self.stuck: set[int] = set()  # sizes that found no bin in this pass
+        for b in range(len(bins)):
+            self._enter(b)
+
+    def is_open(self, b: int) -> bool:
+        return 0 < self.fill[b] < self.length
+
+    def _enter(self, b: int) -> None:
+        if self.is_open(b):
+            self.by_gap.setdefault(self.length - self.fill[b], {})[b] = None
+            for i in self.bins[b]:
+                self.by_size.setdefault(self.sizes[i], {})[b] = None
+
+    def _leave(self, b: int) -> None:
+        gap = self.length - self.fill[b]
+        del self.by_gap[gap][b]
+        if not self.by_gap[gap]:
+            del self.by_gap[gap]
+        for n in {self.sizes[i] for i in self.bins[b]}:
+            del self.by_size[n][b]
+
+    def step(self, source: int) -> bool:
+        """One move or exchange that takes tokens from ``source`` and raises the sum of squared fills."""
+        widest = max((g for g in self.by_gap if len(self.by_gap[g]) > (source in self.by_gap[g])), default=0)
+        for i in sorted(self.bins[source], key=lambda x: -self.sizes[x]):
+            if self.sizes[i] in self.stuck:
+                continue
+            for target, back in self._targets(source, self.sizes[i], widest):
+                shift = self.sizes[i] - sum(self.sizes[j] for j in back)
+                # Squares grow when the target ends up fuller than the source was.
+                if target != source and shift <= self.length - self.fill[target] and self.fill[target] + shift > self.fill[source]:
+                    self._exchange(source, i, target, back, shift)
+                    return True
+            self.stuck.add(self.sizes[i])
+        return False
+
+    def _targets(self, source: int, n: int, widest: int) -> Iterator[tuple[int, list[int]]]:
+        """Bins for a document of ``n`` tokens, with what they would give back: nothing, one or two documents."""
+        for gap in sorted(g for g in self.by_gap if g >= n):
+            yield from ((b, []) for b in self.by_gap[gap])
+        for shift in range(min(widest, n - 1), 0, -1):
+            for b in self.by_size.get(n - shift, ()):
+                yield b, [next(j for j in self.bins[b] if self.sizes[j] == n - shift)]
+        for gap in sorted(self.by_gap, reverse=True):
+            for b in self.by_gap[gap]:
+                held = sorted(self.bins[b], key=lambda j: self.sizes[j])
+                for x, j in enumerate(held):
+                    for k in held[:x]:
+                        if n - gap <= self.sizes[j] + self.sizes[k] < n:
+                            yield b, [j, k]
+
+    def _exchange(self, source: int, i: int, target: int, back: list[int], shift: int) -> None:
+        self._leave(source)
+        self._leave(target)
+        self.bins[source].remove(i)
+        for j in back:
+            self.bins[target].remove(j)
+        self.bins[source] += back
+        self.bins[target].append(i)
+        self.fill[source] -= shift
+        self.fill[target] += shift
+        self.used -= not self.fill[source]
+        self._enter(source)
+        self._enter(target)
+
+
+def local_search(bins: list[list[int]], sizes: np.ndarray, length: int, passes: int = 4) -> list[list[int]]:
+    """Empty bins by moves and by exchanges of one document for one or two between underfull bins.
+
+    Bins are taken from the emptiest up, again and again, at most ``passes``
+    times; a size that found no bin is not tried again in the same pass. Every step raises the sum of squared fills, so the search ends; it
+    stops as soon as no fewer bins can hold the total.
     """
-    fill = [int(sizes[b].sum()) for b in bins]
-    fewest = -(-sum(fill) // length)
-    alive = sum(1 for f in fill if f)
-    while alive > fewest:
-        open_bins = sorted((b for b in range(len(bins)) if 0 < fill[b] < length), key=lambda b: fill[b])
-        if len(open_bins) < 2:
-            break
-        source, others = open_bins[0], open_bins[1:]
-        # Where a document of a size stands, and which gaps there are.
-        by_gap: dict[int, list[int]] = {}
-        for b in others:
-            by_gap.setdefault(length - fill[b], []).append(b)
+    search = Search(bins, sizes, length)
+    fewest = -(-sum(search.fill) // length)
+    for _ in range(passes):
         gained = False
-        for _ in range(rounds):
-            changed = False
-            for i in sorted(bins[source], key=lambda x: -sizes[x]):
-                n = int(sizes[i])
-                step = _step(i, n, by_gap, bins, sizes)
-                if step is None:
-                    continue
-                target, back = step
-                gap = length - fill[target]
-                by_gap[gap].remove(target)
-                if not by_gap[gap]:
-                    del by_gap[gap]
-                bins[source].remove(i)
-                bins[target].append(i)
-                for j in back:
-                    bins[target].remove(j)
-                    bins[source].append(j)
-                shift = n - sum(int(sizes[j]) for j in back)
-                fill[source] -= shift
-                fill[target] += shift
-                if fill[target] < length:
-                    by_gap.setdefault(length - fill[target], []).append(target)
-                changed = gained = True
-                break
-            if not bins[source] or not changed:
-                break
-        if bins[source]:
-            if not gained:
-                break
-        else:
-            alive -= 1
-    return [b for b in bins if b]
-
-
-def _step(i: int, n: int, by_gap: dict[int, list[int]], bins: list[list[int]], sizes: np.ndarray) -> tuple[int, list[int]] | None:
-    """A bin that takes document ``i`` of ``n`` tokens and the documents it gives back, which are smaller together."""
-    fits = [g for g in by_gap if g >= n]
-    if fits:
-        return by_gap[min(fits)][0], []
-    best: tuple[int, int, list[int]] | None = None
-    for gap, targets in by_gap.items():
-        for b in targets:
-            held = sorted((int(sizes[j]), j) for j in bins[b])
-            for x, (m, j) in enumerate(held):
-                if n - gap <= m < n and (best is None or n - m > best[0]):
-                    best = (n - m, b, [j])
-                for m2, j2 in held[:x]:
-                    if n - gap <= m + m2 < n and (best is None or n - m - m2 > best[0]):
-                        best = (n - m - m2, b, [j, j2])
-        if best and best[0] == gap:
+        search.stuck.clear()
+        for source in sorted(range(len(bins)), key=lambda b: search.fill[b]):
+            while search.is_open(source) and search.used > fewest and search.step(source):
+                gained = True
+        if not gained:
             break
-    return (best[1], best[2]) if best else None
+    return [b for b in bins if b]
 
 
 def pack(parts: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:

@@ -19,6 +19,7 @@ def corpus():
     rng = random.Random(3)
     texts: list[tuple] = []
     base = [prose(rng, rng.choice([30, 60, 120, 400])) for _ in range(60)]
+    base[3] = prose(rng, 400)
     texts += [(i, t, f"s{i % 5}") for i, t in enumerate(base)]
     for i in range(12):  # near copies of one text, some of them two edits away from each other
         w = base[3].split()
