@@ -40,12 +40,12 @@ def report_event_counts(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, user_id, event_type, c_name FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'error'
+    SELECT event_id, user_id, event_type, c_name FROM events JOIN customer ON user_id = c_custkey
 """)
 def report_matched_events(t: Tables) -> DataFrame:
     from millrace.operators.reconcile import match_events
 
-    ev = t.events.filter("event_type = 'error'").select("event_id", "user_id", "event_type")
+    ev = t.events.select("event_id", "user_id", "event_type")
     return match_events(ev, t.customer, "user_id", "c_custkey", ["c_name"])
 
 

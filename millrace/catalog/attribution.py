@@ -170,8 +170,9 @@ def attribution_daily_report(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    WITH {MATCH_SQL}, {AGENCY_SQL}
-    SELECT {ROW_SQL}, atrb_allocation_key, atrb_key IN (SELECT atrb_key FROM daily) AS flag FROM keyed
+    WITH {MATCH_SQL.replace("keyed AS (", "keyed AS MATERIALIZED (")}, {AGENCY_SQL.replace("daily AS (", "daily AS MATERIALIZED (")}
+    SELECT {ROW_SQL}, atrb_allocation_key, h.k IS NOT NULL AS flag
+    FROM keyed LEFT JOIN (SELECT DISTINCT atrb_key AS k FROM daily) h ON keyed.atrb_key = h.k
 """)
 def attribution_flagged(t: Tables) -> DataFrame:
     return _out(P.attribution(stays(t), allocations(t), agencies(t), TS).flagged)

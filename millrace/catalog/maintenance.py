@@ -60,11 +60,13 @@ def maintain_upsert(t: Tables) -> DataFrame:
         SELECT o_orderkey, o_orderstatus || '10', CASE WHEN o_orderkey % 5 = 2 THEN 'DELETE' ELSE 'INSERT' END, '10'
         FROM orders WHERE o_orderkey % 5 IN (2, 3) OR o_orderkey % 10 = 1
         UNION ALL
-        SELECT o_orderkey + 1000000, o_orderstatus, 'INSERT', '1' FROM orders WHERE o_orderkey % 5 = 4),
+        SELECT o_orderkey + 1000000, o_orderstatus, 'INSERT', '1' FROM orders WHERE o_orderkey % 5 = 4
+        UNION ALL
+        SELECT o_orderkey, o_orderstatus || '11', CASE WHEN o_orderkey % 20 = 0 THEN 'BEFOREIMAGE' END, '11' FROM orders WHERE o_orderkey % 10 = 0),
     entries AS (SELECT o_orderkey, o_orderstatus AS status, 'INSERT' AS op, '0' AS seq FROM orders UNION ALL SELECT * FROM log)
     SELECT o_orderkey, status FROM (
         SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY CAST(seq AS BIGINT) DESC) AS rn FROM entries)
-    WHERE rn = 1 AND op <> 'DELETE'
+    WHERE rn = 1 AND op IN ('INSERT', 'UPDATE')
 """)
 def maintain_net_change(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
@@ -81,7 +83,10 @@ def maintain_net_change(t: Tables) -> DataFrame:
         o.filter(k.isin(2, 3) | (F.col("o_orderkey") % 10 == 1)), "10", F.when(k == 2, "DELETE").otherwise("INSERT"), "10"
     )
     fresh = entry(o.filter(k == 4).withColumn("o_orderkey", F.col("o_orderkey") + 1000000), "", F.lit("INSERT"), "1")
-    return M.net_change(o, ninth.unionByName(tenth).unionByName(fresh), ["o_orderkey"])
+    # Images of old rows and entries without an operation are no rows of the table.
+    image = F.when(F.col("o_orderkey") % 20 == 0, "BEFOREIMAGE")
+    other = entry(o.filter(F.col("o_orderkey") % 10 == 0), "11", image, "11")
+    return M.net_change(o, ninth.unionByName(tenth).unionByName(fresh).unionByName(other), ["o_orderkey"])
 
 
 @query("""

@@ -33,10 +33,10 @@ def project_derived(t: Tables) -> DataFrame:
 
 @query("""
     SELECT l.* EXCLUDE (l_shipdate), CAST(l_shipdate AS DATE) AS ship_date
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'P'
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """)
 def project_one_join_side(t: Tables) -> DataFrame:
-    lines, orders = t.lineitem, t.orders.filter(F.col("o_orderstatus") == "P")
+    lines, orders = t.lineitem, t.orders
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(lines["*"])
     return joined.withColumn("ship_date", F.col("l_shipdate").cast("date")).drop("l_shipdate")
 
@@ -147,8 +147,8 @@ def sort_columns(t: Tables) -> DataFrame:
     return t.nation.select("n_name", "n_regionkey").orderBy(F.col("n_regionkey").desc(), "n_name")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 49")
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def sort_distribute_by(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity").filter("l_quantity >= 49").repartition(
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity").repartition(
         "l_orderkey", "l_linenumber"
     )

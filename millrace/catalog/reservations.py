@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.catalog.joins import CALENDAR, FX_SQL, currencies, rates
+from millrace.catalog.joins import FX_SQL, currencies, days, rates
 from millrace.catalog.registry import query
 from millrace.functions.dates import calendar
 from millrace.functions.money import money
@@ -75,7 +75,7 @@ def dimensions(t: Tables) -> R.Dimensions:
         (F.col("n_nationkey") + 100).alias("property_id"),
         F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("property_cd"),
     )
-    return R.Dimensions(calendar(t.spark, *CALENDAR), properties, currencies(t), rates(t))
+    return R.Dimensions(days(t), properties, currencies(t), rates(t))
 
 
 def _flat(df: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def stream_ingest(t: Tables) -> DataFrame:
     scratch = f"{ensure_checkpoint_dir(t.spark)}/stream-{uuid.uuid4()}"
     source = read_stream(t.spark, "parquet", f"{t.folder}/event[s].parquet", t.events.schema)
     text = F.to_json(F.struct("event_id", "user_id", "event_type"))
-    broken = F.when(F.col("event_id") % 7 == 0, F.substring(text, 2, 1000)).otherwise(text)
+    broken = F.when(F.col("event_id") % 7 == 0, F.substr(text, F.lit(2))).otherwise(text)
     handler = ingest_batch(EVENT, lambda good: good, f"{scratch}/good", f"{scratch}/corrupt")
     run_stream(source.select(broken.alias("value")), handler, f"{scratch}/offsets", every=None).awaitTermination()
     return t.spark.read.orc(f"{scratch}/good").drop("batch_id")

@@ -73,6 +73,13 @@ def stamp(df: DataFrame, ts: dt.datetime | Column | None = None, name: str = "dw
     return df.withColumn(name, value)
 
 
+def calendar_of(df: DataFrame, column: str, ahead: int = 0) -> DataFrame:
+    """Date dimension over all days between the first and the last date of a column, and ``ahead`` more."""
+    span = df.agg(F.min(column).alias("a"), F.max(column).alias("z"))
+    day = F.explode(F.sequence("a", F.date_add("z", ahead)))
+    return span.select(day.alias("date_dt")).select(date_key("date_dt").alias("date_key"), "date_dt")
+
+
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Date dimension (date_key, date_dt, year_acctg), one row per day.
 

@@ -41,13 +41,13 @@ def split(df: DataFrame, key: str, share: float = 0.75, seed: int = 0) -> tuple[
 
 
 def train_classifier(
-    train: DataFrame, words: str, label: str, trees: int = 100, seed: int = 10, n_features: int = 1024,
-    max_depth: int = 5,
+    train: DataFrame, words: str, label: str, trees: int = 100, seed: int = 10, n_features: int = 1 << 18,
+    max_depth: int = 30,
 ) -> PipelineModel:
     """Random forest on word counts. Runs jobs.
 
-    Words are hashed into a fixed number of columns: the model has the same size
-    whatever the vocabulary, and no vocabulary passes through the driver.
+    Words are hashed into so many columns that few of them share one; no
+    vocabulary passes through the driver. Trees are as deep as Spark allows.
     """
     return Pipeline(
         stages=[

@@ -118,33 +118,62 @@ def html_tables(df: DataFrame, key: str, html: str, n_cols: int) -> DataFrame:
     return df.select(key, html).filter(F.lower(html).contains("<td")).mapInPandas(parse, schema)
 
 
+# What is no element, then one whole start tag: quoted values may hold any sign.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<![^>]*>"
+_ATTRIBUTE = r"(?is)[\s\"'/]([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
+# The references that HTML texts use most; others are numbers.
+REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "amp": "&"}
+
+
+def unescaped(c: Column) -> Column:
+    """Decode decimal references and the named ones of ``REFERENCES``, ``&amp;`` last."""
+
+    def number(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1)
+        code = digits.cast("int")
+        # chr() knows single bytes only, so the character is built from UTF-32.
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(digits == "", F.concat(F.lit("&"), piece)).otherwise(F.concat(char, F.regexp_replace(piece, r"^#[0-9]+;", "")))
+
+    parts = F.split(c, "&")
+    joined = F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(number(x))), "")
+    out = F.when(F.contains(c, F.lit("&#")), joined).otherwise(c)
+    for name, char in REFERENCES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return out
+
+
 def attribute_values(html: str | Column, tag: str, attr: str) -> Column:
     """Array of the values of an attribute, over all elements of a tag.
 
-    Comments, scripts and styles are removed first. Values may be in double
-    quotes, single quotes or bare.
+    Comments, also open ones, scripts and styles hide what they hold. A tag is
+    matched as a whole, with its quoted values, and its attributes are read from
+    the front, so that neither ``>`` nor ``href=`` inside a value misleads. Of
+    equal names in one tag the first counts. Character references are decoded.
     """
     visible = F.regexp_replace(html, HIDDEN, "")
-    return F.transform(
-        F.regexp_extract_all(visible, F.lit(element_pattern(tag, attr)), F.lit(1)),
-        lambda v: F.regexp_replace(v, r"^[\"']|[\"']$", ""),
-    )
-
-
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
+    tags = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}((?:\s|/)(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"), F.lit(1))
 
+    def first_value(inside: Column) -> Column:
+        pairs = F.zip_with(
+            F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(1)), F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(2)),
+            lambda n, v: F.struct(F.lower(n).alias("n"), v.alias("v")),
+        )
+        return F.get(F.filter(pairs, lambda x: x["n"] == attr.lower()), F.lit(0))["v"]
 
-def element_pattern(tag: str, attr: str) -> str:
-    return rf"(?is)<{tag}\s(?:[^>]*?\s)?{attr}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    values = F.filter(F.transform(tags, first_value), lambda v: v.isNotNull() & (v != ""))
+    return F.transform(values, lambda v: unescaped(F.regexp_replace(v, r"(?s)^([\"'])(.*)\1$", "$2")))
 
 
 def count_elements(df: DataFrame, html: str, tag: str, attr: str, length: int, by: list[str] | None = None,
                    name: str = "n") -> DataFrame:
-    """Number of elements whose attribute has the given length, per page or in all.
+    """Number of attribute lines of the given length, per page or in all.
 
-    Counted inside each row; nothing is exploded.
+    A value of several lines counts once for each line of that length. Counted
+    inside each row; nothing is exploded.
     """
-    hits = F.size(F.filter(attribute_values(html, tag, attr), lambda v: F.length(v) == length))
+    lines = F.flatten(F.transform(attribute_values(html, tag, attr), lambda v: F.split(v, "\n")))
+    hits = F.size(F.filter(lines, lambda v: F.length(v) == length))
     if by:
         return df.select(*by, hits.cast("long").alias(name))
     return df.agg(F.coalesce(F.sum(hits), F.lit(0)).cast("long").alias(name))

@@ -3,9 +3,8 @@
 Sides read from files are not hinted: Spark knows their size, broadcasts them
 under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles anything larger,
 splitting hot keys at run time. For sides that are themselves joins or
-aggregates Spark only has a guess, usually far too high; ``broadcast_if_small``
-counts those and hints them when they are small. A blind hint would turn a
-dimension that has grown into a failed job.
+aggregates AQE turns the join into a broadcast when the bytes it has measured
+are few. A hint would turn a dimension that has grown into a failed job.
 """
 
 from __future__ import annotations
@@ -16,23 +15,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _all(conds: Sequence[Column]) -> Column:
     return reduce(Column.__and__, conds)
 
 
-BROADCAST_ROWS = 500_000
-
-
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a narrow side of at most ``max_rows`` rows, else leave it to Spark.
-
-    Runs a job: the side is counted.
-    """
-    return F.broadcast(side) if side.count() <= max_rows else side
-
-
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -102,8 +91,7 @@ def double_lookup(
     live = dim.filter(active)
 
     def keep(left: DataFrame, on: Mapping[str, str]) -> DataFrame:
-        side = live.select(*[F.col(d).alias(f"__{i}") for i, d in enumerate(on.values())])
-        return left.join(side, _all([left[f] == side[f"__{i}"] for i, f in enumerate(on)]), "left_semi")
+        return join_back(left, live.select(*[F.col(d).alias(f) for f, d in on.items()]).distinct(), list(on), "left_semi")
 
     return keep(keep(df, first), second)
 
@@ -136,7 +124,7 @@ def convert_currency(
     The rate is the one of the booking date and currency. ``df`` has
     ``create_date`` and ``currency_code``; see ``fx_table`` for the dimensions.
     """
-    fx = broadcast_if_small(fx_table(rates, dates, currencies))
+    fx = fx_table(rates, dates, currencies)
     cond = (df["create_date"] == fx["creation_date"]) & (df["currency_code"] == fx["currency_iso_cd"])
     return df.join(fx, cond, how).drop("creation_date", "currency_iso_cd")
 
@@ -158,6 +146,11 @@ def fx_table(rates: DataFrame, dates: DataFrame, currencies: DataFrame) -> DataF
     )
 
 
+def _as_wide(c: Column, other: T.DataType) -> Column:
+    """The column in the type in which it compares with ``other``; hashes differ between types."""
+    return F.coalesce(c, F.lit(None).cast(other))
+
+
 def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join values grouped by key back to the rows of that key; keys kept once.
 
@@ -168,8 +161,9 @@ def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str
     shuffled once more, and hot keys are split.
     """
     marked = child.select(*[F.col(c) if c not in keys else F.col(c).alias(f"__{c}") for c in child.columns])
-    marked = marked.withColumn("__hash", F.xxhash64(*[f"__{k}" for k in keys]))
-    cond = _all([F.xxhash64(*[parent[k] for k in keys]) == marked["__hash"], *[parent[k] == marked[f"__{k}"] for k in keys]])
+    marked = marked.withColumn("__hash", F.xxhash64(*[_as_wide(F.col(f"__{k}"), parent.schema[k].dataType) for k in keys]))
+    hashed = F.xxhash64(*[_as_wide(parent[k], child.schema[k].dataType) for k in keys])
+    cond = _all([hashed == marked["__hash"], *[parent[k] == marked[f"__{k}"] for k in keys]])
     return parent.join(marked, cond, how).drop("__hash", *[f"__{k}" for k in keys])
 
 
@@ -178,8 +172,7 @@ def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str
 
 def anti_missing(a: DataFrame, b: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """NOT EXISTS: rows of ``a`` without a match; NULL keys of ``a`` stay."""
-    side = b.select(*[F.col(r).alias(f"__{i}") for i, r in enumerate(keys.values())])
-    return a.join(side, _all([a[l] == side[f"__{i}"] for i, l in enumerate(keys)]), "left_anti")
+    return join_back(a, b.select(*[F.col(r).alias(l) for l, r in keys.items()]).distinct(), list(keys), "left_anti")
 
 
 def anti_not_in(a: DataFrame, b: DataFrame, key: str, other: str | None = None) -> DataFrame:
@@ -196,7 +189,7 @@ def anti_not_in(a: DataFrame, b: DataFrame, key: str, other: str | None = None)
             (F.count(F.lit(1)) == 0).alias("empty"),
         ).alias("f")
     ).scalar()
-    kept = a.join(side, a[key] == side["__k"], "left_anti")
+    kept = join_back(a, side.distinct().withColumnRenamed("__k", key), [key], "left_anti")
     return kept.filter(~facts["has_null"] & (F.col(key).isNotNull() | facts["empty"]))
 
 
@@ -207,8 +200,11 @@ def already_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str], null_a
     def norm(frame: DataFrame, k: str) -> Column:
         return F.coalesce(frame[k], F.lit(null_as[k])) if k in null_as else frame[k]
 
-    side = target.select(*[norm(target, k).alias(f"__{i}") for i, k in enumerate(keys)])
-    return df.join(side, _all([norm(df, k) == side[f"__{i}"] for i, k in enumerate(keys)]), "left_semi")
+    side = target.select(*[norm(target, k).alias(f"__{k}") for k in keys]).distinct()
+    typed = df.select(*[norm(df, k).alias(k) for k in keys]).schema
+    side = side.withColumn("__hash", F.xxhash64(*[_as_wide(F.col(f"__{k}"), typed[k].dataType) for k in keys]))
+    hashed = F.xxhash64(*[_as_wide(norm(df, k), side.schema[f"__{k}"].dataType) for k in keys]) == side["__hash"]
+    return df.join(side, _all([hashed, *[norm(df, k) == side[f"__{k}"] for k in keys]]), "left_semi")
 
 
 def matched_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

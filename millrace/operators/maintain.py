@@ -48,18 +48,23 @@ def net_change(
 ) -> DataFrame:
     """Base table after a change log: latest entry per key, deleted keys gone.
 
-    Sequence numbers are compared as numbers ('10' after '9'). Base rows count as
-    INSERT with number 0.
+    Sequence numbers are compared as numbers ('10' after '9'); of equal ones the
+    operation decides. Base rows count as INSERT with number 0. An entry whose
+    operation is none of the known ones, or NULL, is no row of the table: as the
+    latest of its key it removes the key like a DELETE.
+
+    The log is reduced to one row per key first. The base is not sorted; its
+    rows are kept when the log does not know their key.
     """
     columns = base.columns
-    weight = F.array_position(F.array(*[F.lit(o) for o in OPERATIONS]), F.upper(F.col(op)))
-    entries = base.withColumns(
-        {"__seq": F.lit(0).cast("decimal(38,0)"), "__op": F.lit(1).cast("long")}
-    ).unionByName(
-        log.withColumns({"__seq": F.col(seq).cast("decimal(38,0)"), "__op": weight}).select(*columns, "__seq", "__op")
+    weight = F.coalesce(F.array_position(F.array(*[F.lit(o) for o in OPERATIONS]), F.upper(F.col(op))), F.lit(0))
+    last = pick_first(
+        log.withColumns({"__seq": F.col(seq).cast("decimal(38,0)"), "__op": weight}).select(*columns, "__seq", "__op"),
+        keys, [F.col("__seq").desc(), F.col("__op").desc()],
     )
-    last = pick_first(entries, keys, [F.col("__seq").desc(), F.col("__op").desc()])
-    return last.filter(F.col("__op") < len(OPERATIONS)).select(*columns)
+    kept = join_back(base, last.select(*keys), keys, "left_anti")
+    live = last.filter((F.col("__op") > 0) & (F.col("__op") < len(OPERATIONS)))
+    return kept.select(*columns).unionByName(live.select(*columns))
 
 
 def set_flag(target: DataFrame, matched: DataFrame, key: str, flag: str) -> DataFrame:

@@ -69,8 +69,7 @@ def _split(df: DataFrame, by: Sequence[str], hot: list[tuple]) -> tuple[DataFram
     schema = T.StructType([T.StructField(f"__k{i}", df.schema[b].dataType) for i, b in enumerate(by)])
     keys = df.sparkSession.createDataFrame([h[: len(by)] for h in hot], schema)
     cond = reduce(Column.__and__, [df[b].eqNullSafe(keys[f"__k{i}"]) for i, b in enumerate(by)])
-    # Safe to broadcast: see oversized_groups for the bound.
-    return df.join(F.broadcast(keys), cond, "left_semi"), df.join(F.broadcast(keys), cond, "left_anti")
+    return df.join(keys, cond, "left_semi"), df.join(keys, cond, "left_anti")
 
 
 def _blocks(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
@@ -118,7 +117,7 @@ def prefix_scan(
     cond = (local["__block"] == carried["__b"]) & reduce(
         Column.__and__, [local[b].eqNullSafe(carried[f"__k{i}"]) for i, b in enumerate(by)]
     )
-    merged = local.join(F.broadcast(carried), cond, "inner").withColumns(
+    merged = local.join(carried, cond, "inner").withColumns(
         {
             m.name: m.merge(F.col(f"__{m.name}"), F.col(m.name)).cast(local.schema[m.name].dataType)
             for m in measures
@@ -208,7 +207,7 @@ def rank_columns(
     schema = T.StructType([*[T.StructField(k, t) for k, t in sizes.items()], T.StructField("__total", T.LongType())])
     totals = df.sparkSession.createDataFrame(hot, schema)
     ranked = ranked.join(
-        F.broadcast(totals),
+        totals,
         reduce(Column.__and__, [ranked[b].eqNullSafe(totals[f"__k{i}"]) for i, b in enumerate(by)]),
     )
     rank = F.col("__upto") - F.col("__n") + 1
@@ -279,7 +278,7 @@ def lead_value(
     cond = (local["__block"] == follow["__b"]) & reduce(
         Column.__and__, [local[b].eqNullSafe(follow[f"__k{i}"]) for i, b in enumerate(by)]
     )
-    joined = local.join(F.broadcast(follow), cond).withColumn(
+    joined = local.join(follow, cond).withColumn(
         into, F.when(F.col("__last"), F.col("__next.v")).otherwise(F.col(into))
     )
     columns = [*df.columns, into]

@@ -12,7 +12,7 @@ from millrace.functions.arrays import element_or
 from millrace.functions.money import RATED, money, scaled_amount
 from millrace.functions.text import blank
 from millrace.operators.aggregates import counted_values
-from millrace.operators.joins import broadcast_if_small, fx_table, join_back, lookup, lookup_date_key
+from millrace.operators.joins import fx_table, join_back, lookup, lookup_date_key
 from millrace.operators.nested import explode_aligned, explode_path
 from millrace.operators.quality import FieldRule, RecordRule, _errors, field_errors, starts_with_any
 
@@ -109,7 +109,7 @@ def reservation_amounts(keyed: DataFrame, dims: Dimensions, align: str = "positi
     ``fx_how="inner"`` without a rate, add nothing; keys left with no segment drop.
     """
     rows = lookup_date_key(_segments(keyed, align), dims.dates, "start_date", "date_arrival_key", "left")
-    fx = broadcast_if_small(fx_table(dims.rates, dims.dates, dims.currencies))
+    fx = fx_table(dims.rates, dims.dates, dims.currencies)
     rows = lookup(
         rows,
         fx,

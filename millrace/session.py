@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
     context.setCheckpointDir(folder)
     return folder

@@ -20,9 +20,11 @@ def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
 def append(df: DataFrame, table: str, columns: Sequence[str] | None = None, fmt: str = "parquet") -> None:
     """Append by name; columns the frame lacks become NULL.
 
-    The table is created when it does not exist.
+    The table is created when it does not exist; a swap of it that stopped half
+    way is undone first, so that its history is not lost.
     """
     out = df.select(*columns) if columns else df
+    recover(out.sparkSession, table)
     if not out.sparkSession.catalog.tableExists(table):
         out.write.format(fmt).saveAsTable(table)
         return
@@ -55,12 +57,20 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
+def recover(spark: SparkSession, final: str) -> None:
+    """Undo a swap that stopped between its renames: the old version is ``final`` again."""
+    old = f"{final}__old"
+    if not spark.catalog.tableExists(final) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {final}")
+
+
 def swap(spark: SparkSession, rebuilt: str, final: str) -> None:
     """Put a rebuilt table in the place of ``final``.
 
     The old version is renamed away and dropped last, so a failure in between
-    leaves both versions on disk.
+    leaves both versions on disk; ``recover`` puts it back.
     """
+    recover(spark, final)
     old = f"{final}__old"
     drop(spark, old)
     if spark.catalog.tableExists(final):

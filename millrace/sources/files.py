@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import codecs
 import uuid
 from collections.abc import Sequence
@@ -90,12 +91,18 @@ def _lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
 def split_escaped(line: str | Column, sep: str = "|", escape: str = "\\") -> Column:
     """Split on delimiters that are not escaped, then remove the escapes.
 
-    A delimiter counts when an even number of escape characters (up to 100)
-    stands before it.
+    The line is read from left to right: an escape character takes the character
+    behind it along, however many stand in a row. A single escape at the end of
+    the line stands for itself.
     """
-    e, s = "\\" + escape, "\\" + sep
-    unescaped = f"(?<=(?:^|[^{e}])(?:{e}{e}){{0,50}}){s}"
-    return F.transform(F.split(line, unescaped, -1), lambda f: F.regexp_replace(f, f"{e}(.)", "$1"))
+    c = F.col(line) if isinstance(line, str) else line
+    e, s = re.escape(escape), re.escape(sep)
+    # Every field, also the last one, ends with a delimiter. A lone escape at the
+    # end is doubled first, or it would hide that delimiter.
+    lone = c.rlike(rf"(?s)\A(?:[^{e}]|{e}.)*+{e}\z")
+    closed = F.concat(F.when(lone, F.concat(c, F.lit(escape))).otherwise(c), F.lit(sep))
+    fields = F.regexp_extract_all(closed, F.lit(rf"(?s)((?:[^{e}{s}]++|{e}.)*+){s}"), F.lit(1))
+    return F.transform(fields, lambda f: F.regexp_replace(f, rf"(?s){e}(.)", "$1"))
 
 
 def read_delimited(

@@ -135,11 +135,16 @@ def test_hot_keys_are_split_when_joined_back(spark):
             spark.conf.unset(k)
 
 
-def test_checked_broadcast(spark):
-    small = J.broadcast_if_small(spark.range(10), 10)
-    large = J.broadcast_if_small(spark.range(11), 10)
-    assert "strategy=broadcast" in small._jdf.queryExecution().toString()
-    assert "strategy=broadcast" not in large._jdf.queryExecution().toString()
+def test_hot_right_keys_of_semi_and_anti_joins(spark):
+    """One row per key reaches the join, whatever the right side repeats."""
+    a = spark.range(40).selectExpr("id % 4 as k", "id as p")
+    b = spark.range(3000).selectExpr("if(id < 2990, 1, cast(null as bigint)) as k")
+    for df in (J.anti_missing(a, b, {"k": "k"}), J.anti_not_in(a, b.dropna(), "k"), J.already_loaded(a, b, ["k"]), J.double_lookup(a, b, {"k": "k"}, {"k": "k"}, F.lit(True))):
+        assert "Aggregate" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert J.anti_missing(a, b, {"k": "k"}).count() == 30 and J.anti_not_in(a, b, "k").count() == 0
+    assert J.already_loaded(a, b, ["k"]).count() == 10 and J.double_lookup(a, b, {"k": "k"}, {"k": "k"}, F.lit(True)).count() == 10
+    nulls = spark.createDataFrame([(None, 1), (1, 2)], "k bigint, p int")
+    assert J.already_loaded(nulls, b, ["k"], {"k": -1}).count() == 2 and J.already_loaded(nulls, b, ["k"]).count() == 1
 
 
 def test_double_match_marks_and_keeps(spark):

@@ -105,3 +105,14 @@ def test_diff_rows_of_equal_tables_is_empty(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "k INT, v STRING")
     assert R.diff_rows(df, df.select("*"), "k", [("v", "v")]).count() == 0
     assert R.side_by_side(df, df.filter("k = 1"), "k").count() == 2
+
+
+def test_other_operations_are_no_rows(spark):
+    """Images of old rows and unknown operations never come out; the base is not sorted."""
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "k int, v string")
+    log = spark.createDataFrame(
+        [(1, "x", "BEFOREIMAGE", "2"), (1, "y", "UPDATE", "1"), (2, "z", None, "1"), (3, "u", "update", "1"), (5, "n", "INSERT", "1"), (6, "m", "BEFOREIMAGE", "1")],
+        "k int, v string, header__operation string, header__change_seq string",
+    )
+    out = M.net_change(base, log, ["k"])
+    assert sorted((r.k, r.v) for r in out.collect()) == [(3, "u"), (4, "d"), (5, "n")]

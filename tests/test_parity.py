@@ -9,6 +9,8 @@ import __spark_entry__ as entry_points
 from millrace.catalog import QUERIES
 
 FOLDER = os.environ.get("PARITY_DIR", "/root/testdata/sf0.001")
+# On the smallest tables no row passes this filter.
+EMPTY_IS_RIGHT = {"filter_two_columns"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
@@ -20,7 +22,7 @@ def con():
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_query_equals_sql(spark, con, name):
     found = difference(QUERIES[name](spark, FOLDER), con, QUERIES[name].sql)
-    assert found in (None, "EMPTY")
+    assert found is None or found == "EMPTY" and name in EMPTY_IS_RIGHT
 
 
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if not q.sql])

@@ -59,3 +59,20 @@ def test_trap_19_rewrite_a_table_that_is_read(spark):
     tables.rewrite(spark.table("snk_d").filter("id > 1"), "snk_d")
     assert sorted(r.id for r in spark.table("snk_d").collect()) == [2, 3]
     assert not spark.catalog.tableExists("snk_d__old") and not spark.catalog.tableExists("snk_d__next")
+
+
+def test_swap_that_stopped_half_way(spark):
+    """The history is under its old name; appending and swapping find it again."""
+    for t in ("snk_h", "snk_h__old", "snk_h__next"):
+        tables.drop(spark, t)
+    for act in ("append", "rewrite"):
+        tables.overwrite(spark.range(3), "snk_h")
+        spark.sql("ALTER TABLE snk_h RENAME TO snk_h__old")
+        if act == "append":
+            tables.append(spark.range(10, 12), "snk_h")
+            assert spark.table("snk_h").count() == 5
+        else:
+            tables.recover(spark, "snk_h")
+            tables.rewrite(spark.table("snk_h").union(spark.range(20, 21)), "snk_h")
+            assert spark.table("snk_h").count() == 4
+        assert not spark.catalog.tableExists("snk_h__old")

@@ -183,3 +183,17 @@ def test_quotes_and_blank_lines_are_plain(spark, tmp_path):
     assert {(r.a, r.b) for r in files.read_delimited(spark, p, "a STRING, b STRING", skip=1)[0].collect()} == {
         ('"a', 'b"'), ("  x", '"y'), ("#c", "d")
     }
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 100, 101, 102, 103, 1000])
+def test_any_number_of_escapes(spark, n):
+    """An even number of escapes leaves the delimiter alone, an odd one takes it along."""
+    line = "a" + "\\" * n + "|b"
+    want = ["a" + "\\" * (n // 2), "b"] if n % 2 == 0 else ["a" + "\\" * (n // 2) + "|b"]
+    got = spark.createDataFrame([(line,)], "l string").select(files.split_escaped("l").alias("f")).first().f
+    assert got == want
+
+
+@pytest.mark.parametrize("line,want", [("", [""]), ("|", ["", ""]), ("a\\", ["a\\"]), ("a|b\\", ["a", "b\\"]), ("x" * 50_000 + "|" + "y" * 50_000, ["x" * 50_000, "y" * 50_000]), ("\\\\|", ["\\", ""])])
+def test_escaped_edge_cases(spark, line, want):
+    assert spark.createDataFrame([(line,)], "l string").select(files.split_escaped("l").alias("f")).first().f == want

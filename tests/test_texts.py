@@ -162,3 +162,24 @@ def test_open_cells_and_rows_are_closed():
     assert H._table_rows("<TABLE><tr><TH>h<th>i<tr><td>1<td>2</table><td>stray") == [
         [("th", "h"), ("th", "i")], [("td", "1"), ("td", "2")]
     ]
+
+
+@pytest.mark.parametrize(
+    "html,n",
+    [
+        ('<a title="x>y" href="abcdefghijk">', 1),
+        ('<a title=" href=abcdefghijk">', 0),
+        ('<a href="a&amp;bcdefghij">', 1),
+        ('<a href="abcdefghijk\nbcdefghijkl">', 2),
+        ('<a href="abcdefghijk"><!-- <a href="abcdefghijk">', 1),
+        ("<a\nhref=abcdefghijk ><A HREF='abcdefghijk'/><abbr href=abcdefghijk>", 2),
+        ('<a href="&#65;bcdefghijk" href="abcdefghijk"><a data-href="abcdefghijk"><a href>', 1),
+        ("<script>'<a href=abcdefghijk>'</script>", 0),
+        (None, -1),
+    ],
+)
+def test_elements_as_a_parser_sees_them(spark, html, n):
+    from millrace.operators.html import count_elements
+
+    got = count_elements(spark.createDataFrame([(html,)], "html string"), "html", "a", "href", 11, by=["html"]).first().n
+    assert got == n or html is None and got in (-1, None)
