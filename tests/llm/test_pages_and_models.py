@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import prose  # noqa: I001
+from samples import prose  # noqa: I001
 from millrace.llm.packing import LENGTH, Encoder, best_fit, cut_points, local_search, pack_documents, vocabulary
 from millrace.llm.page_text import blocks, extract_pages, main_text, min_cut
 from millrace.llm.quality_net import Network, fit, quality_scores
