@@ -18,7 +18,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -53,8 +53,13 @@ def _blocks_of(size: np.ndarray, differ: np.ndarray) -> np.ndarray:
     return (k + np.ceil(empty + 3 * np.sqrt(empty))).astype(np.int64)
 
 
-def block_keys(sets: list[np.ndarray], how: Similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of arrays (index of the set, key of a block).
+def block_keys(
+    sets: list[np.ndarray], how: Similarity
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays (index of the set, key of a block, whether it is filled, need) for a set's own class (0) and the next (1).
+
+    ``need`` is how many blocks of that class the set has in common with any set
+    of the class that it links with, at least.
 
     Sizes fall into classes that double. Two linked sets are compared by the
     blocks of the larger one's class, so a set close to its class's end is cut
@@ -88,7 +93,9 @@ def block_keys(sets: list[np.ndarray], how: Similarity) -> Iterator[tuple[np.nda
         block = np.arange(first[-1]) - first[owner]
         salt = mixed((top[owner].astype(np.uint64) << np.uint64(24)) ^ block.astype(np.uint64))
         keep = filled | few[owner]
-        yield chosen[owner[keep]], mixed(total + salt)[keep]
+        partner = np.minimum(how.largest_partner(sizes[chosen]), top)
+        need = np.bincount(owner, weights=filled).astype(np.int64) - how.most_different(sizes[chosen], partner)
+        yield up, chosen[owner[keep]], mixed(total + salt)[keep], filled[keep], need[owner[keep]]
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -116,7 +123,10 @@ def set_table(docs: DataFrame, how: Similarity, doc_id: str, text: str) -> DataF
 
 
 def block_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
-    """``block`` and ``node``: the blocks of every set, once for each set and task."""
+    """``block``, ``node``, ``code``: the blocks of every set, once for each set and task.
+
+    ``code`` is twice the blocks that a link needs in the class, plus 1 for the next class.
+    """
 
     def scan(batches):
         seen: set[int] = set()
@@ -129,16 +139,17 @@ def block_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
                         sets.append(s)
                         nodes.append(node)
                 ids = np.array(nodes, dtype=np.int64)
-                for owner, key in block_keys(sets, how) if sets else ():
+                for up, owner, key, _, need in block_keys(sets, how) if sets else ():
                     yield pa.record_batch(
-                        [pa.array(key.view(np.int64)), pa.array(ids[owner])], names=["block", "node"]
+                        [pa.array(key.view(np.int64)), pa.array(ids[owner]), pa.array((2 * need + up).astype(np.int32))],
+                        names=["block", "node", "code"],
                     )
 
-    return docs.select(text).mapInArrow(scan, "block bigint, node bigint")
+    return docs.select(text).mapInArrow(scan, "block bigint, node bigint, code int")
 
 
 def token_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
-    """``node``, ``tokens`` of the given rows, once for each set and task."""
+    """``node``, ``tokens`` and the keys of its filled blocks, ``own`` and ``up``, once for each set and task."""
 
     def scan(batches):
         seen: set[int] = set()
@@ -149,12 +160,20 @@ def token_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
                     if len(s) and (node := set_key(s)) not in seen:
                         seen.add(node)
                         nodes.append(node)
-                        sets.append(s.view(np.int64))
+                        sets.append(s)
+                keys = [[np.zeros(0, dtype=np.int64)] * len(sets) for _ in (0, 1)]
+                for up, owner, key, filled, _ in block_keys(sets, how) if sets else ():
+                    owner, key = owner[filled], key[filled].view(np.int64)
+                    edges = np.searchsorted(owner, np.arange(len(sets) + 1))
+                    for i in np.unique(owner):
+                        keys[up][i] = key[edges[i] : edges[i + 1]]
+                longs = pa.list_(pa.int64())
                 yield pa.record_batch(
-                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "tokens"]
+                    [pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), *[pa.array(k, longs) for k in keys]],
+                    names=["node", "tokens", "own", "up"],
                 )
 
-    return docs.select(text).mapInArrow(scan, "node bigint, tokens array<bigint>")
+    return docs.select(text).mapInArrow(scan, "node bigint, tokens array<bigint>, own array<bigint>, up array<bigint>")
 
 
 def semi_by_id(rows: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
@@ -163,13 +182,39 @@ def semi_by_id(rows: DataFrame, ids: DataFrame, key: str, how: str = "left_semi"
     return rows.join(F.broadcast(ids) if few else ids, key, how)
 
 
-def _linked(pairs: DataFrame, tokens: DataFrame, how: Similarity) -> DataFrame:
-    """Those pairs (a, b) of nodes whose sets link."""
+def _class(n: Column) -> Column:
+    return F.length(F.bin(n)) - 1
+
+
+def _differ(how: Similarity, a: Column, b: Column) -> Column:
+    """``Similarity.most_different`` as an expression."""
+    return F.floor((how.den - how.num) * (a + b) / (how.den + how.num))
+
+
+def _common(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their sets and of what they have in common, ``both``."""
     left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.filter(how.den * both >= how.num * (F.size("left") + F.size("right") - both)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select(
+        "a", "b", F.size("left").alias("size_a"), F.size("right").alias("size_b"), F.size(F.array_intersect("left", "right")).alias("both")
+    )
+
+
+def _linked(pairs: DataFrame, tokens: DataFrame, how: Similarity) -> DataFrame:
+    """Those pairs (a, b, with sizes na, nb) of nodes whose sets link.
+
+    Sets that differ in at most d shingles share all filled blocks but d, so the
+    blocks, a tenth of the set or so, are compared first; the sets of the pairs
+    that are left decide.
+    """
+    side = lambda me, other: F.when(_class(F.col(me)) < _class(F.col(other)), F.col("up")).otherwise(F.col("own"))
+    blocks = tokens.select("node", "own", "up")
+    left = pairs.join(blocks.withColumnRenamed("node", "a"), "a").select("a", "b", "na", "nb", side("na", "nb").alias("left"))
+    right = left.join(blocks.withColumnRenamed("node", "b"), "b").select("a", "b", "na", "nb", "left", side("nb", "na").alias("right"))
+    enough = F.size("left") - _differ(how, F.col("na"), F.col("nb"))
+    near = written(right.filter(F.size(F.array_intersect("left", "right")) >= enough).select("a", "b").distinct())
+    both = F.col("both")
+    return _common(near, tokens).filter(how.den * both >= how.num * (F.col("size_a") + F.col("size_b") - both)).select("a", "b")
 
 
 def _fitting(pairs: DataFrame, how: Similarity) -> DataFrame:
@@ -180,81 +225,90 @@ def _fitting(pairs: DataFrame, how: Similarity) -> DataFrame:
 def links(docs: DataFrame, sets: DataFrame, how: Similarity, doc_id: str, text: str) -> DataFrame:
     """Edges (a, b) of nodes whose components are those of all links.
 
-    1. Blocks that more than one set has are found by counting.
+    1. Blocks that more than one set has are found by counting, and sets that
+       share too few of theirs for any link are left out.
     2. Every shared block proposes the link between its most central set, the
        one whose blocks are shared most, and each other set: as many proposals
        as rows, however large a group of near copies is. Proposals are checked
-       on the whole sets.
-    3. Stars that are linked form groups. Where a shared block still lies in
-       different groups, each set of the smaller group is held against the
-       union of the other's tokens; where the overlap can reach what a link
-       needs, the group is opened: its members with a block of that set are
-       compared with it. So no link between groups is missed, and links inside
-       a group cannot change the components.
+       on the whole sets; linked stars form groups.
+    3. Where sets of different groups still share a block, each set keeps its
+       least shared blocks, as many as two linked sets need to meet. The tokens of all
+       these sets are put into the matrix with the number of their holders. A
+       token that one set holds alone is in no other set's overlap with it. With
+       ``alone`` such tokens, and ``away`` other tokens by which a set and the
+       block's central set differ, two sets of the block differ in at least
+       alone + alone' + |away - away'| tokens, by the triangle inequality. A set
+       whose least sum over its block is more than a link allows asks nobody;
+       the others are compared with the sets of other groups for which the sum
+       allows a link. So no link between groups is missed, links inside a group
+       cannot change the components, and copies with many different changes
+       are not paired with each other.
     """
     blocks = block_table(docs, how, text)
     counts = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("block")
     shared = join_back(blocks, counts, ["block"]).distinct()
     shared = written(shared)
+    for _ in range(2):
+        # Sets that share too few blocks with all others together link with none; without them others may share too few.
+        sizes = shared.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        shared = join_back(shared, sizes, ["block"])
+        able = shared.groupBy("node", "code").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= F.shiftright("code", 1))
+        shared = written(shared.join(able.select("node", "code"), ["node", "code"], "left_semi").select("block", "node", "code"))
     sizes = shared.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = written(join_back(shared, sizes, ["block"]))
     size_of = sets.filter("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"))
     score = written(
         shared.groupBy("node").agg(F.sum("c").alias("score")).join(size_of, "node")
     )
-    rows = written(shared.drop("c").join(score.select("node", "score", "n"), "node"))
+    rows = written(shared.join(score.select("node", "score", "n"), "node"))
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     picked = semi_by_id(named, score.select("doc_id").distinct(), "doc_id").union(named.filter("doc_id IS NULL"))
-    tokens = written(token_table(picked, how, "text").join(score.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    # Rows that repeat an id may bring a set twice, or sets that are not asked for; neither changes a link.
+    tokens = written(token_table(picked, how, "text"))
     centers = rows.groupBy("block").agg(F.max(F.struct("score", "n", "node")).alias("x"))
     centers = centers.select("block", F.col("x.node").alias("a"), F.col("x.n").alias("na"))
     stars = join_back(rows.select("block", F.col("node").alias("b"), F.col("n").alias("nb")), centers, ["block"])
-    stars = _fitting(stars.filter("a <> b"), how).select("a", "b").distinct()
+    stars = _fitting(stars.filter("a <> b"), how).select("a", "b", "na", "nb").distinct()
     edges = written(_linked(written(stars), tokens, how))
 
     # Groups: the components so far; a set without a link is a group of its own.
     groups = components(edges)
     grouped = rows.join(groups, "node", "left").withColumn("grp", F.coalesce("label", "node")).drop("label", "score")
     split = grouped.groupBy("block").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi").select("block")
-    open_rows = written(join_back(grouped, split, ["block"]))
+    open_rows = join_back(grouped, split, ["block"])
+    # Two sets that link share as many blocks as either needs, so they meet among the least shared ones of both.
+    own = Window.partitionBy("node", "code")
+    ranked = open_rows.withColumn("spare", F.count(F.lit(1)).over(own) - F.shiftright("code", 1))
+    ranked = ranked.withColumn("place", F.row_number().over(own.orderBy("c", "block")))
+    open_rows = written(ranked.filter(F.col("place") <= F.col("spare") + 1).select("block", "node", "grp", "n").distinct())
     if open_rows.isEmpty():
         return edges
-    members = open_rows.select("grp", "node", "n").distinct()
-    weight = written(members.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most")))
-    per_block = open_rows.select("block", "grp").distinct().join(weight, "grp")
-    left = per_block.select("block", *[F.col(c).alias(f"l_{c}") for c in ("grp", "members", "least", "most")])
-    meeting = left.join(per_block, "block").filter("l_grp < grp").filter(
-        (how.den * F.col("most") >= how.num * F.col("l_least")) & (how.den * F.col("l_most") >= how.num * F.col("least"))
-    )
-    swap = F.col("l_members") > F.col("members")
-    meeting = written(
-        meeting.select(
-            F.when(swap, F.col("grp")).otherwise(F.col("l_grp")).alias("q_grp"),
-            F.when(swap, F.col("l_grp")).otherwise(F.col("grp")).alias("grp"),
-            F.when(swap, F.col("l_members")).otherwise(F.col("members")).alias("members"),
-            F.when(swap, F.col("l_least")).otherwise(F.col("least")).alias("least"),
-        ).distinct()
-    )
-    queries = meeting.join(members.select(F.col("grp").alias("q_grp"), F.col("node").alias("q"), F.col("n").alias("nq")), "q_grp")
-    # The matrix of groups with several members: one row for each token and group.
-    many = meeting.filter("members > 1").select("grp").distinct()
-    union = (
-        members.join(many, "grp", "left_semi").join(tokens, "node").select("grp", F.explode("tokens").alias("token")).distinct()
+    # The matrix: how many of these sets hold a token. What a set holds alone is outside the union of all others.
+    nodes = written(open_rows.select("node").distinct())
+    matrix = (
+        tokens.join(nodes, "node", "left_semi").select("node", F.explode("tokens").alias("token"))
+        .groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     )
-    asked = queries.filter("members > 1").join(tokens.withColumnRenamed("node", "q"), "q")
-    overlap = (
-        asked.select("q", "grp", "nq", "least", F.explode("tokens").alias("token"))
-        .join(union, ["grp", "token"])
-        .groupBy("q", "grp", "nq", "least")
-        .agg(F.count(F.lit(1)).alias("common"))
+    alone = written(matrix.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    placed = join_back(open_rows.select("block", "node", "grp", "n"), centers.select("block", "a", "na"), ["block"])
+    common = written(_common(placed.select("a", F.col("node").alias("b")).distinct(), tokens).withColumnRenamed("b", "node").distinct())
+    placed = placed.join(common, ["a", "node"]).join(alone, "node", "left")
+    placed = placed.join(alone.select(F.col("node").alias("a"), F.col("alone").alias("a_alone")), "a", "left").fillna(0, ["alone", "a_alone"])
+    away = F.when(F.col("a") == F.col("node"), 0).otherwise(F.col("n") + F.col("na") - 2 * F.col("both") - F.col("alone") - F.col("a_alone"))
+    placed = written(placed.select("block", "node", "grp", "n", "alone", away.alias("away")))
+    nearest = placed.groupBy("block").agg(F.min(F.col("alone") - F.col("away")).alias("nearest"))
+    largest = F.floor(F.col("n") * how.den / how.num)
+    asking = join_back(placed, nearest, ["block"]).filter(F.col("alone") + F.col("away") + F.col("nearest") <= _differ(how, F.col("n"), largest))
+    asking = asking.select("block", *[F.col(c).alias(f"q_{c}") for c in ("node", "grp", "n", "alone", "away")])
+    apart = F.col("q_alone") + F.col("alone") + F.abs(F.col("q_away") - F.col("away"))
+    fits = how.den * F.least("n", "q_n") >= how.num * F.greatest("n", "q_n")
+    meet = (asking["block"] == placed["block"]) & (F.col("q_grp") != F.col("grp")) & fits & (apart <= _differ(how, F.col("q_n"), F.col("n")))
+    pairs = asking.join(placed, meet).select(
+        F.least("q_node", "node").alias("a"), F.greatest("q_node", "node").alias("b"),
+        F.when(F.col("q_node") < F.col("node"), F.col("q_n")).otherwise(F.col("n")).alias("na"),
+        F.when(F.col("q_node") < F.col("node"), F.col("n")).otherwise(F.col("q_n")).alias("nb"),
     )
-    least = F.greatest(F.col("least"), F.ceil(F.col("nq") * how.num / how.den))
-    bound = overlap.filter((how.num + how.den) * F.col("common") >= how.num * (F.col("nq") + least))
-    opened = written(bound.select("q", "grp").union(queries.filter("members = 1").select("q", "grp")))
-    q_rows = open_rows.select("block", F.col("node").alias("q"), F.col("n").alias("na")).join(opened, "q")
-    pairs = q_rows.join(open_rows.select("block", "grp", F.col("node").alias("b"), F.col("n").alias("nb")), ["block", "grp"])
-    pairs = _fitting(pairs.withColumnRenamed("q", "a"), how).select("a", "b").distinct()
-    return edges.union(_linked(written(pairs), tokens, how))
+    return edges.union(_linked(written(pairs.distinct()), tokens, how))
 
 
 def jaccard_groups(
