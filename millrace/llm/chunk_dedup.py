@@ -13,6 +13,8 @@ from millrace.operators.joins import join_back
 # text alone, so equal passages are cut alike wherever they stand.
 SMALLEST, LARGEST = 2048, 16384
 CUT = r"[.!?\n](?=[\s\S])"
+# Ids that a broadcast list has at most.
+BROADCAST_IDS = 500_000
 
 
 def chunks(text: Column) -> Column:
@@ -101,15 +103,20 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pref
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every group of equal texts, with the columns it came with.
 
-    Only ids and recipes are grouped; the texts are read again and filtered by
-    the kept ids. Of rows that repeat an id and a text one stays.
+    Only ids and recipes are grouped. The texts are read again without the ids
+    that go, at most ``BROADCAST_IDS`` of which are broadcast (about 100 bytes
+    each); more are joined by a shuffle. Of rows that repeat an id and a text one
+    stays.
     """
     p = "__copies_"
-    found = written(duplicates(docs.select(doc_id, text), doc_id, text, p).filter(F.col(f"{p}kept")).select(doc_id, f"{p}text_sha256"))
-    ids = found.groupBy(F.col(doc_id).alias(f"{p}id"), F.col(f"{p}text_sha256").alias(f"{p}sha")).agg(F.count(F.lit(1)).alias("n"))
+    found = duplicates(docs.select(doc_id, text), doc_id, text, p)
+    found = written(found.select(F.col(doc_id).alias(f"{p}id"), F.col(f"{p}text_sha256").alias(f"{p}gone"), f"{p}kept"))
+    gone = found.filter(~F.col(f"{p}kept")).select(f"{p}id", f"{p}gone").distinct()
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     rows = docs.withColumn(f"{p}sha", F.sha2(lower_ascii(text_or_empty(text)), 256))
-    same = rows[doc_id].eqNullSafe(ids[f"{p}id"]) & (rows[f"{p}sha"] == ids[f"{p}sha"])
-    kept = rows.join(ids, same, "left_semi")
-    if not ids.filter("n > 1").isEmpty():
+    same = rows[doc_id].eqNullSafe(gone[f"{p}id"]) & (rows[f"{p}sha"] == gone[f"{p}gone"])
+    kept = rows.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    repeated = found.filter(f"{p}kept").groupBy(f"{p}id", f"{p}gone").count().filter("count > 1")
+    if not repeated.isEmpty():
         kept = kept.dropDuplicates([doc_id, f"{p}sha"])
     return kept.drop(f"{p}sha")

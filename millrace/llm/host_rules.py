@@ -131,17 +131,22 @@ def host_rates(rated: DataFrame, host: str, failed: str, limits: Limits = Limits
     return hosts.withColumn("host_rate", shrunk).withColumn("host_rejected", F.col("host_rate") > limits.host_rate)
 
 
-def host_verdicts(rated: DataFrame, host: str, limits: Limits = Limits(), prefix: str = "") -> DataFrame:
+def host_verdicts(
+    rated: DataFrame, host: str, limits: Limits = Limits(), prefix: str = "", write: bool = True
+) -> DataFrame:
     """Add ``host_rate``, ``host_rejected`` and ``kept`` to the rows of ``with_failures``.
 
     A document that fails a base rule goes. In a rejected host every document
     that fails any rule goes too; documents without a failure stay wherever they
-    come from. The rows are written once, because they are read for the rates
-    and for the verdicts; the rates are joined back by host, split by AQE where
-    a host is hot. An empty table gives an empty result.
+    come from. The rows are read for the rates and again for the verdicts: with
+    ``write`` they are written once, which is cheaper for narrow rows; without
+    it they are made twice, which saves the room for texts. The rates are joined
+    back by host, split by AQE where a host is hot. An empty table gives an
+    empty result.
     """
     p = prefix
-    rows = written(rated.withColumn(f"{p}__host", group_key(host)))
+    rows = rated.withColumn(f"{p}__host", group_key(host))
+    rows = written(rows) if write else rows
     hosts = written(
         host_rates(rows, host, f"{p}rule_failed", limits).select(
             F.col("host_key").alias(f"{p}__key"),
@@ -159,4 +164,4 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", limits:
     """Documents that the rules keep, with the columns they came with."""
     p = "__rules_"
     rated = with_failures(with_counts(docs, text, p), limits, p)
-    return host_verdicts(rated, host, limits, p).filter(F.col(f"{p}kept")).select(docs.columns)
+    return host_verdicts(rated, host, limits, p, write=False).filter(F.col(f"{p}kept")).select(docs.columns)
