@@ -18,29 +18,48 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?;:,")] = True
+# Ends of other scripts: two bytes (Arabic, Greek) and three (ellipses, Devanagari, CJK and full width).
+_WIDE_ENDS = {n: np.array([int.from_bytes(c.encode()) for c in s]) for n, s in ((2, "؟،؛۔;"), (3, "…‥‼⁇⁈⁉।॥。、！？；：，．｡､"))}
 
 
 @dataclass(frozen=True)
 class Spans:
-    """A span has at least ``sentences`` sentences and ``words`` words.
+    """A span has at least ``sentences`` sentences and ``words`` words, or is one sentence of ``alone`` words or more.
 
     Sentences are the parts between full stops, question and exclamation marks,
-    commas, colons, semicolons and line ends, so that a passage put into another
-    text keeps most of its sentences whole.
+    commas, colons, semicolons, their forms in other scripts and line ends, so
+    that a passage put into another text keeps most of its sentences whole. A
+    sentence of more than ``long`` words is cut behind about one word in
+    ``piece``, chosen by the words alone, and its pieces count as sentences.
     """
 
     sentences: int = 2
     words: int = 20
+    alone: int = 20
+    long: int = 40
+    piece: int = 8
 
 
 @dataclass
 class Cut:
-    """Sentences of a text as byte offsets, and its spans by their first sentence."""
+    """Sentences of a text as byte offsets, and its spans by their first and last sentence."""
 
     starts: np.ndarray  # first byte of each sentence
     n_words: np.ndarray
-    keys: np.ndarray  # hash of the span that begins at a sentence
-    until: np.ndarray  # sentence behind that span
+    keys: np.ndarray  # hash of a span
+    at: np.ndarray  # its first sentence
+    until: np.ndarray  # sentence behind it
+
+
+def _ends(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a sentence ends with a word."""
+    ends = _ENDS[raw[last - 1]]
+    if (raw[last - 1] > 127).any():
+        for n, marks in _WIDE_ENDS.items():
+            long = np.flatnonzero(last - first >= n)
+            code = sum(raw[last[long] - n + k].astype(np.int64) << 8 * (n - 1 - k) for k in range(n))
+            ends[long] |= np.isin(code, marks)
+    return ends
 
 
 def cut(raw: np.ndarray, how: Spans) -> Cut:
@@ -49,28 +68,42 @@ def cut(raw: np.ndarray, how: Spans) -> Cut:
     n = len(first)
     if not n:
         none = np.zeros(0, dtype=np.int64)
-        return Cut(none, none, none.astype(np.uint64), none)
+        return Cut(none, none, none.astype(np.uint64), none, none)
     lines = np.concatenate([[0], np.cumsum(raw == 10)])
-    ends = _ENDS[raw[last - 1]]
+    ends = _ends(raw, first, last)
     ends[:-1] |= lines[first[1:]] > lines[last[:-1]]
     ends[-1] = True
+    hashes = word_hashes(raw)
     behind = np.flatnonzero(ends) + 1
     begin = np.concatenate([[0], behind[:-1]])
+    if (behind - begin).max() > how.long:
+        # A repeated word is no place to cut at.
+        spread = mixed(hashes[1:] + _BASE * hashes[:-1]) % np.uint64(how.piece)
+        ends[1:] |= (spread == 0) & (hashes[1:] != hashes[:-1]) & np.repeat(behind - begin > how.long, behind - begin)[1:]
+        behind = np.flatnonzero(ends) + 1
+        begin = np.concatenate([[0], behind[:-1]])
     count = len(begin)
-    # The span that begins at a sentence is the shortest run that is long enough.
-    until = np.maximum(np.searchsorted(behind, begin + how.words, side="left"), np.arange(count) + how.sentences - 1)
-    held = np.flatnonzero(until < count)
-    until = until[held] + 1
+    every = np.arange(count)
+    # Of the runs that are long enough the shortest that begins, and the shortest that ends, at each sentence:
+    # every sentence of a longer run is in one of those inside it.
+    alone = behind - begin >= how.alone
+    until = np.maximum(np.searchsorted(behind, begin + how.words, side="left"), every + how.sentences - 1)
+    until = np.where(alone, every, until) + 1
+    since = np.minimum(np.searchsorted(begin, behind - how.words, side="right") - 1, every - how.sentences + 1)
+    since = np.where(alone, every, since)
+    held, ending = np.flatnonzero(until <= count), np.flatnonzero(since >= 0)
+    both = np.unique(np.concatenate([held * (count + 1) + until[held], since[ending] * (count + 1) + ending + 1]))
+    at, until = both // (count + 1), both % (count + 1)
     powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _BASE))]).astype(np.uint64)
     inverses = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, _INVERSE))]).astype(np.uint64)
-    running = np.concatenate([[np.uint64(0)], np.cumsum(word_hashes(raw) * powers[:n])]).astype(np.uint64)
-    s, e = begin[held], behind[until - 1]
+    running = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:n])]).astype(np.uint64)
+    s, e = begin[at], behind[until - 1]
     keys = mixed((running[e] - running[s]) * inverses[s] + (e - s).astype(np.uint64))
-    return Cut(first[begin], behind - begin, keys, until)
+    return Cut(first[begin], behind - begin, keys, at, until)
 
 
 def span_table(docs: DataFrame, how: Spans, doc_id: str, text: str) -> DataFrame:
-    """``span``, ``doc_id``, ``at``: every span with the number of its first sentence."""
+    """``span``, ``doc_id``, ``at``: every span with its number in the text, by first and last sentence."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,7 +182,7 @@ def _without(raw: np.ndarray, at: list[int] | None, spans: list[int] | None, how
     for i, key in zip(at or (), spans or ()):
         # Another row of the same id may have put its own places on the list.
         if i < len(found.keys) and found.keys[i].astype(np.int64) == key:
-            gone[i] += 1
+            gone[found.at[i]] += 1
             gone[found.until[i]] -= 1
     covered = np.cumsum(gone[:-1]) > 0
     if not covered.any():

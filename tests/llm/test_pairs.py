@@ -173,3 +173,30 @@ def test_passage_inside_other_texts(spark):
     texts = dict(rows)
     assert all(got[i].text == texts[i] and not got[i].n_removed for i in (0, 1, 2, 4, 6))
     assert all(got[i].removed_words >= 40 and passage[150:350] not in got[i].text for i in (3, 5, 7))
+
+
+def sized(rng, *sizes):
+    """Sentences of so many words each, with no word twice."""
+    return " ".join(" ".join(f"w{rng.randrange(10**9)}" for _ in range(n)) + "." for n in sizes)
+
+
+@pytest.mark.parametrize("passage", [
+    lambda rng: sized(rng, 15, 15, 3), lambda rng: sized(rng, 3, 15, 15, 3, 2), lambda rng: sized(rng, 24),
+    lambda rng: sized(rng, 12, 12).replace(".", "。"), lambda rng: sized(rng, 12, 12).replace(".", "؟"),
+])
+def test_whole_passage_goes(spark, passage):
+    """Also its short last sentences, one long sentence, and sentences with ends of other scripts."""
+    rng = random.Random(4)
+    repeated = passage(rng)
+    rows = [(i, f"{sized(rng, 8)} {repeated} {sized(rng, 8)}") for i in (1, 2)]
+    got = {r.doc_id: r.text for r in drop_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: rows[0][1], 2: rows[1][1].replace(repeated + " ", "")}
+
+
+def test_passage_without_marks(spark):
+    rng = random.Random(8)
+    repeated = sized(rng, 90)[:-1]
+    rows = [(i, f"{sized(rng, 30)[:-1]} {repeated} {sized(rng, 30)}") for i in (1, 2)]
+    got = {r.doc_id: r for r in drop_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[2].removed_words >= 40
+    assert set(rows[1][1].split()) - set(repeated.split()) <= set(got[2].text.split())
