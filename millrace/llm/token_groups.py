@@ -233,7 +233,8 @@ def links(docs: DataFrame, sets: DataFrame, how: Similarity, doc_id: str, text:
        on the whole sets; linked stars form groups.
     3. Where sets of different groups still share a block, each set keeps its
        least shared blocks, as many as two linked sets need to meet. The tokens of all
-       these sets are put into the matrix with the number of their holders. A
+       these sets, and of the central sets of their blocks, are put into the
+       matrix with the number of their holders. A
        token that one set holds alone is in no other set's overlap with it. With
        ``alone`` such tokens, and ``away`` other tokens by which a set and the
        block's central set differ, two sets of the block differ in at least
@@ -284,13 +285,13 @@ def links(docs: DataFrame, sets: DataFrame, how: Similarity, doc_id: str, text:
     if open_rows.isEmpty():
         return edges
     # The matrix: how many of these sets hold a token. What a set holds alone is outside the union of all others.
-    nodes = written(open_rows.select("node").distinct())
+    placed = written(join_back(open_rows, centers, ["block"]))
+    nodes = written(placed.select("node").union(placed.select("a")).distinct())
     matrix = (
         tokens.join(nodes, "node", "left_semi").select("node", F.explode("tokens").alias("token"))
         .groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     )
     alone = written(matrix.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
-    placed = join_back(open_rows.select("block", "node", "grp", "n"), centers.select("block", "a", "na"), ["block"])
     common = written(_common(placed.select("a", F.col("node").alias("b")).distinct(), tokens).withColumnRenamed("b", "node").distinct())
     placed = placed.join(common, ["a", "node"]).join(alone, "node", "left")
     placed = placed.join(alone.select(F.col("node").alias("a"), F.col("alone").alias("a_alone")), "a", "left").fillna(0, ["alone", "a_alone"])

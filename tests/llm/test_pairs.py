@@ -10,8 +10,8 @@ import pytest
 
 from millrace.llm.components import components
 from millrace.llm.sentence_spans import Spans, drop_repeated
-from millrace.llm.shingles import _BLOCK, runs, shingle_sets, word_hashes
-from millrace.llm.token_groups import Similarity, _class, block_keys, drop_near_copies, jaccard_groups
+from millrace.llm.shingles import _BLOCK, mixed, runs, shingle_sets, word_hashes
+from millrace.llm.token_groups import Similarity, _blocks_of, _class, block_keys, drop_near_copies, jaccard_groups
 from samples import prose  # noqa: I001
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -200,3 +200,32 @@ def test_passage_without_marks(spark):
     got = {r.doc_id: r for r in drop_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[1].text == rows[0][1] and got[2].removed_words >= 40
     assert set(rows[1][1].split()) - set(repeated.split()) <= set(got[2].text.split())
+
+
+def test_links_beside_a_centre_that_has_no_place(spark):
+    """Two sets meet only in blocks whose central sets, hubs of large families, hold tokens of one of the two."""
+    how, rng = Similarity(1, 8, 10), random.Random(12)
+    k = int(_blocks_of(np.array([128 * 0.7]), how.most_different(np.array([127]), np.array([127])))[0])
+
+    def words(n, fits=lambda block: True):
+        out = []
+        while len(out) < n:
+            w = f"t{rng.randrange(10**12)}"
+            token = runs(word_hashes(np.frombuffer(w.encode(), dtype=np.uint8)), 1)
+            if fits(int(mixed(token ^ np.uint64(0xA5A5A5A5DEADBEEF))[0] % np.uint64(k))):
+                out.append(w)
+        return out
+
+    rows = []
+    for family in range(4):
+        stem = {b: words(3, lambda x, b=b: x == b) for b in range(k)}
+        shared = [w for ws in stem.values() for w in ws]
+        p, q = words(9), words(9)
+        rows += [" ".join(shared + p), " ".join(shared + q)]
+        for low in range(0, k, 5):
+            part = range(low, min(k, low + 5))
+            hub = [w for b in part for w in stem[b]] + p + words(75, lambda x: x not in part)
+            rows += [" ".join(hub)] + [" ".join(hub[:-1] + words(1, lambda x: x not in part)) for _ in range(12)]
+    rows = list(enumerate(rows))
+    got = sorted((tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), how).collect()), key=str)
+    assert got == expected_components(rows, how)
