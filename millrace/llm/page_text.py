@@ -20,6 +20,15 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NO_TEXT = frozenset("script style template noscript iframe object svg math title textarea select head audio video canvas".split())
+# Their content is no markup: it ends at the first end tag of theirs.
+RAW = frozenset("script style title textarea iframe noscript".split())
+# What may stand in a select, and what ends an open drawing or formula.
+IN_SELECT = INLINE | frozenset("option optgroup hr div button img legend selectedcontent script template svg".split())
+ENDS_DRAWING = frozenset(
+    "blockquote body br center code dd div dl dt embed h1 h2 h3 h4 h5 h6 head hr img li listing menu nobr ol p pre ruby "
+    "table ul".split()
+)
+ISLANDS = frozenset("foreignobject desc title annotation-xml mtext".split())  # HTML inside a drawing or formula
 CLOSES_P = frozenset("li td th tr dt dd p h1 h2 h3 h4 h5 h6 div article section ul ol table footer header nav aside form".split())
 
 _MARKUP = re.compile(
@@ -82,12 +91,27 @@ def element_score(tag: str, attributes: str) -> float:
 
 def blocks(html: str) -> list[Block]:
     """Text blocks in page order. Broken markup is taken as browsers do: missing
-    end tags are implied, unmatched ones are left out, an open comment hides the rest."""
+    end tags are implied, unmatched ones are left out, an open comment, script or
+    style hides the rest. Of elements without text those that stay open hide
+    nothing: one that has no end tag is passed over, and one that is left open
+    ends with an element around it, at a tag that cannot be inside it, or, when
+    nothing else ends it, right behind its start tag."""
     out: list[Block] = []
     stack: list[tuple[str, int, float]] = []  # tag, element number, score of the path so far
     current: Block | None = None
     at = number = links = 0
     skip: str | None = None
+    within: list[tuple[str, int]] = []  # open elements inside the skipped one, and the places behind their start tags
+    skipped_at = 0  # behind its start tag
+    open_tags: set[str] = set()  # elements without an end tag in the rest of the page
+    passed: set[int] = set()  # places of start tags that are passed over
+
+    def end_of(tag: str, place: int) -> re.Match | None:
+        """The next end tag of an element; one search without a find serves the whole rest."""
+        found = None if tag in open_tags else re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(html, place)
+        if not found:
+            open_tags.add(tag)
+        return found
 
     def add(raw: str) -> None:
         nonlocal current
@@ -113,12 +137,45 @@ def blocks(html: str) -> list[Block]:
             if tag in INLINE and stack[i][0] not in INLINE:
                 return
 
-    for m in _MARKUP.finditer(html):
+    def ends_skipped(tag: str, ends: bool) -> bool:
+        """Whether a tag inside the skipped element shows that it was left open."""
+        if ends:
+            for i in range(len(within) - 1, -1, -1):
+                if within[i][0] == tag:
+                    del within[i:]
+                    return False
+            return tag not in INLINE and any(t == tag for t, _, _ in stack)
+        if skip == "select":
+            return tag not in IN_SELECT
+        return skip in ("svg", "math") and tag in ENDS_DRAWING and all(t not in ISLANDS for t, _ in within)
+
+    place = 0
+    while True:
+        m = _MARKUP.search(html, place)
+        if not m:
+            if skip is None:
+                break
+            # Nothing has ended it: read again from behind its start tag.
+            passed.update([skipped_at, *(p for _, p in within)])
+            place = at = skipped_at
+            skip = None
+            open_tags.clear()
+            continue
+        place = m.end()
         tag = m[2].lower() if m[2] else None
         if skip:
-            if m[1] and tag == skip:
+            if m[1] and tag == skip and all(t != skip for t, _ in within):
                 skip, at = None, m.end()
-            continue
+                continue
+            if tag is None or not ends_skipped(tag, bool(m[1])):
+                if tag and not m[1] and tag not in VOID and not m[3].endswith("/"):
+                    end = end_of(tag, place) if tag in ("script", "style") else None
+                    if end:
+                        place = end.end()
+                    else:
+                        within.append((tag, place))
+                continue
+            skip, at = None, m.start()
         add(html[at : m.start()])
         at = m.end()
         if tag is None:
@@ -135,27 +192,28 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID or m[3].endswith("/") and tag not in INLINE:
             continue
         if tag in NO_TEXT:
-            if tag != "head":
-                skip = tag
-                if tag in ("script", "style", "title", "textarea"):
-                    # Their content is no markup; go on behind the end tag.
-                    end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-                    if not end:
-                        return out
+            if tag in RAW:
+                end = end_of(tag, at)
+                if end:
+                    place = at = end.end()
+                elif tag in ("script", "style"):
+                    return out
+            elif tag != "head" and at not in passed and (tag in ("select", "svg", "math") or end_of(tag, at)):
+                skip, skipped_at = tag, at
+                within.clear()
             continue
         if tag in CLOSES_P:
-            inner = next((t for t, _, _ in reversed(stack) if t not in INLINE), None)
-            if inner == "p":
+            parent = next((t for t, _, _ in reversed(stack) if t not in INLINE), None)
+            if parent == "p":
                 close("p")
-            elif inner == tag and tag in ("li", "td", "th", "tr", "dt", "dd"):
+            elif parent == tag and tag in ("li", "td", "th", "tr", "dt", "dd"):
                 close(tag)
         number += 1
         stack.append((tag, number, (stack[-1][2] if stack else 0.0) + element_score(tag, m[3])))
         links += tag == "a"
-    if not skip:
-        rest = html[at:]
-        cut = re.search(r"<[A-Za-z/!?][^>]*\Z", rest)
-        add(rest[: cut.start()] if cut else rest)
+    rest = html[at:]
+    cut = re.search(r"<[A-Za-z/!?][^>]*\Z", rest)
+    add(rest[: cut.start()] if cut else rest)
     return out
 
 

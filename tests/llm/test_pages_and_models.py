@@ -52,6 +52,23 @@ def test_block_structure():
     assert [b.text for b in found] == ["a", "b cd e", "f", "g<x>"]
 
 
+@pytest.mark.parametrize("start", [
+    "<script>for(i=0;i<n;i++){x()}</script>", "<script>if(a<b)c='</p>'</script >", "<style>a<b{}</style>", "<title>a<b</title>",
+    "<textarea>if a<b</textarea>", "<select><option>o</select>", "<svg><title>t</title><svg><p/></svg></svg>",
+    "<svg><foreignObject><div>no</div></foreignObject></svg>", "<object><object></object>no</object>", "<video><p>no</p></video>",
+    "<iframe src=x>", "<svg><path d=x>", "<math><mi>", "<div><select><option></div>", "<p><object><video></p>", "<template>", "<title>", "<audio><video><object>",
+])
+def test_text_behind_elements_without_text(start):
+    """What stands behind them is there, whether they have signs of markup in them or are left open."""
+    for html in (f"<p>one</p>{start}<p>two</p><p>three</p>", f"<p>one</p>{start}<p>two</p>{start}<p>three</p>"):
+        assert [t for b in blocks(html) if (t := b.text)] == ["one", "two", "three"]
+    assert [b.text for b in blocks(f"<p>one</p><p>two {start}")if b.text] == ["one", "two"]
+
+
+def test_many_open_elements_take_linear_time():
+    assert [b.text for b in blocks("<svg>" * 3000 + "<object>" * 3000 + "</object>end") if b.text] == ["end"]
+
+
 def cut_value(side, scores, edges):
     return sum(s for s, x in zip(scores, side) if s > 0 and not x) + sum(-s for s, x in zip(scores, side) if s < 0 and x) + sum(
         w for (i, j), w in edges.items() if side[i] != side[j]
