@@ -16,14 +16,27 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.personal_data import proposed
 from millrace.llm.shared import text_or_empty, written
 from millrace.llm.shingles import texts_as_bytes
 
 # Runs of at least 16 signs that keys are written in, with a digit among them.
 CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{16,}+={0,2}+"
+# What stands before the value of a secret's name: quoted values end with their quote, others with white space.
+NAMED = "token|secret|api[_-]?key|access[_-]?key|private[_-]?key|passw(?:or)?d|pwd|bearer|auth"
+MAY_ASSIGN = rf"""(?i)(?:{NAMED})["']?[ \t]*(?:[:=]|\bis\b)|bearer[ \t]"""
+_ASSIGNS = re.compile(
+    rf"""(?i)(?:{NAMED})["']?(?:[ \t]*(?::=|=>|={{1,3}}|:)|[ \t]+is(?=[ \t])|(?<=bearer)(?=[ \t]))(?:\s*(["'`])|[ \t]*)"""
+)
+_NAME_ALONE = re.compile(rf"(?i)(?:{NAMED})")
+_QUOTED = {q: re.compile(rf"([^{q}\n]+){q}") for q in "\"'`"}
+_BARE = re.compile(r"""[^\s"'`]+""")
+_NEXT_FIELD = re.compile(r"[&,;][\w-]++=")
+_CANDIDATE = re.compile(CANDIDATE)
 # Rules that label findings for training; findings under neither are not used.
-ASSIGNED = r"""(?i)(?:token|secret|api[_-]?key|access[_-]?key|private[_-]?key|passw(?:or)?d|pwd|bearer|auth)["']?\s*(?:[:=]|\bis\b)?\s*["']?$"""
+ASSIGNED = rf"""(?i)(?:{NAMED})["']?\s*(?::=|=>|=+|:|\bis\b)?\s*["'`]?$"""
+# Values that are names of types, empty values, references or calls, and short words, which the forest decides on.
+PLAIN = r"(?i)^(?:null|none|nil|true|false|undefined|required|optional|string|str|bytes|int|bool|number|redacted|hidden)$|^[<{%$*]|^[a-z_][a-z0-9_.]*[(\[]"
+SHORT_WORD = "^[A-Za-z]{1,15}$"
 HARMLESS = r"(?i)(?:commit|sha-?\d*|md5|checksum|digest|etag|build|revision|order|invoice|isbn|phone|card)\W*$"
 NO_KEY = r"^[0-9]+$|^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-|^(?:x+|0+)$|(?i)example|sample|dummy|placeholder"
 
@@ -48,16 +61,67 @@ def candidates(docs: DataFrame, how: Forest, doc_id: str, text: str, path: str |
     t = text_or_empty(text)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), t.alias("t"), (text_or_empty(path) if path else F.lit("")).alias("path")
-    ).filter(F.col("t").rlike("[A-Za-z0-9_+/-]{16}"))
-    spans = rows.withColumn("s", F.explode(proposed(F.col("t"), CANDIDATE)))
-    start = F.col("s.start")
-    before = F.substr("t", F.greatest(start - how.context, F.lit(0)) + 1, F.least(start, F.lit(how.context)))
-    return spans.select("doc_id", start.alias("start"), F.col("s.end").alias("end"), F.col("s.found").alias("found"), before.alias("before"), "path")
+    ).filter(F.col("t").rlike("[A-Za-z0-9_+/-]{16}") | F.col("t").rlike(MAY_ASSIGN))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for low in range(0, b.num_rows, 256):
+                part = b.slice(low, 256)
+                owner, found = [], []
+                for i, t in enumerate(part.column(1)):
+                    text = t.as_py()
+                    for start, end in spans(text):
+                        owner.append(i)
+                        found.append((start, end, text[start:end], text[max(0, start - how.context) : start]))
+                start, end, strings, before = zip(*found) if found else ((), (), (), ())
+                at = pa.array(owner, pa.int64())
+                yield pa.record_batch(
+                    [
+                        part.column(0).take(at), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
+                        pa.array(strings, pa.string()), pa.array(before, pa.string()), part.column(2).take(at),
+                    ],
+                    names=["doc_id", "start", "end", "found", "before", "path"],
+                )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(scan, f"doc_id {kind}, start int, end int, found string, before string, path string")
+
+
+def assigned(text: str) -> list[tuple[int, int]]:
+    """Places of the values that are assigned to names of secrets, whatever their length and signs."""
+    out: list[tuple[int, int]] = []
+    for m in _ASSIGNS.finditer(text):
+        start = m.end()
+        if out and start < out[-1][1]:
+            continue
+        value = _QUOTED[m[1]].match(text, start) if m[1] else None
+        if value:
+            out.append(value.span(1))
+            continue
+        value = _BARE.match(text, start)
+        if not value:
+            continue
+        following = _NEXT_FIELD.search(value[0])
+        bare = value[0][: following.start() if following else None].rstrip(".,;:)]}>")
+        # "auth: Bearer x": the scheme is no value, what follows it is.
+        if bare and not _NAME_ALONE.fullmatch(bare):
+            out.append((start, start + len(bare)))
+    return out
+
+
+def spans(text: str) -> list[tuple[int, int]]:
+    """Places of candidates and of assigned values; what lies inside another one is not listed again."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted([*assigned(text), *(m.span() for m in _CANDIDATE.finditer(text))], key=lambda x: (x[0], -x[1])):
+        if not out or end > out[-1][1]:
+            out.append((start, end))
+    return out
 
 
 def rule_label(found: Column, before: Column) -> Column:
     """1 for strings assigned to a name of a secret, 0 for what is plainly none, NULL otherwise."""
-    return F.when(found.rlike(NO_KEY) | before.rlike(HARMLESS), 0).when(before.rlike(ASSIGNED), 1)
+    none = found.rlike(NO_KEY) | found.rlike(PLAIN) | before.rlike(HARMLESS)
+    return F.when(none, 0).when(before.rlike(ASSIGNED) & ~found.rlike(SHORT_WORD), 1)
 
 
 def transitions(docs: DataFrame, text: str) -> np.ndarray:
@@ -106,7 +170,7 @@ def measure(found: str, before: str, path: str, log_p: np.ndarray, known: frozen
     return [
         float(n),
         -sum(k / n * math.log2(k / n) for k in Counter(found).values()),
-        float(log_p[raw[:-1], raw[1:]].mean()),
+        float(log_p[raw[:-1], raw[1:]].mean()) if len(raw) > 1 else 0.0,
         sum(len(r) for r in runs if r in known) / n,
         sum(k == 0 for k in kinds) / n,
         sum(k == 1 for k in kinds) / n,

@@ -222,3 +222,21 @@ def test_candidate_pattern(spark):
     texts = ["a" * 40, "abcdefgh12345678==", "x" * 30_000 + "1", "short1", "-" * 20_000]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     assert {r.i for r in rows.filter(F.col("t").rlike(CANDIDATE)).collect()} == {1, 2}
+
+
+def test_values_assigned_to_names_of_secrets(spark):
+    """Short ones, of letters only, with other signs, quoted or not, have a row each; the forest judges them."""
+    texts = {
+        'password = "hunter2!" ok': "hunter2!", "pwd: Tr0ub4dor&3, then": "Tr0ub4dor&3", "token=abcdefghijklmnopqrst": "abcdefghijklmnopqrst",
+        "the password is correct horse": "correct", "x?token=ab.c&user=me": "ab.c", "{'api_key': 'a b c'}": "a b c", "Auth: Bearer a.b-c.": "a.b-c",
+        "password=p@ss0123456789abcdefgh!": "p@ss0123456789abcdefgh!", "PASSWD := `é`": "é", "secret='open": "open",
+    }
+    more = [("password: null", "null"), ("token = get_token(x)", "get_token(x"), ("no token here", None), ("password:", None)]
+    cases = [*texts.items(), *more]
+    docs = secret_docs(spark).union(spark.createDataFrame([(2000 + i, t, None) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string, source string"))
+    got = defaultdict(list)
+    for r in find_secrets(docs).filter("doc_id >= 2000").collect():
+        assert cases[r.doc_id - 2000][0][r.start : r.end] == r.found
+        got[r.doc_id - 2000].append(r)
+    assert [[r.found for r in got[i]] for i in range(len(cases))] == [[v] if v else [] for _, v in cases]
+    assert all(got[i][0].is_secret for i in (0, 1, 2, 7))
