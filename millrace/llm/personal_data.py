@@ -16,7 +16,18 @@ EMAIL = rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# Signs of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(c.replace(" ", "|") for c in IBAN_LENGTHS.values())
+_OF_LENGTH = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+IBAN = rf"^(?:{_OF_LENGTH}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])"
+# Only the head is a match, so that what looks like one takes nothing from an account number behind it.
+IBAN_HEAD = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
@@ -43,7 +54,7 @@ KINDS = (
     Kind("ip", IP, r"[0-9]\.[0-9]", True, 0.7, r"(?i)\bip\b|address|host|server"),
     Kind("card", CARD, "[0-9](?:[ -]?[0-9]){13}", True, 0.8, r"(?i)card|visa|credit|payment"),
     Kind("phone", PHONE, r"\+[0-9]", True, 0.7, r"(?i)phone|call|tel|mobile|fax"),
-    Kind("iban", IBAN, "[A-Z]{2}[0-9]{2}", False, 0.8, r"(?i)iban|account|konto|compte|bank"),
+    Kind("iban", IBAN_HEAD, "[A-Z]{2}[0-9]{2}", False, 0.8, r"(?i)iban|account|konto|compte|bank"),
     Kind("social", SOCIAL, "[0-9]{3}-[0-9]{2}-[0-9]{4}", False, 0.3, r"(?i)\bssn\b|social security", 0.5),
 )
 
@@ -113,12 +124,27 @@ def proposed(text: Column, pattern: str) -> Column:
     )
 
 
+def accounts(text: Column, heads: Column) -> Column:
+    """The account numbers that begin at ``heads`` and pass their check; of overlapping ones the first."""
+
+    def whole(s: Column) -> Column:
+        found = F.regexp_extract(F.substr(text, s["start"] + 1, F.lit(68)), IBAN, 0)
+        return F.struct(s["start"].alias("start"), (s["start"] + F.length(found)).alias("end"), found.alias("found"))
+
+    right = F.filter(F.transform(heads, whole), lambda s: (s["found"] != "") & confirmed("iban", s["found"]))
+    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    return F.aggregate(right, empty, lambda a, s: F.when(F.size(a) == 0, F.array(s)).when(s["start"] < F.element_at(a, -1)["end"], a).otherwise(F.array_append(a, s)))
+
+
 def scored(text: Column, kind: Kind, order: int) -> Column:
     """Confirmed spans of one kind with their scores; NULL where the text has no hint of it."""
     hint = F.contains(text, F.lit(kind.hint)) if kind.hint == "@" else text.rlike(kind.hint)
+    found = proposed(text, kind.pattern)
+    if kind.name == "iban":
+        found = accounts(text, found)
     near = lambda s: F.substr(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT))).rlike(kind.context)
     spans = F.transform(
-        F.filter(proposed(text, kind.pattern), lambda s: confirmed(kind.name, s["found"])),
+        F.filter(found, lambda s: confirmed(kind.name, s["found"])),
         lambda s: F.struct(
             s["start"].alias("start"),
             F.lit(order).alias("order"),

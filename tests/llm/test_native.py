@@ -218,3 +218,15 @@ def test_redact(spark, odd_docs, no_docs):
     rows = spark.createDataFrame([("to a@b.co, +1 (487) 555-7209.",), ("none",), (None,)], "text string")
     assert [r.text for r in redact(rows).collect()] == ["to [email], [phone].", "none", None]
     assert redact(odd_docs).columns == odd_docs.columns and find_personal_data(no_docs).count() == 0
+
+
+def test_account_numbers_before_other_words(spark):
+    texts = [
+        "DE89 3704 0044 0532 0130 00 Please pay", "DE89370400440532013000 12 May", "DE89370400440532013000 OK", "see AB12 DE89370400440532013000",
+        "DE89370400440532013000 GB82WEST12345698765432", "DE89370400440532013000X", "NO12 GB82 WEST 1234 5698 7654 32 A", "DE89370400440532013001 OK",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    rows = find_personal_data(df).orderBy("i").collect()
+    got = [[(s.start, s.end) for s in r.found if s.kind == "iban"] for r in rows]
+    assert got == [[(0, 27)], [(0, 22)], [(0, 22)], [(9, 31)], [(0, 22), (23, 45)], [], [(5, 32)], []]
+    assert redact(df).filter("i = 1").first().text == "[iban] 12 May"
