@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html import unescape
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -121,26 +123,42 @@ def html_tables(df: DataFrame, key: str, html: str, n_cols: int) -> DataFrame:
 # What is no element, then one whole start tag: quoted values may hold any sign.
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<![^>]*>"
 _ATTRIBUTE = r"(?is)[\s\"'/]([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
-# The references that HTML texts use most; others are numbers.
-REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "copy": "\u00a9", "amp": "&"}
+# All named references of HTML 5, and the numbers that it reads as other signs.
+REFERENCES = json.dumps(html5)
+_WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 def unescaped(c: Column) -> Column:
-    """Decode decimal references and the named ones of ``REFERENCES``, ``&amp;`` last."""
+    """Decode decimal, hexadecimal and named references as in an attribute's value, each once.
+
+    A name without ``;`` counts where HTML 5 lets it, unless a letter, digit or
+    ``=`` follows. Numbers that are no character become U+FFFD.
+    """
+    names = F.from_json(F.lit(REFERENCES), "map<string,string>")
+    windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
 
     def number(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, r"^#([0-9]{1,7});", 1)
-        code = digits.cast("int")
+        hexadecimal = F.regexp_extract(piece, r"^#[xX]0*([0-9A-Fa-f]{0,6})(?![0-9A-Fa-f])", 1)
+        decimal = F.regexp_extract(piece, r"^#0*([0-9]{0,7})(?![0-9])", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("int")).when(decimal != "", decimal.cast("int")).otherwise(0)
+        real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         # chr() knows single bytes only, so the character is built from UTF-32.
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(digits == "", F.concat(F.lit("&"), piece)).otherwise(F.concat(char, F.regexp_replace(piece, r"^#[0-9]+;", "")))
+        char = F.when(real, F.coalesce(windows[code], F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+        return F.concat(F.coalesce(char, F.lit("\ufffd")), F.regexp_replace(piece, r"^#(?:[xX][0-9A-Fa-f]+|[0-9]+);?", ""))
+
+    def named(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))", 0)
+        char = F.when(name == "", None).otherwise(names[name])
+        return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 1)), F.concat(F.lit("&"), piece))
+
+    def decoded(piece: Column) -> Column:
+        amp = F.startswith(piece, F.lit("amp;"))
+        return F.when(amp, F.concat(F.lit("&"), F.substr(piece, F.lit(5)))).when(
+            piece.rlike(r"^#(?:[0-9]|[xX][0-9A-Fa-f])"), number(piece)).otherwise(named(piece))
 
     parts = F.split(c, "&")
-    joined = F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(number(x))), "")
-    out = F.when(F.contains(c, F.lit("&#")), joined).otherwise(c)
-    for name, char in REFERENCES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return out
+    joined = F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(decoded(x))), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
 
 
 def attribute_values(html: str | Column, tag: str, attr: str) -> Column:

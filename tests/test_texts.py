@@ -183,3 +183,15 @@ def test_elements_as_a_parser_sees_them(spark, html, n):
 
     got = count_elements(spark.createDataFrame([(html,)], "html string"), "html", "a", "href", 11, by=["html"]).first().n
     assert got == n or html is None and got in (-1, None)
+
+
+def test_references_in_attributes(spark):
+    values = {
+        "a&#x2F;b&#X2f;": "a/b/", "&eacute;&ouml;&mdash;&NotEqualTilde;": "éö—≂̸", "&amp;eacute; &amp;#47;": "&eacute; &#47;", "&#47;&#0047;&#47": "///",
+        "?a=1&copy=2&copyx&copy &copy": "?a=1&copy=2&copyx© ©", "&#150;&#x80;&#0;&#xD800;&#x110000;&#99999999999;": "–€\ufffd\ufffd\ufffd\ufffd",
+        "&nosuch;&&#;&#x;": "&nosuch;&&#;&#x;", "&lt&gt;&#x1F600;": "<>\U0001f600", "&NewLine;&Tab;": "\n\t",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in values.items()], "k string, v string")
+    assert {r.k: r.got for r in df.select("k", H.unescaped(F.col("k")).alias("got")).collect()} == values
+    page = spark.createDataFrame([('<a href="&#x2F;caf&eacute;">x</a>',)], "html string")
+    assert H.count_elements(page, "html", "a", "href", 5).first().n == 1
