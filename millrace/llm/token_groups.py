@@ -325,12 +325,7 @@ def jaccard_groups(
     their blocks and once more for the sets that share a block; only 64-bit
     keys are shuffled for all documents.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = written(set_table(rows, how, "doc_id", "text"))
-    edges = links(rows, sets, how, "doc_id", "text")
-    labels = components(written(edges))
-    named = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = written(named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    sets, named = _labelled(docs, how, doc_id, text)
     ids = named.groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = join_back(named.select("node", "label"), ids, ["label"]).select("node", "component_id")
     joined = sets.join(written(of_node), "node", "left")
@@ -339,9 +334,59 @@ def jaccard_groups(
     )
 
 
+def _labelled(docs: DataFrame, how: Similarity, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The table of sets, and ``node``, ``least`` (its smallest id) and ``label`` (of its component) for every set."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    sets = written(set_table(rows, how, "doc_id", "text"))
+    edges = links(rows, sets, how, "doc_id", "text")
+    labels = components(written(edges))
+    named = sets.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
+    return sets, written(named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+
+
+def _with_node(rows: DataFrame, how: Similarity, text: str, name: str) -> DataFrame:
+    """All columns and the key of the set of each row, as in ``set_table``."""
+    schema = rows.withColumn(name, F.lit(None).cast("bigint")).schema
+
+    def scan(batches):
+        for b in batches:
+            keys = [set_key(s) if len(s) else None for s in shingle_sets(b.column(b.num_columns - 1), how.n)]
+            yield pa.record_batch([*b.columns[:-1], pa.array(keys, pa.int64())], names=[*b.schema.names[:-1], name])
+
+    return rows.select(*[F.col(f"`{c}`") for c in rows.columns], F.col(f"`{text}`").cast("string").alias(name)).mapInArrow(scan, schema)
+
+
 def drop_near_copies(docs: DataFrame, how: Similarity = Similarity(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, the one with the smallest id; rows with a NULL id stay."""
-    found = jaccard_groups(docs, how, doc_id, text)
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct())
-    gone = gone.withColumnRenamed("doc_id", doc_id)
-    return semi_by_id(docs, gone, doc_id, "left_anti").select(docs.columns)
+    """One row of each group, the one with the smallest id; a NULL id comes before all others.
+
+    Of rows with that id the one with the smallest key of its set stays, and of
+    those that have one set as well the one with the smallest text. Rows without
+    words are in no group and stay. Ids of which all rows go are dropped by the
+    id alone; only rows of ids that go in part are looked at by their sets.
+    """
+    sets, named = _labelled(docs, how, doc_id, text)
+    keys = sets.filter("node IS NOT NULL").groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n"))
+    keys = written(join_back(keys, named.select("node", "label"), ["node"]))
+    first = keys.groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.sum("n").alias("all")).filter("all > 1")
+    grouped = join_back(keys, first.select("label", F.col("first.node").alias("f_node"), F.col("first.doc_id").alias("f_id")), ["label"])
+    stays = (F.col("node") == F.col("f_node")) & F.col("doc_id").eqNullSafe(F.col("f_id"))
+    going = written(grouped.withColumn("stays", stays).filter(~stays | (F.col("n") > 1)).select("doc_id", "node", "n", "stays"))
+    per_id = going.groupBy("doc_id").agg(F.sum(F.when(F.col("stays"), 0).otherwise(F.col("n"))).alias("gone"))
+    total = sets.groupBy(F.col("doc_id").alias("t_id")).agg(F.count(F.lit(1)).alias("total"))
+    per_id = written(per_id.join(total, F.col("doc_id").eqNullSafe(F.col("t_id"))).select("doc_id", (F.col("gone") == F.col("total")).alias("whole")))
+    whole = per_id.filter("whole AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id))
+    part = written(per_id.filter("NOT whole OR doc_id IS NULL").select(F.col("doc_id").alias(doc_id)))
+    kept = semi_by_id(docs, whole, doc_id, "left_anti").select(docs.columns)
+    if part.isEmpty():
+        return kept
+    node, state, p_id = "__near_node", "__near_stays", "__near_id"
+    part = part.withColumnRenamed(doc_id, p_id)
+    same_id = F.col(f"`{doc_id}`").eqNullSafe(F.col(p_id))
+    others = kept.join(part, same_id, "left_anti")
+    asked = written(_with_node(kept.join(part, same_id, "left_semi"), how, text, node))
+    marks = going.select(F.col("doc_id").alias(p_id), F.col("node").alias("__near_key"), F.col("stays").alias(state))
+    marked = asked.join(marks, same_id & (F.col(node) == F.col("__near_key")), "left")
+    alone = marked.filter(F.col(state).isNull()).select(docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = marked.filter(state).groupBy(F.col(f"`{doc_id}`").alias(p_id), node).agg(F.min_by(row, F.struct(F.col(f"`{text}`"))).alias("row"))
+    return others.unionByName(alone).unionByName(one.select("row.*"))

@@ -229,3 +229,25 @@ def test_links_beside_a_centre_that_has_no_place(spark):
     rows = list(enumerate(rows))
     got = sorted((tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), how).collect()), key=str)
     assert got == expected_components(rows, how)
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d, e, f = (sized(rng, 60) for _ in range(6))
+    near = lambda t: t + " more"
+    rows = [
+        (3, a), (7, near(a)), (7, b), (7, None),  # one row of 7 goes, the others stay
+        (1, c), (1, near(c)), (1, c + "  "), (8, near(c) + " y"),  # one row of 1 stays
+        (None, d), (None, near(d)), (4, d), (None, None), (None, ""), (None, e),  # one row without an id stays
+        (9, f), (10, near(f)), (10, f),  # all rows of 10 go
+    ]
+    docs = spark.createDataFrame([(t, i, {"k": "v"}) for i, t in rows], "text string, doc_id bigint, m map<string,string>")
+    kept = drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    for i, texts in ((3, [a]), (8, []), (4, []), (9, [f]), (10, [])):
+        assert [t for x, t in got if x == i] == texts
+    assert sorted(t or "" for x, t in got if x == 7) == ["", b]
+    assert len([t for x, t in got if x == 1]) == 1
+    without = [t for x, t in got if x is None]
+    assert len(without) == 4 and without.count(None) == without.count("") == without.count(e) == 1
