@@ -117,10 +117,13 @@ def host_rates(rated: DataFrame, host: str, failed: str, limits: Limits = Limits
     costs one row per task. The rates of all hosts give a beta prior by the
     method of moments, kept within ``prior_strength``; each host's rate is its
     posterior mean, so a host with a few documents is judged mostly by the
-    prior. NULL is one host.
+    prior. NULL is one host. The counts are written before the prior is taken
+    from them, so the rows are read once; needs one job.
     """
-    hosts = rated.groupBy(group_key(host).alias("host_key")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col(failed)).alias("n_failed")
+    hosts = written(
+        rated.groupBy(group_key(host).alias("host_key")).agg(
+            F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col(failed)).alias("n_failed")
+        )
     )
     rate = F.col("n_failed") / F.col("n_docs")
     low, high = limits.prior_strength
@@ -164,4 +167,10 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source", limits:
     """Documents that the rules keep, with the columns they came with."""
     p = "__rules_"
     rated = with_failures(with_counts(docs, text, p), limits, p)
-    return host_verdicts(rated, host, limits, p, write=False).filter(F.col(f"{p}kept")).select(docs.columns)
+    # The flags leave a generator, and a filter on what a generator returns stays behind it: pushed
+    # down to the scan it would hold the counts many times over, inside the loops of each other.
+    flags = F.struct(F.col(f"{p}base_failed").alias("base"), F.col(f"{p}rule_failed").alias("rule"))
+    rows = rated.select(*docs.columns, F.explode(F.array(flags)).alias(f"{p}flags")).select(
+        *docs.columns, F.col(f"{p}flags.base").alias(f"{p}base_failed"), F.col(f"{p}flags.rule").alias(f"{p}rule_failed")
+    )
+    return host_verdicts(rows, host, limits, p, write=False).filter(F.col(f"{p}kept")).select(docs.columns)

@@ -44,6 +44,17 @@ def test_stages_on_a_small_corpus(spark, corpus, docs, tmp_path):
     assert {r.doc_id: r["count"] for r in pieces} == dict(copies) and max(copies.values()) <= 3
 
 
+def test_no_stage_filters_by_recomputed_counts(spark, docs, tmp_path):
+    """A filter that Spark pushed below the counts would split every text once for each window of it."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, str(tmp_path))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if line.strip(" :+-*|").startswith("Filter")]
+        assert not [f for f in filters if "split(" in f or "xxhash64(" in f], name
+
+
 def test_empty_documents(spark, no_docs, tmp_path):
     frame = no_docs
     for name, stage in corpus_pipeline.STAGES:
