@@ -70,5 +70,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"} and "pipeline" in QUERIES
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"} and "pipeline" in QUERIES
     assert set(QUERIES) <= set(entry_points.queries())
