@@ -90,10 +90,14 @@ MATCH_SQL = f"""
     keyed AS (SELECT md5(atrb_allocation_key || '|' || atrb_stay_key) AS atrb_key, * FROM matched)
 """
 AGENCY_SQL = """
-    agency AS (SELECT CAST(n_nationkey AS VARCHAR) AS agency_id, CASE WHEN n_nationkey % 2 = 0 THEN 'PAI' ELSE 'REF' END AS source_txt
-               FROM nation WHERE n_nationkey % 3 <> 0),
-    daily AS (SELECT * FROM keyed WHERE camp_source_abrv_txt IN ('AFF', 'PAI', 'REF') AND book_id IN (SELECT agency_id FROM agency)
-              AND (atrb_id, camp_source_abrv_txt) IN (SELECT (agency_id, source_txt) FROM agency))
+    agency AS MATERIALIZED (
+        SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS agency_id, CASE WHEN n_nationkey % 2 = 0 THEN 'PAI' ELSE 'REF' END AS source_txt
+        FROM nation WHERE n_nationkey % 3 <> 0),
+    daily AS (
+        SELECT keyed.* FROM keyed
+        JOIN (SELECT DISTINCT agency_id FROM agency) b ON keyed.book_id = b.agency_id
+        JOIN agency a ON keyed.atrb_id = a.agency_id AND keyed.camp_source_abrv_txt = a.source_txt
+        WHERE camp_source_abrv_txt IN ('AFF', 'PAI', 'REF'))
 """
 ROW_SQL = """
     atrb_key, atrb_stay_key, confo_num_orig_id, confo_num_curr_id, date_create_key, property_cd, camp_source_abrv_txt,
@@ -170,9 +174,12 @@ def attribution_daily_report(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    WITH {MATCH_SQL.replace("keyed AS (", "keyed AS MATERIALIZED (")}, {AGENCY_SQL.replace("daily AS (", "daily AS MATERIALIZED (")}
-    SELECT {ROW_SQL}, atrb_allocation_key, h.k IS NOT NULL AS flag
-    FROM keyed LEFT JOIN (SELECT DISTINCT atrb_key AS k FROM daily) h ON keyed.atrb_key = h.k
+    WITH {MATCH_SQL}, {AGENCY_SQL.split("daily AS (")[0].rstrip().rstrip(",")}
+    SELECT {ROW_SQL}, atrb_allocation_key,
+           camp_source_abrv_txt IN ('AFF', 'PAI', 'REF') AND b.agency_id IS NOT NULL AND a.agency_id IS NOT NULL AS flag
+    FROM keyed
+    LEFT JOIN (SELECT DISTINCT agency_id FROM agency) b ON keyed.book_id = b.agency_id
+    LEFT JOIN agency a ON keyed.atrb_id = a.agency_id AND keyed.camp_source_abrv_txt = a.source_txt
 """)
 def attribution_flagged(t: Tables) -> DataFrame:
     return _out(P.attribution(stays(t), allocations(t), agencies(t), TS).flagged)

@@ -60,11 +60,18 @@ class LoadResult:
         return not self.failed
 
 
+# Partition column of tables that are loaded day by day.
+LOAD_DAY = "load_dt"
+
+
 @dataclass(frozen=True)
 class GatedLoad:
     """Stage -> replica -> checks -> publish -> audit row -> statistics.
 
-    ``mode`` is ``overwrite`` for snapshots and ``append`` for facts.
+    ``mode`` is ``overwrite`` for snapshots, ``append`` for facts that no run
+    brings twice, and ``day`` for facts of a load day: the target is partitioned
+    by ``load_dt``, and a run replaces the partition of its day. Running a day
+    again therefore adds nothing, and the files of other days stay untouched.
     """
 
     target: str
@@ -74,18 +81,40 @@ class GatedLoad:
     checks: Sequence[Check]
     mode: str = "overwrite"
 
-    def run(self, staged: DataFrame, ts: dt.datetime, batch_dt: Column | dt.date) -> LoadResult:
-        spark = staged.sparkSession
+    def stage(self, staged: DataFrame, ts: dt.datetime) -> list:
+        """Write the replica and return the checks that failed on it."""
         tables.rewrite(staged.withColumn("dw_load_ts", F.lit(ts).cast("timestamp")), self.replica)
-        replica = spark.table(self.replica)
-        report = check_report(replica, self.checks, self.replica)
+        replica = staged.sparkSession.table(self.replica)
+        return failures(check_report(replica, self.checks, self.replica)).collect()
+
+    def publish(self, df: DataFrame, ts: dt.datetime, batch_dt: Column | dt.date) -> None:
+        """Write ``df`` to the target, its audit row, and the target's statistics."""
+        if self.mode == "overwrite":
+            tables.rewrite(df, self.target)
+        elif self.mode == "append":
+            tables.append(df, self.target)
+        elif self.mode == "day":
+            tables.overwrite_partitions(df.withColumn(LOAD_DAY, F.lit(ts.date())), self.target, [LOAD_DAY])
+        else:
+            raise ValueError(f"unknown mode: {self.mode}")
+        row = audit_row(df, self.target.upper(), batch_dt, self.sys_id, ts)
+        if self.mode == "day" and df.sparkSession.catalog.tableExists(self.audit):
+            # The key is made of table and load time: the row of a repeated run is there already.
+            row = row.join(df.sparkSession.table(self.audit).select("audit_key"), "audit_key", "left_anti").select(row.columns)
+        tables.append(row, self.audit)
+        tables.analyze(df.sparkSession, self.target)
+
+    def run(self, staged: DataFrame, ts: dt.datetime, batch_dt: Column | dt.date) -> LoadResult:
+        failed = self.stage(staged, ts)
+        if not failed:
+            self.publish(staged.sparkSession.table(self.replica), ts, batch_dt)
+        return LoadResult(failed)
 
-        def sink(df: DataFrame) -> None:
-            (tables.rewrite if self.mode == "overwrite" else tables.append)(df, self.target)
-            tables.append(audit_row(df, self.target.upper(), batch_dt, self.sys_id, ts), self.audit)
-            tables.analyze(spark, self.target)
 
-        return LoadResult(publish_if_clean(replica, report, sink))
+def other_days(spark: SparkSession, table: str, day: dt.date) -> DataFrame | None:
+    """Rows of a table loaded day by day, without those of ``day``; None where there is no table yet."""
+    tables.recover(spark, table)
+    return spark.table(table).filter(F.col(LOAD_DAY) != F.lit(day)) if spark.catalog.tableExists(table) else None
 
 
 def load_dimension(staged: DataFrame, names: Mapping[str, str], load: GatedLoad, run_dates: DataFrame, ts: dt.datetime) -> LoadResult:
@@ -178,22 +207,33 @@ def load_attribution(
     sys_id: str,
     ts: dt.datetime,
 ) -> tuple[LoadResult, LoadResult]:
-    """Match load, daily load and flag update, each behind its own fresh check report.
-
-    The flag is only set when the daily rows were published; a failed check
-    loses no rows.
+    """Match load and daily load of one day, each behind its own check report.
+
+    Both tables are partitioned by load day. The checks look at the new rows and
+    at the rows of all other days, whose keys must not come again. The flag of
+    the match rows is set before they are written, from the daily rows that
+    passed their checks: history is read for the keys alone and never written
+    again. Where the daily checks fail, the match rows are loaded without flags.
+    A run that was stopped, or a day that is run again, replaces its own
+    partitions only.
     """
-    match_load = GatedLoad(match_table, f"{match_table}__repl", audit, sys_id, attr.match_checks(), "append")
-    first = match_load.run(attr.match_stays(stays, allocations, F.lit(ts)).drop("dw_load_ts"), ts, ts.date())
-    if not first.published:
-        return first, LoadResult(first.failed)
-    daily_load = GatedLoad(daily_table, f"{daily_table}__repl", audit, sys_id, attr.daily_checks(), "append")
-    daily = attr.qualified_rows(spark.table(match_load.replica), agencies).drop("dw_load_ts")
-    second = daily_load.run(daily, ts, ts.date())
-    if second.published:
-        tables.rewrite(attr.flag_daily(spark.table(match_table), spark.table(daily_load.replica)), match_table)
-        tables.analyze(spark, match_table)
-    return first, second
+    day = ts.date()
+    match_load = GatedLoad(
+        match_table, f"{match_table}__repl", audit, sys_id, attr.match_checks(other_days(spark, match_table, day)), "day"
+    )
+    failed = match_load.stage(attr.match_stays(stays, allocations, F.lit(ts)).drop("dw_load_ts"), ts)
+    if failed:
+        return LoadResult(failed), LoadResult(failed)
+    match = spark.table(match_load.replica)
+    daily_load = GatedLoad(
+        daily_table, f"{daily_table}__repl", audit, sys_id, attr.daily_checks(other_days(spark, daily_table, day)), "day"
+    )
+    failed = daily_load.stage(attr.qualified_rows(match, agencies).drop("dw_load_ts"), ts)
+    daily = spark.table(daily_load.replica)
+    match_load.publish(match if failed else attr.flag_daily(match, daily), ts, day)
+    if not failed:
+        daily_load.publish(daily, ts, day)
+    return LoadResult(), LoadResult(failed)
 
 
 def require_clean(df: DataFrame, checks: Sequence[Check], table: str) -> None:

@@ -7,12 +7,23 @@ per table is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(table)
 
@@ -57,34 +68,136 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
+# Property of a rebuilt table whose rows are all written.
+COMPLETE = "millrace.complete"
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    """Table properties that a user set; those that Spark keeps for itself are left out."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    own = ("spark.", "transient_", "numFiles", "totalSize", "numRows", "rawDataSize", "view.", "option.", COMPLETE)
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(own)}
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+    if values:
+        quoted = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in values.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({quoted})")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _is_complete(spark: SparkSession, table: str) -> bool:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return any(r["key"] == COMPLETE and r["value"] == "true" for r in rows)
+
+
 def recover(spark: SparkSession, final: str) -> None:
-    """Undo a swap that stopped between its renames: the old version is ``final`` again."""
-    old = f"{final}__old"
-    if not spark.catalog.tableExists(final) and spark.catalog.tableExists(old):
+    """Finish or undo a swap that stopped half way.
+
+    Where ``final`` is missing, a rebuilt table whose rows are all written takes
+    its place; otherwise the old version gets its name back. Where ``final`` is
+    there and was not renamed last nothing changes.
+    """
+    rebuilt, old = f"{final}__next", f"{final}__old"
+    if spark.catalog.tableExists(final):
+        if _is_complete(spark, final):
+            _finish(spark, final)
+    elif spark.catalog.tableExists(rebuilt) and _is_complete(spark, rebuilt):
+        if spark.catalog.tableExists(old):
+            _repair(spark, old)
+        spark.sql(f"ALTER TABLE {rebuilt} RENAME TO {final}")
+        _finish(spark, final)
+    elif spark.catalog.tableExists(old):
         spark.sql(f"ALTER TABLE {old} RENAME TO {final}")
+        _finish(spark, final)
+
+
+def _repair(spark: SparkSession, renamed: str) -> None:
+    """Let the catalog find the partitions of a renamed table.
+
+    Some catalogs leave them at the places they had under the old name, where
+    another table stands next: dropping the renamed one would delete its files.
+    """
+    if partition_columns(spark, renamed):
+        spark.sql(f"MSCK REPAIR TABLE {renamed} SYNC PARTITIONS")
+
+
+def _finish(spark: SparkSession, final: str) -> None:
+    """After a rename: partitions found under the new name, the old version dropped, the mark taken off."""
+    _repair(spark, final)
+    drop(spark, f"{final}__old")
+    spark.sql(f"ALTER TABLE {final} UNSET TBLPROPERTIES IF EXISTS ('{COMPLETE}')")
 
 
 def swap(spark: SparkSession, rebuilt: str, final: str) -> None:
     """Put a rebuilt table in the place of ``final``.
 
-    The old version is renamed away and dropped last, so a failure in between
-    leaves both versions on disk; ``recover`` puts it back.
+    Both are marked as whole before they are renamed, and the old version is
+    dropped last: a failure in between leaves a whole version on disk, and
+    ``recover`` ends or undoes the swap.
     """
-    recover(spark, final)
-    old = f"{final}__old"
-    drop(spark, old)
+    _set_properties(spark, rebuilt, {COMPLETE: "true"})
     if spark.catalog.tableExists(final):
+        old = f"{final}__old"
+        drop(spark, old)
+        _set_properties(spark, final, {COMPLETE: "true"})
         spark.sql(f"ALTER TABLE {final} RENAME TO {old}")
+        _repair(spark, old)
     spark.sql(f"ALTER TABLE {rebuilt} RENAME TO {final}")
-    drop(spark, old)
+    _finish(spark, final)
+
 
+def rewrite(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> None:
+    """Replace ``table`` with ``df``, which may itself read ``table``.
 
-def rewrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace ``table`` with ``df``, which may itself read ``table``."""
+    The new version has the partition columns and the properties that the old
+    one has in the catalog, unless ``partition_by`` names others; partition
+    columns that ``df`` lacks are left out. A swap that stopped half way is
+    ended or undone first.
+    """
+    spark = df.sparkSession
+    recover(spark, table)
     rebuilt = f"{table}__next"
-    drop(df.sparkSession, rebuilt)
-    df.write.format(fmt).saveAsTable(rebuilt)
-    swap(df.sparkSession, rebuilt, table)
+    kept: dict[str, str] = {}
+    parts = list(partition_by or [])
+    if spark.catalog.tableExists(table):
+        kept = properties(spark, table)
+        if partition_by is None:
+            parts = [c for c in partition_columns(spark, table) if c in df.columns]
+    drop(spark, rebuilt)
+    writer = df.write.format(fmt)
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(rebuilt)
+    _set_properties(spark, rebuilt, kept)
+    swap(spark, rebuilt, table)
+
+
+def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows of; all others keep their files.
+
+    Writing the same rows again leaves the table as it is, so a load that was
+    stopped or repeated adds nothing. The rows are written beside the table and
+    moved in when all of them are there. The table is created when it does not
+    exist; columns that ``df`` lacks become NULL. A table with other partition
+    columns is refused: a whole rewrite would be needed.
+    """
+    spark = df.sparkSession
+    recover(spark, table)
+    if not spark.catalog.tableExists(table):
+        df.write.format(fmt).partitionBy(*partition_by).saveAsTable(table)
+        return
+    if partition_columns(spark, table) != list(partition_by):
+        raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partition_by)}")
+    target = spark.table(table).schema
+    out = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target])
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # inserts read the session alone
+        out.write.insertInto(table, overwrite=True)
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> None:

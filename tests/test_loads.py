@@ -106,6 +106,45 @@ def test_attribution_load_stops_at_failed_check(spark, clean):
     assert sorted(map(str, spark.table("ld_match").collect())) == before
 
 
+def files_of(spark, table, day):
+    rows = spark.table(table).filter(F.col("load_dt") == F.lit(day)).select("_metadata.file_path", "_metadata.file_modification_time").distinct()
+    return sorted(map(tuple, rows.collect()))
+
+
+def test_a_repeated_day_adds_nothing_and_other_days_keep_their_files(spark, clean):
+    run_attribution(spark, 50)
+    names = ("ld_match", "ld_daily", "ld_audit")
+    before = {t: sorted(map(str, spark.table(t).collect())) for t in names}
+    first, second = run_attribution(spark, 50)
+    assert first.published and second.published
+    assert {t: sorted(map(str, spark.table(t).collect())) for t in names} == before
+    # The same bookings on the next day are refused by the checks against all other days.
+    inputs = attribution_inputs(spark, 50)
+    next_day = TS + dt.timedelta(days=1)
+    load = lambda stays, alloc: L.load_attribution(spark, stays, alloc, inputs[2], "ld_match", "ld_daily", "ld_audit", "SYS", next_day)
+    first, second = load(*inputs[:2])
+    assert {r.error_abv for r in first.failed} == {"BUSINESS_KEY_EXISTS", "CCC_KEY_EXISTS", "PRIMARY_KEY_EXISTS"}
+    assert {t: sorted(map(str, spark.table(t).collect())) for t in names} == before
+    # New bookings go to a partition of their own.
+    old = files_of(spark, "ld_match", TS.date()), files_of(spark, "ld_daily", TS.date())
+    stays = inputs[0].withColumns({c: F.col(c) + 1000 for c in ("confo_num_orig_id", "atrb_stay_key")})
+    alloc = inputs[1].withColumns({c: F.col(c) + 1000 for c in ("confo_num_orig_id", "atrb_allocation_key")})
+    first, second = load(stays, alloc)
+    assert first.published and second.published
+    assert (files_of(spark, "ld_match", TS.date()), files_of(spark, "ld_daily", TS.date())) == old
+    assert spark.table("ld_match").count() == 6 and spark.table("ld_daily").count() == 2 and spark.table("ld_audit").count() == 4
+    assert spark.table("ld_match").filter("flag").groupBy("load_dt").count().count() == 2
+
+
+def test_match_rows_load_without_flags_when_the_daily_checks_fail(spark, clean, monkeypatch):
+    never = Q.Unique(("property_cd",), "NEVER")
+    monkeypatch.setattr(P, "daily_checks", lambda target=None: [Q.NotInTarget(spark.range(1).select(F.lit("P").alias("property_cd")), ("property_cd",), "ALWAYS"), never])
+    first, second = run_attribution(spark, 50)
+    assert first.published and [r.error_abv for r in second.failed] == ["ALWAYS"]
+    assert spark.table("ld_match").count() == 3 and spark.table("ld_match").filter("flag").count() == 0
+    assert not spark.catalog.tableExists("ld_daily")
+
+
 def test_reload_is_seen_by_the_target_checks(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     match = P.match_stays(cat.stays(t), cat.allocations(t), TS)

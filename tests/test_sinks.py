@@ -76,3 +76,60 @@ def test_swap_that_stopped_half_way(spark):
             tables.rewrite(spark.table("snk_h").union(spark.range(20, 21)), "snk_h")
             assert spark.table("snk_h").count() == 4
         assert not spark.catalog.tableExists("snk_h__old")
+
+
+def described(spark, table):
+    return tables.partition_columns(spark, table), tables.properties(spark, table)
+
+
+def test_rewrite_keeps_partitions_and_properties_wherever_it_is_killed(spark, monkeypatch):
+    class Killed(Exception):
+        pass
+
+    def killed_at(step):
+        """``spark.sql`` that fails before its ``step``-th statement on a table."""
+        seen, run = [0], spark.sql
+
+        def sql(text, *a, **k):
+            if text.startswith(("ALTER", "DROP", "MSCK")):
+                seen[0] += 1
+                if seen[0] == step:
+                    raise Killed(text)
+            return run(text, *a, **k)
+
+        return sql
+
+    steps = 0
+    for step in range(1, 20):
+        for t in ("snk_k", "snk_k__old", "snk_k__next"):
+            tables.drop(spark, t)
+        spark.range(6).selectExpr("id", "id % 2 AS part").write.partitionBy("part").saveAsTable("snk_k")
+        spark.sql("ALTER TABLE snk_k SET TBLPROPERTIES ('owner.team' = 'it''s', 'tier' = '2')")
+        shape = described(spark, "snk_k")
+        assert shape == (["part"], {"owner.team": "it's", "tier": "2"})
+        monkeypatch.setattr(spark, "sql", killed_at(step))
+        try:
+            tables.rewrite(spark.table("snk_k").filter("id > 1"), "snk_k")
+        except Killed:
+            steps = step
+        monkeypatch.undo()
+        tables.recover(spark, "snk_k")
+        assert spark.table("snk_k").count() in (4, 6) and described(spark, "snk_k") == shape
+        tables.rewrite(spark.table("snk_k").filter("id > 1"), "snk_k")
+        assert (step, spark.table("snk_k").count()) == (step, 4) and described(spark, "snk_k") == shape
+        assert not spark.catalog.tableExists("snk_k__old") and not spark.catalog.tableExists("snk_k__next")
+        if steps < step:
+            break
+    assert steps >= 8
+
+
+def test_overwrite_partitions(spark):
+    tables.drop(spark, "snk_p")
+    rows = spark.range(6).selectExpr("id", "id % 3 AS part")
+    for _ in range(2):
+        tables.overwrite_partitions(rows, "snk_p", ["part"])
+        assert spark.table("snk_p").count() == 6
+    tables.overwrite_partitions(spark.sql("SELECT 1 AS part, 70 AS id"), "snk_p", ["part"])
+    assert sorted(map(tuple, spark.table("snk_p").collect())) == [(0, 0), (2, 2), (3, 0), (5, 2), (70, 1)]
+    with pytest.raises(ValueError):
+        tables.overwrite_partitions(rows, "snk_p", ["id"])
