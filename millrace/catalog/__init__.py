@@ -10,6 +10,7 @@ from millrace.catalog import (  # noqa: F401
     projections,
     quality,
     reservations,
+    roundtrips,
     sources,
     streams,
     texts,

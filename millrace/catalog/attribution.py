@@ -105,7 +105,7 @@ ROW_SQL = """
 """
 
 
-def _out(df: DataFrame) -> DataFrame:
+def shown(df: DataFrame) -> DataFrame:
     return df.withColumn("atrb_amt", F.col("atrb_amt").cast("double")).drop("dw_load_ts")
 
 
@@ -116,7 +116,7 @@ def attribution_collapse(t: Tables) -> DataFrame:
 
 @query(f"WITH {MATCH_SQL} SELECT {ROW_SQL}, atrb_allocation_key, false AS flag FROM keyed")
 def attribution_match(t: Tables) -> DataFrame:
-    return _out(P.match_stays(stays(t), allocations(t), TS))
+    return shown(P.match_stays(stays(t), allocations(t), TS))
 
 
 def _dups(table: str, cols: str) -> str:
@@ -164,7 +164,7 @@ def attribution_match_report(t: Tables) -> DataFrame:
 
 @query(f"WITH {MATCH_SQL}, {AGENCY_SQL} SELECT {ROW_SQL} FROM daily")
 def attribution_daily(t: Tables) -> DataFrame:
-    return _out(P.qualified_rows(P.match_stays(stays(t), allocations(t), TS), agencies(t)))
+    return shown(P.qualified_rows(P.match_stays(stays(t), allocations(t), TS), agencies(t)))
 
 
 @query(f"WITH {MATCH_SQL}, {AGENCY_SQL} {DAILY_CHECKS}")
@@ -173,13 +173,16 @@ def attribution_daily_report(t: Tables) -> DataFrame:
     return check_report(daily, P.daily_checks(), "daily")
 
 
-@query(f"""
+FLAGGED_SQL = f"""
     WITH {MATCH_SQL}, {AGENCY_SQL.split("daily AS (")[0].rstrip().rstrip(",")}
     SELECT {ROW_SQL}, atrb_allocation_key,
            camp_source_abrv_txt IN ('AFF', 'PAI', 'REF') AND b.agency_id IS NOT NULL AND a.agency_id IS NOT NULL AS flag
     FROM keyed
     LEFT JOIN (SELECT DISTINCT agency_id FROM agency) b ON keyed.book_id = b.agency_id
     LEFT JOIN agency a ON keyed.atrb_id = a.agency_id AND keyed.camp_source_abrv_txt = a.source_txt
-""")
+"""
+
+
+@query(FLAGGED_SQL)
 def attribution_flagged(t: Tables) -> DataFrame:
-    return _out(P.attribution(stays(t), allocations(t), agencies(t), TS).flagged)
+    return shown(P.attribution(stays(t), allocations(t), agencies(t), TS).flagged)

@@ -76,15 +76,17 @@ def corrupt_counts(df: DataFrame, corrupt: str = CORRUPT) -> DataFrame:
 
 def _lines(spark: SparkSession, path: str, skip: int) -> DataFrame:
     if skip == 0:
-        return spark.read.text(path).filter(F.trim("value") != "")
+        return spark.read.text(path).filter(F.trim("value") != "").select("value", "_metadata")
     if skip == 1:
         # The CSV reader is the one reader that drops the first line of every
         # file while still splitting large files. A separator that is no
-        # character (U+FFFF) makes each line a single field.
-        return spark.read.schema("value STRING").csv(
-            path, sep="￿", quote="", header=True, enforceSchema=True,
+        # character (U+FFFF) makes each line a single field; a line that holds
+        # it all the same has too many fields, and such lines are kept whole.
+        lines = spark.read.schema("value STRING, whole STRING").csv(
+            path, sep="\uffff", quote="", header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord="whole",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxCharsPerColumn=-1,
         )
+        return lines.select(F.coalesce("whole", "value").alias("value"), "_metadata")
     raise ValueError("only 0 or 1 header lines can be skipped")
 
 
@@ -123,7 +125,7 @@ def read_delimited(
     schema = as_struct(schema)
     fields = split_escaped("value", sep, escape)
     raw = _lines(spark, path, skip).select(
-        F.col("value").alias("line"), F.input_file_name().alias("file"), fields.alias("f")
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), fields.alias("f")
     )
 
     def value(i: int, kind: T.DataType) -> Column:
@@ -174,18 +176,38 @@ def enforce_reject_limit(rejects: DataFrame, max_rejects: int = 0, path: str | N
 # --- fixed-width mainframe records ---------------------------------------------
 
 
+def _code_page(name: str) -> tuple[str, str]:
+    """Bytes as ISO-8859-1 characters, and the characters that a code page gives them, where both differ."""
+    table = bytes(range(256))
+    pairs = [(s, t) for s, t in zip(table.decode("iso-8859-1"), codecs.decode(table, name)) if s != t and s != "\x00"]
+    return "".join(s for s, _ in pairs), "".join(t for _, t in pairs)
+
+
 def decode_ebcdic(column: str | Column, code_page: str = "cp037") -> Column:
     """EBCDIC bytes to text, inside the JVM.
 
     The bytes are read one-to-one as ISO-8859-1 and translated with a map that
     comes from the code page itself.
     """
-    table = bytes(range(256))
-    source = table.decode("iso-8859-1")
-    target = codecs.decode(table, code_page)
-    pairs = [(s, t) for s, t in zip(source, target) if s != t and s != "\x00"]
-    text = F.decode(column, "ISO-8859-1")
-    return F.translate(text, "".join(p[0] for p in pairs), "".join(p[1] for p in pairs))
+    return F.translate(F.decode(column, "ISO-8859-1"), *_code_page(code_page))
+
+
+def encode_ebcdic(column: str | Column, code_page: str = "cp037") -> Column:
+    """Text to EBCDIC bytes, inside the JVM; ``decode_ebcdic`` the other way round."""
+    shown, meant = _code_page(code_page)
+    return F.encode(F.translate(column, meant, shown), "ISO-8859-1")
+
+
+def read_records(spark: SparkSession, path: str, length: int) -> DataFrame:
+    """Column ``record``: the files of ``path`` cut every ``length`` bytes.
+
+    Large files are split between records and read by many tasks, from any store
+    that Spark reads. The bytes become a Dataset inside the JVM, so no record
+    passes through Python. A file that is no whole number of records fails.
+    """
+    found = spark.sparkContext._jsc.sc().binaryRecords(path, length, spark._jsc.hadoopConfiguration())
+    binary = spark._jvm.org.apache.spark.sql.Encoders.BINARY()
+    return DataFrame(spark._jsparkSession.createDataset(found, binary).toDF(), spark).withColumnRenamed("value", "record")
 
 
 def read_fixed_width(
@@ -199,21 +221,21 @@ def read_fixed_width(
 ) -> DataFrame:
     """Records of equal length without line ends.
 
-    ``binaryRecords`` splits the file at record boundaries, so a large file is
-    read by many tasks. ``strip`` removes all blanks and tabs (also inside a
+    A large file is split at record boundaries and read by many tasks; a slot
+    named "" is skipped. ``strip`` removes all blanks and tabs (also inside a
     value), only those at the ends, or none.
     """
-    records = spark.sparkContext.binaryRecords(path, sum(widths))
-    raw = spark.createDataFrame(records.map(lambda r: (bytearray(r),)), "record BINARY")
+    raw = read_records(spark, path, sum(widths))
     if encoding == "ebcdic":
         text = decode_ebcdic("record", code_page)
     else:
         text = F.decode("record", encoding)
-    sliced = raw.select(text.alias("record")).select(*slice_record("record", widths, names))
+    slots = [c for c, n in zip(slice_record("record", widths, names), names) if n]
+    sliced = raw.select(text.alias("record")).select(*slots)
     if strip == "all":
-        clean = {n: F.regexp_replace(n, r"[ \t]", "") for n in names}
+        clean = {n: F.regexp_replace(n, r"[ \t]", "") for n in names if n}
     elif strip == "ends":
-        clean = {n: F.trim(F.col(n)) for n in names}
+        clean = {n: F.trim(F.col(n)) for n in names if n}
     elif strip == "none":
         return sliced
     else:

@@ -18,9 +18,23 @@ def test_append_orc_and_text(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "t")).collect()) == ["0", "1"]
 
 
+def test_published_files_follow_the_size(spark, tmp_path):
+    """Forty tasks with little in them give one file, a large result several of about the advised size."""
+    files.publish(spark.range(1000).repartition(40), str(tmp_path / "small"))
+    assert len(files_in(tmp_path / "small", ".parquet")) == 1
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "200kb")
+    try:
+        files.publish(spark.range(200_000).selectExpr("id", "uuid() AS u").coalesce(2), str(tmp_path / "large"))
+    finally:
+        spark.conf.unset(key)
+    sizes = [os.path.getsize(tmp_path / "large" / f) for f in files_in(tmp_path / "large", ".parquet")]
+    assert len(sizes) > 10 and max(sizes) < 6 * min(sizes)
+
+
 def test_publish_one_plain_file(spark, tmp_path):
     p = str(tmp_path / "p")
-    files.publish(spark.range(100).repartition(4), p)
+    files.publish(spark.range(100).repartition(4), p, files=1)
     files.publish(spark.range(10).repartition(4), p)
     assert spark.read.parquet(p).count() == 10
     assert len(files_in(p, ".parquet")) == 1 and not files_in(p, ".snappy.parquet")

@@ -197,3 +197,40 @@ def test_any_number_of_escapes(spark, n):
 @pytest.mark.parametrize("line,want", [("", [""]), ("|", ["", ""]), ("a\\", ["a\\"]), ("a|b\\", ["a", "b\\"]), ("x" * 50_000 + "|" + "y" * 50_000, ["x" * 50_000, "y" * 50_000]), ("\\\\|", ["\\", ""])])
 def test_escaped_edge_cases(spark, line, want):
     assert spark.createDataFrame([(line,)], "l string").select(files.split_escaped("l").alias("f")).first().f == want
+
+
+def test_header_lines_and_characters_that_are_none(spark, tmp_path):
+    """Two files larger than a split, each with its header; a line with U+FFFF is read whole."""
+    odd = "a\uffffb|c\uffff\uffff"
+    for k in range(2):
+        put(tmp_path / f"f{k}.txt", "A|B\n" + "".join(f"{k}x{i}|y\n" for i in range(5000)) + odd + "\n" + "last|line\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        rows, rejects = files.read_delimited(spark, str(tmp_path), "a STRING, b STRING", skip=1)
+        assert rows.rdd.getNumPartitions() > 4
+        got = [tuple(r) for r in rows.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [(f"{k}x{i}", "y") for k in range(2) for i in range(5000)] + [("a\uffffb", "c\uffff\uffff"), ("last", "line")] * 2
+    assert sorted(got) == sorted(want) and rejects.count() == 0
+
+
+def test_records_never_pass_through_python(spark, tmp_path):
+    p = str(tmp_path / "r")
+    with open(p, "wb") as f:
+        f.write(b"".join(codecs.encode(f"{i:05d}AB ", "cp037") for i in range(20_000)))
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.input.fileinputformat.split.maxsize", "20001")
+    try:
+        df = files.read_fixed_width(spark, p, [5, 2, 1], ["n", "s", ""])
+        assert df.rdd.getNumPartitions() > 4 and df.columns == ["n", "s"]
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.selectExpr("sum(int(n))", "count_if(s = 'AB')").first()[:] == (sum(range(20_000)), 20_000)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.input.fileinputformat.split.maxsize")
+
+
+def test_code_page_goes_both_ways(spark):
+    text = "".join(chr(c) for c in range(32, 127)) + "¢£é"
+    df = spark.createDataFrame([(text,)], "t STRING").select(files.encode_ebcdic("t").alias("b"))
+    assert bytes(df.first().b) == codecs.encode(text, "cp037")
+    assert df.select(files.decode_ebcdic("b")).first()[0] == text
