@@ -38,6 +38,12 @@ _MARKUP = re.compile(
 )
 _NAME = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
+# Parts that make a name say something about another part of the page, or about a setting.
+MODIFIERS = frozenset(
+    "has with without no not is are hide show tag category cat format type status theme layout template columns col open closed enabled disabled count".split()
+)
+# Whole elements of these names are kept apart however much prose they hold.
+READERS = frozenset("comment comments disqus replies reply".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 # The linear classifier: log-odds that a block is content. Words of class, id
@@ -52,16 +58,33 @@ TAG_SCORE = {
     "article": 5.0, "main": 3.0, "nav": -9.0, "header": -4.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0,
     "button": -9.0, "dialog": -9.0, "fieldset": -9.0, "address": -2.0,
 }
+PAGE_PARTS = frozenset("nav header footer aside".split())
+# Names by which an article is no article of the page.
+ARTICLE_NAMES = frozenset("comment comments reply replies ad ads advert advertisement promo related sponsored teaser".split())
+# Share of a page's prose from which an element is a frame around the page, with its main part or without.
+FRAME, BARE_FRAME, PROSE_CHARS = 0.6, 0.9, 60
 NAME_SCORE = {"boilerplate": -9.0, "content": 2.0}
 PRIOR, PER_LOG_CHAR, SENTENCE_END, LINKED, LIST_ITEM = -1.0, 0.35, 0.6, -4.0, -0.5
 NEXT_BLOCK, NEAR_IN_TREE, REACH = 0.6, 0.8, 3
 
 
+@dataclass
+class Element:
+    """An open element: what its tag and names say about the text in it."""
+
+    score: float = 0.0
+    readers: bool = False  # comments of readers, or hidden
+    main: bool = False  # names the main part of a page
+    holds_main: bool = False
+    holds_parts: bool = False  # a header, footer, menu or sidebar of the page
+    prose: int = 0
+
+
 @dataclass
 class Block:
     path: tuple[int, ...]  # ids of the open elements, outermost first
-    score: float  # of the path
     item: bool
+    within: list[Element] = field(default_factory=list)
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -70,23 +93,41 @@ class Block:
         return " ".join("".join(self.pieces).split())
 
 
-def element_score(tag: str, attributes: str) -> float:
-    score = TAG_SCORE.get(tag, 0.0)
+def names_of(value: str) -> Iterator[tuple[list[str], bool]]:
+    """Parts of each name in a class, id or role, and whether it is about another part ("has-sidebar", "comment-status-open")."""
+    for name in value.lower().split():
+        parts = _PART.findall(name)
+        if parts:
+            yield parts, not MODIFIERS.isdisjoint(parts)
+
+
+def element(tag: str, attributes: str) -> Element:
+    """What a tag and its names say. The page's frame and its articles are judged by their tag; on an article a
+    name counts only when it says whose text it is. Names of both kinds ("content sidebar-left") cancel out."""
+    out = Element(TAG_SCORE.get(tag, 0.0), main=tag in ("main", "h1", "article"))
     if not attributes:
-        return score
+        return out
+    boilerplate = content = False
     for name, value in _NAME.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "style":
-            score += NAME_SCORE["boilerplate"] * bool(HIDDEN.search(value))
+            out.readers |= bool(HIDDEN.search(value))
         elif name in ("hidden", "aria-hidden"):
-            score += NAME_SCORE["boilerplate"] * (value.lower() not in ("false",))
-        else:
-            parts = set(_PART.findall(value.lower()))
-            if parts & BOILERPLATE_NAMES:
-                score += NAME_SCORE["boilerplate"]
-            elif parts & CONTENT_NAMES:
-                score += NAME_SCORE["content"]
-    return score
+            out.readers |= value.lower() != "false"
+        elif tag not in ("html", "body", "main"):
+            for parts, about in names_of(value):
+                own = parts[:1] if about else parts
+                content |= not CONTENT_NAMES.isdisjoint(own) and BOILERPLATE_NAMES.isdisjoint(own)
+                if not about and (tag != "article" or not ARTICLE_NAMES.isdisjoint(parts)):
+                    boilerplate |= not BOILERPLATE_NAMES.isdisjoint(parts)
+                    out.readers |= not READERS.isdisjoint(parts)
+    out.main |= content
+    if out.readers or boilerplate and not content:
+        out.score += NAME_SCORE["boilerplate"]
+        out.main = False
+    elif content and not boilerplate:
+        out.score += NAME_SCORE["content"]
+    return out
 
 
 def blocks(html: str) -> list[Block]:
@@ -97,7 +138,7 @@ def blocks(html: str) -> list[Block]:
     ends with an element around it, at a tag that cannot be inside it, or, when
     nothing else ends it, right behind its start tag."""
     out: list[Block] = []
-    stack: list[tuple[str, int, float]] = []  # tag, element number, score of the path so far
+    stack: list[tuple[str, int, Element]] = []  # tag, element number, what it says
     current: Block | None = None
     at = number = links = 0
     skip: str | None = None
@@ -118,9 +159,8 @@ def blocks(html: str) -> list[Block]:
         if not raw or (current is None and raw.isspace()):
             return
         if current is None:
-            score = stack[-1][2] if stack else 0.0
             item = any(t in ("li", "td", "th", "option") for t, _, _ in stack)
-            current = Block(tuple(n for t, n, _ in stack if t not in INLINE), score, item)
+            current = Block(tuple(n for t, n, _ in stack if t not in INLINE), item, [e for _, _, e in stack])
             out.append(current)
         piece = unescape(raw) if "&" in raw else raw
         current.pieces.append(piece)
@@ -209,7 +249,11 @@ def blocks(html: str) -> list[Block]:
             elif parent == tag and tag in ("li", "td", "th", "tr", "dt", "dd"):
                 close(tag)
         number += 1
-        stack.append((tag, number, (stack[-1][2] if stack else 0.0) + element_score(tag, m[3])))
+        stack.append((tag, number, element(tag, m[3])))
+        if stack[-1][2].main or tag in PAGE_PARTS:
+            for _, _, outer in stack[:-1]:
+                outer.holds_main |= stack[-1][2].main
+                outer.holds_parts |= tag in PAGE_PARTS
         links += tag == "a"
     rest = html[at:]
     cut = re.search(r"<[A-Za-z/!?][^>]*\Z", rest)
@@ -217,10 +261,34 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def content_score(block: Block, text: str) -> float:
+def place_scores(found: list[tuple[Block, str]]) -> list[float]:
+    """What the elements around each block say together.
+
+    A penalty cannot take the page itself: an element that holds most of its
+    prose and the main part, or nearly all of its prose and its menus, header or
+    footer, is a frame around the page ("page-wrapping" forms, "content sidebar-left"), and its penalty does
+    not count. Readers' comments and hidden elements are no frames.
+    """
+    whole = 0
+    for b, text in found:
+        n = len(text) - min(len(text), b.linked)
+        if n >= PROSE_CHARS:
+            whole += n
+            for e in b.within:
+                e.prose += n
+
+    def score(e: Element) -> float:
+        share = FRAME if e.holds_main else BARE_FRAME if e.holds_parts else None
+        frame = share and whole and not e.readers and e.prose >= share * whole
+        return 0.0 if frame and e.score < 0 else e.score
+
+    return [sum(map(score, b.within)) for b, _ in found]
+
+
+def content_score(block: Block, text: str, place: float) -> float:
     """Log-odds that a block is content: its place in the tree, length, links and last sign."""
     n = max(1, len(text))
-    score = PRIOR + block.score + PER_LOG_CHAR * math.log1p(n) + LINKED * min(1.0, block.linked / n)
+    score = PRIOR + place + PER_LOG_CHAR * math.log1p(n) + LINKED * min(1.0, block.linked / n)
     return score + SENTENCE_END * (text[-1:] in ".!?…\"”") + LIST_ITEM * block.item
 
 
@@ -235,7 +303,7 @@ def smoothness(found: list[Block]) -> dict[tuple[int, int], float]:
                     break
                 common += 1
             apart = len(a.path) + len(found[j].path) - 2 * common
-            edges[i, j] = NEAR_IN_TREE / (1 + apart) + (NEXT_BLOCK if j == i + 1 else 0.0)
+            edges[i, j] = (NEAR_IN_TREE + NEXT_BLOCK * (j == i + 1)) / (1 + apart)
     return edges
 
 
@@ -306,7 +374,8 @@ def main_text(html: str | None) -> str:
     found = [(b, t) for b in blocks(html or "") if (t := b.text)]
     if not found:
         return ""
-    keep = min_cut([content_score(b, t) for b, t in found], smoothness([b for b, _ in found]))
+    scores = [content_score(b, t, place) for (b, t), place in zip(found, place_scores(found))]
+    keep = min_cut(scores, smoothness([b for b, _ in found]))
     return "\n".join(t for (_, t), k in zip(found, keep) if k)
 
 

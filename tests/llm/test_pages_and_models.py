@@ -42,6 +42,47 @@ def test_page_without_semantic_tags():
     assert main_text(html) == "\n".join([text.strip(), text.strip(), "Short."])
 
 
+FRAMES = [
+    ('<body class="single has-sidebar"><article>', "</article>"),
+    ('<body class="post-template-default single single-post postid-7 no-sidebar comments-open"><article>', "</article>"),
+    ('<body class="home page-with-sidebar"><main class="site-main no-menu">', "</main>"),
+    ('<div class="content-with-sidebar">', "</div>"),
+    ('<div class="content sidebar-left">', "</div>"),
+    ('<div id="wrapper" class="has-header with-footer"><div class="content-area">', "</div></div>"),
+    ('<article class="post comment-status-open">', "</article>"),
+    ('<article id="post-9" class="post-9 post type-post status-publish hentry category-social tag-newsletter tag-ads">', "</article>"),
+    ('<article class="entry has-post-thumbnail sharing-enabled"><div class="entry-content">', "</div></article>"),
+    ('<div class="layout-sidebar-right"><div role="main">', "</div></div>"),
+    ('<section class="story theme-header-dark"><div class="story-body">', "</div></section>"),
+    ('<div class="menu-open page"><div class="post-content">', "</div></div>"),
+    ('<div class="overlay"><main>', "</main></div>"),
+    ('<div class="col-nav no-toolbar"><h1>Title</h1><div class="text">', "</div></div>"),
+]
+
+
+@pytest.mark.parametrize("begin,end", FRAMES)
+def test_names_of_frames_are_no_evidence(begin, end):
+    """Theme classes about a sidebar, comments or a menu elsewhere leave the page's text alone, and its parts are still left out."""
+    story = "The harbour was quiet when the two boats came in from the north, one behind the other."
+    got = main_text(PAGE.format(body=f"{begin}<p>{story}</p><p>{story}</p>{end}"))
+    assert [t for t in got.split("\n") if t != "Title"] == [story, story]
+
+
+@pytest.mark.parametrize("frame", ['<form id="aspnetForm" method="post">{}</form>', '<div class="modal-page overlay">{}</div>', '<form>{}</form>'])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<h1>Title</h1><div>{}</div>", "<div id=content>{}</div>", "<div>{}</div>"])
+def test_frame_around_the_whole_page(frame, inner):
+    story = "<p>The harbour was quiet when the two boats came in from the north, one behind the other.</p>" * 3
+    menu, foot = "<nav><a href=/a>One</a> <a href=/b>Two</a></nav>", "<footer>All rights reserved</footer>"
+    got = main_text("<body>" + frame.format(menu + inner.format(story) + foot) + "</body>")
+    assert [t for t in got.split("\n") if t != "Title"] == ["The harbour was quiet when the two boats came in from the north, one behind the other."] * 3
+
+
+def test_comments_stay_out_however_long_they_are():
+    story = "The harbour was quiet when the two boats came in from the north, one behind the other."
+    talk = "".join(f'<article class="comment even depth-1"><p>I have been there too and it was lovely, number {i}, thank you.</p></article>' for i in range(40))
+    assert main_text(f'<body><article><p>{story}</p></article><div class="comments-area"><h1>Comments</h1>{talk}</div></body>') == story
+
+
 @pytest.mark.parametrize("html", ["", None, "<", "<p", "<p>a<!-- b", "plain", "</p></div>", "<script>x", "<a <b>c", "<p>" * 3000, "x" * 200_000, "<div>" * 500 + "t" + "</div>" * 500])
 def test_odd_pages(html):
     main_text(html)
