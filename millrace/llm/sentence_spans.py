@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared import text_or_empty, written
 from millrace.llm.shingles import mixed, texts_as_bytes, word_bounds, word_hashes
-from millrace.operators.joins import join_back
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -24,7 +23,7 @@ _WIDE_ENDS = {n: np.array([int.from_bytes(c.encode()) for c in s]) for n, s in (
 
 @dataclass(frozen=True)
 class Spans:
-    """A span has at least ``sentences`` sentences and ``words`` words, or is one sentence of ``alone`` words or more.
+    """A span has at least ``sentences`` sentences and ``words`` words.
 
     Sentences are the parts between full stops, question and exclamation marks,
     commas, colons, semicolons, their forms in other scripts and line ends, so
@@ -35,8 +34,7 @@ class Spans:
 
     sentences: int = 2
     words: int = 20
-    alone: int = 20
-    long: int = 40
+    long: int = 20
     piece: int = 8
 
 
@@ -86,11 +84,8 @@ def cut(raw: np.ndarray, how: Spans) -> Cut:
     every = np.arange(count)
     # Of the runs that are long enough the shortest that begins, and the shortest that ends, at each sentence:
     # every sentence of a longer run is in one of those inside it.
-    alone = behind - begin >= how.alone
-    until = np.maximum(np.searchsorted(behind, begin + how.words, side="left"), every + how.sentences - 1)
-    until = np.where(alone, every, until) + 1
+    until = np.maximum(np.searchsorted(behind, begin + how.words, side="left"), every + how.sentences - 1) + 1
     since = np.minimum(np.searchsorted(begin, behind - how.words, side="right") - 1, every - how.sentences + 1)
-    since = np.where(alone, every, since)
     held, ending = np.flatnonzero(until <= count), np.flatnonzero(since >= 0)
     both = np.unique(np.concatenate([held * (count + 1) + until[held], since[ending] * (count + 1) + ending + 1]))
     at, until = both // (count + 1), both % (count + 1)
@@ -102,29 +97,27 @@ def cut(raw: np.ndarray, how: Spans) -> Cut:
     return Cut(first[begin], behind - begin, keys, at, until)
 
 
-def span_table(docs: DataFrame, how: Spans, doc_id: str, text: str) -> DataFrame:
-    """``span``, ``doc_id``, ``at``: every span with its number in the text, by first and last sentence."""
+def cut_table(docs: DataFrame, how: Spans, doc_id: str, text: str) -> DataFrame:
+    """``row``, ``doc_id``, ``text``, ``n_sentences`` and ``spans``, the hashes of all spans by first and last sentence. Written."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low in range(0, b.num_rows, 256):
                 part = b.slice(low, 256)
-                owner, at, keys = [], [], []
-                for i, raw in enumerate(texts_as_bytes(part.column(1))):
-                    found = cut(raw, how).keys
-                    owner.append(np.full(len(found), i))
-                    at.append(np.arange(len(found)))
-                    keys.append(found)
+                found = [cut(raw, how) for raw in texts_as_bytes(part.column(2))]
+                ends = np.cumsum([0, *(len(c.keys) for c in found)], dtype=np.int32)
+                keys = np.concatenate([c.keys for c in found]).view(np.int64)
                 yield pa.record_batch(
                     [
-                        pa.array(np.concatenate(keys).view(np.int64)), part.column(0).take(pa.array(np.concatenate(owner))),
-                        pa.array(np.concatenate(at).astype(np.int32)),
+                        part.column(0), part.column(1), part.column(2), pa.array([len(c.starts) for c in found], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)),
                     ],
-                    names=["span", "doc_id", "at"],
+                    names=["row", "doc_id", "text", "n_sentences", "spans"],
                 )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(scan, f"span bigint, doc_id {kind}, at int")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    return written(rows.mapInArrow(scan, f"row bigint, doc_id {kind}, text string, n_sentences bigint, spans array<bigint>"))
 
 
 def drop_repeated(
@@ -133,61 +126,58 @@ def drop_repeated(
     """``doc_id``, ``text`` without repeated passages, ``n_sentences``, ``n_removed``, ``removed_words``.
 
     A span is repeated when it occurs twice or more in all texts. Its first
-    occurrence, by ``doc_id`` and place, stays; the sentences of all others go,
-    and the rest of the text stays as it was. Words are compared with A-Z
-    lower-cased. Rows with one ``doc_id`` count as one document: what repeats at
-    the same place in both stays in both. A NULL ``doc_id`` comes before all
+    occurrence, by ``doc_id``, row and place, stays; the sentences of all others
+    go, and the rest of the text stays as it was. Words are compared with A-Z
+    lower-cased. Rows that share a ``doc_id`` are documents of their own, the
+    first of which keeps what all of them hold; which of them is first follows
+    the order in which ``docs`` is read. A NULL ``doc_id`` comes before all
     others. NULL and empty texts come out empty.
 
-    Spans are counted before the shuffle; only those that repeat are joined
-    back, with hot ones split by AQE, and a document gets the list of its own
-    repeated places, which is no longer than its text.
+    Texts are cut once and written with a row number and the hashes of their
+    spans. Spans are counted before the shuffle; only occurrences of those that
+    repeat go on, with hot ones split by AQE, and a row gets the list of its own
+    repeated places, which is no longer than its text. Rows with such a list are
+    cut again to take the sentences out.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
-    spans = span_table(rows, how, "doc_id", "text")
-    repeated = written(
-        spans.groupBy("span")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
-        .filter("n > 1")
-        .select("span", F.col("first.doc_id").alias("f_id"), F.col("first.at").alias("f_at"))
+    cuts = cut_table(docs, how, doc_id, text)
+    spans = cuts.select("row", "doc_id", F.posexplode("spans").alias("at", "span"))
+    repeated = written(spans.groupBy("span").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("span"))
+    found = written(spans.join(repeated, "span"))
+    first = written(
+        found.groupBy("span").agg(F.min(F.struct("doc_id", "row", "at")).alias("f")).select("span", F.col("f.row").alias("f_row"), F.col("f.at").alias("f_at"))
     )
-    later = join_back(spans, repeated, ["span"]).filter(~(F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("at") == F.col("f_at"))))
-    lists = written(
-        later.groupBy(F.col("doc_id").alias("l_id")).agg(F.collect_set(F.struct("at", "span")).alias("gone"))
-    )
-    joined = rows.join(lists, rows["doc_id"].eqNullSafe(lists["l_id"]), "left").select("doc_id", "text", "gone.at", "gone.span")
+    later = found.join(first, "span").filter((F.col("row") != F.col("f_row")) | (F.col("at") != F.col("f_at")))
+    lists = written(later.groupBy(F.col("row").alias("l_row")).agg(F.sort_array(F.collect_list("at")).alias("gone")))
+    joined = cuts.drop("spans").join(lists, F.col("row") == F.col("l_row"), "left").select("doc_id", "text", "n_sentences", "gone")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for low in range(0, b.num_rows, 256):
                 part = b.slice(low, 256)
-                out = [_without(*x, how) for x in zip(texts_as_bytes(part.column(1), lower=False), *(part.column(k).to_pylist() for k in (2, 3)))]
-                texts, total, gone, words = zip(*out)
+                out = [_without(*x, how) for x in zip(part.column(1), part.column(3).to_pylist())]
+                texts, gone, words = zip(*out)
                 yield pa.record_batch(
-                    [part.column(0), pa.array(texts, pa.string()), *[pa.array(x, pa.int64()) for x in (total, gone, words)]],
+                    [part.column(0), pa.array(texts, pa.string()), part.column(2), *[pa.array(x, pa.int64()) for x in (gone, words)]],
                     names=["doc_id", "text", "n_sentences", "n_removed", "removed_words"],
                 )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kind = cuts.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(
         clean, f"doc_id {kind}, text string, n_sentences bigint, n_removed bigint, removed_words bigint"
     )
 
 
-def _without(raw: np.ndarray, at: list[int] | None, spans: list[int] | None, how: Spans) -> tuple[str, int, int, int]:
-    """The text without the sentences of the spans at the given places, and the counts."""
-    low = next(texts_as_bytes(pa.array([raw.tobytes().decode()])), raw)
-    found = cut(low, how)
+def _without(text: pa.StringScalar, at: list[int] | None, how: Spans) -> tuple[str, int, int]:
+    """The text without the sentences of its spans at the given places, and how many sentences and words that are."""
+    if not at:
+        return text.as_py(), 0, 0
+    raw = next(texts_as_bytes(pa.array([text.as_py()]), lower=False))
+    found = cut(next(texts_as_bytes(pa.array([text.as_py()]))), how)
     gone = np.zeros(len(found.starts) + 1, dtype=np.int64)
-    for i, key in zip(at or (), spans or ()):
-        # Another row of the same id may have put its own places on the list.
-        if i < len(found.keys) and found.keys[i].astype(np.int64) == key:
-            gone[found.at[i]] += 1
-            gone[found.until[i]] -= 1
+    np.add.at(gone, found.at[at], 1)
+    np.subtract.at(gone, found.until[at], 1)
     covered = np.cumsum(gone[:-1]) > 0
-    if not covered.any():
-        return raw.tobytes().decode(), len(covered), 0, 0
     edges = np.append(found.starts, len(raw))
     kept = [raw[: edges[0]].tobytes()]
     kept += [raw[edges[i] : edges[i + 1]].tobytes() for i in np.flatnonzero(~covered)]
-    return b"".join(kept).decode(), len(covered), int(covered.sum()), int(found.n_words[covered].sum())
+    return b"".join(kept).decode(), int(covered.sum()), int(found.n_words[covered].sum())

@@ -134,35 +134,52 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-def expected_spans(rows, how):
-    """Texts without repeated spans, by position of the row."""
-    cuts, seen = [], defaultdict(set)
-    for d, t in rows:
-        found = [(m.start(), m[0]) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
+def expected_spans(rows, how, longest=30):
+    """Texts without repeated spans, by position of the row: every run of up to ``longest`` sentences is looked at."""
+    cuts, seen = [], defaultdict(list)
+    for n, (d, t) in enumerate(rows):
+        found = [(m.start(), m[0].translate(LOWER)) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")]
         ends = [i for i, (at, w) in enumerate(found) if w[-1] in ".!?;:," or i + 1 == len(found) or "\n" in t[at : found[i + 1][0]]]
         begins = [0, *[e + 1 for e in ends[:-1]]] if found else []
-        spans = {}
+        cuts.append((found, begins))
         for s in range(len(begins)):
-            for e in range(s, len(ends)):
-                if e - s + 1 >= how.sentences and ends[e] - begins[s] + 1 >= how.words:
-                    spans[s] = (tuple(w.translate(LOWER) for _, w in found[begins[s] : ends[e] + 1]), e)
-                    break
-        cuts.append((found, begins, spans))
-        for s, (key, _) in spans.items():
-            seen[key].add(((d is not None, d or 0), s))
+            for e in range(s + how.sentences - 1, min(len(ends), s + longest)):
+                if ends[e] - begins[s] + 1 >= how.words:
+                    seen[hash(tuple(w for _, w in found[begins[s] : ends[e] + 1]))].append(((d is not None, d or 0), n, s, e))
+    gone = defaultdict(set)
+    for places in seen.values():
+        for _, n, s, e in sorted(places)[1:]:
+            gone[n].update(range(s, e + 1))
     out = []
-    for (d, t), (found, begins, spans) in zip(rows, cuts):
-        gone = {k for s, (key, e) in spans.items() if min(seen[key]) != ((d is not None, d or 0), s) for k in range(s, e + 1)}
+    for n, ((d, t), (found, begins)) in enumerate(zip(rows, cuts)):
         edges = [found[b][0] for b in begins] + [len(t or "")]
-        text = (t or "")[: edges[0]] + "".join((t or "")[edges[k] : edges[k + 1]] for k in range(len(begins)) if k not in gone)
-        out.append((d, text, len(begins), len(gone)))
+        text = (t or "")[: edges[0]] + "".join((t or "")[edges[k] : edges[k + 1]] for k in range(len(begins)) if k not in gone[n])
+        out.append((d, text, len(begins), len(gone[n])))
     return sorted(out, key=str)
 
 
 def test_repeated_spans(spark, corpus, odd_docs, no_docs):
-    got = sorted(((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in drop_repeated(odd_docs).collect()), key=str)
-    assert got == expected_spans([(i, t) for i, t, *_ in corpus], Spans())
+    """All runs of sentences against brute force; rows in one partition, so that those of one id have an order."""
+    rng = random.Random(6)
+    shared = [sized(rng, 15, 15, 3), sized(rng, 3, 9, 9, 2), sized(rng, 11, 12)]
+    rows = [(i, t) for i, t, *_ in corpus]
+    rows += [(900 + i, f"{sized(rng, 4, 9)} {shared[i % 3]} {sized(rng, 7)} {shared[(i + 1) % 3]}") for i in range(9)] + [(900, shared[0]), (None, shared[1])] * 2
+    whole = Spans(long=10**9)  # no sentence is cut into pieces
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in drop_repeated(df, whole).collect()), key=str)
+    assert got == expected_spans(rows, whole)
     assert drop_repeated(no_docs).count() == 0
+    assert drop_repeated(odd_docs).columns == ["doc_id", "text", "n_sentences", "n_removed", "removed_words"]
+    assert drop_repeated(odd_docs).count() == len(corpus)
+
+
+def test_rows_of_one_id_and_of_none(spark):
+    """Copies under one id or under none are documents of their own: one of them keeps the text."""
+    rng = random.Random(7)
+    text = sized(rng, 12, 12, 12)
+    rows = [(5, text)] * 3 + [(None, text)] * 2
+    got = [(r.doc_id, r.text) for r in drop_repeated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(None, text), (None, ""), (5, ""), (5, ""), (5, "")], key=str)
 
 
 def test_passage_inside_other_texts(spark):
