@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.chunk_dedup import drop_copies
 from millrace.llm.host_rules import keep_good
-from millrace.llm.packing import pack_documents, vocabulary
+from millrace.llm.packing import pack_documents
 from millrace.llm.shared import written
 from millrace.llm.source_mix import mixed_rows
+from millrace.llm.token_ids import tokenizer_file
 from millrace.llm.token_groups import Similarity, drop_near_copies
 from millrace.session import tune
 
@@ -40,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of 1024 tokens."""
-    return pack_documents(docs, vocabulary())
+    return pack_documents(docs, tokenizer_file())
 
 
 STAGES = [

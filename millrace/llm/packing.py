@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import base64
-import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,71 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.shared import text_or_empty
+from millrace.llm.token_ids import token_ids
 
 LENGTH = 1024
 END_ID = 2
 # Documents packed together: a shard's rows (about 60 bytes each) fit any task,
 # and the last, partly filled sequence of a shard is a small share of its sequences.
 SHARD_DOCS = 16_384
-# Words kept with their ids in a task before the table is begun anew.
-KEPT_WORDS = 300_000
-
-
-def vocabulary(name: str = "byte_bpe_50k") -> tuple[str, str, str]:
-    """A public tokenizer: its file, the same vocabulary as ranks, and its word pattern."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(f"{name}.json")), str(public_tokenizers.path(f"{name}.tiktoken")), public_tokenizers.PATTERN
-
-
-class Encoder:
-    """Token ids of texts, with the ids of words kept.
-
-    A word with the space before it is encoded alike wherever it stands, as long
-    as nothing else is white space at its edges; the tokenizer splits there in
-    any case. Texts with other white space at such edges, or with one of the
-    tokenizer's special tokens, are encoded whole. ``ranks`` is the same
-    vocabulary as a list of byte strings, for a library that encodes single words
-    with less overhead; both give the same ids.
-    """
-
-    def __init__(self, path: str, ranks: str, pattern: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        with open(ranks, "rb") as lines:
-            table = {base64.b64decode(t): int(i) for t, i in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        self.kept: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return array("I", self.encode(text)).tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        for t in texts:
-            if "\x00" in t or any(s in t for s in self.special):
-                yield self._whole(t)
-                continue
-            cut = t.replace(" ", "\x00 ").split("\x00")
-            yield b"".join(map(self.kept.__getitem__, cut)) if self._keep(set(cut)) else self._whole(t)
-
-    def _keep(self, words: set[str]) -> bool:
-        """Encode the new words; False if one has white space at an edge."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        for w in words:
-            if w not in self.kept:
-                inner = w[1:] if w[:1] == " " else w
-                if not inner or inner[0].isspace() or inner[-1].isspace():
-                    return False
-                self.kept[w] = array("I", self.encode(w)).tobytes()
-        return True
 
 
 def cut_points(n: int, length: int) -> list[tuple[int, int]]:
@@ -89,19 +28,19 @@ def cut_points(n: int, length: int) -> list[tuple[int, int]]:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: tuple[str, str, str], doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID
 ) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` of every document and its end token."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(*tokenizer)
+        to_ids = token_ids(tokenizer)
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 owner, piece, start, size, crc = [], [], [], [], []
-                for i, ids in enumerate(encode(part.column(1).to_pylist())):
-                    ids += end
+                for i, text in enumerate(part.column(1)):
+                    ids = to_ids(text.as_py()) + end
                     for k, (s, n) in enumerate(cut_points(len(ids) // 4, length)):
                         owner.append(i)
                         piece.append(k)
@@ -213,33 +152,34 @@ class Search:
         self._enter(target)
 
 
-def local_search(bins: list[list[int]], sizes: np.ndarray, length: int, passes: int = 4) -> list[list[int]]:
+def local_search(bins: list[list[int]], sizes: np.ndarray, length: int) -> list[list[int]]:
     """Empty bins by moves and by exchanges of one document for one or two between underfull bins.
 
-    Bins are taken from the emptiest up, again and again, at most ``passes``
-    times; a size that found no bin is not tried again in the same pass. Every step raises the sum of squared fills, so the search ends; it
-    stops as soon as no fewer bins can hold the total.
+    Bins are taken from the emptiest up, again and again until a pass gains
+    nothing; a size that found no bin is not tried again in the same pass. Every
+    step raises the sum of squared fills, so the search ends; it stops as soon
+    as no fewer bins can hold the total.
     """
     search = Search(bins, sizes, length)
     fewest = -(-sum(search.fill) // length)
-    for _ in range(passes):
+    gained = True
+    while gained:
         gained = False
         search.stuck.clear()
         for source in sorted(range(len(bins)), key=lambda b: search.fill[b]):
             while search.is_open(source) and search.used > fewest and search.step(source):
                 gained = True
-        if not gained:
-            break
     return [b for b in bins if b]
 
 
 def pack(parts: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces.
 
-    Pieces are dealt to shards by a hash of their place, and each shard packs
-    its own: best fit first, then local search over the bins it left underfull.
-    Full pieces are sequences by themselves. Ties go by document, piece and
-    check sum, so runs agree. Only ids, lengths and check sums are shuffled.
+    Pieces are dealt to shards by a hash of a running number, so rows that repeat
+    spread like any others, and each shard packs its own: best fit first, then
+    local search over the bins it left underfull. Full pieces are sequences by
+    themselves. Ties go by document, piece and check sum, so runs over the same
+    partitions agree. Only ids, lengths and check sums are shuffled.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema.fields)
     schema = f"{fields}, sequence_id bigint, offset bigint"
@@ -256,12 +196,12 @@ def pack(parts: DataFrame, shards: int, length: int = LENGTH) -> DataFrame:
         out["offset"] = before
         return out.drop(columns="shard")
 
-    place = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards))
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))
     return parts.withColumn("shard", place).groupBy("shard").applyInPandas(one_shard, schema)
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: tuple[str, str, str], doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from millrace.llm.packing import pack_documents, vocabulary
+from millrace.llm.packing import pack_documents
 from millrace.llm.page_text import extract_pages
 from millrace.llm.quality_net import quality_scores
 from millrace.llm.secret_forest import find_secrets
 from millrace.llm.sentence_spans import drop_repeated
 from millrace.llm.shared import query
+from millrace.llm.token_ids import tokenizer_file
 
 
 @query()
@@ -19,7 +20,7 @@ def op1_html_extraction(t) -> DataFrame:
 
 @query()
 def op2_best_fit_packing(t) -> DataFrame:
-    return pack_documents(t.documents, vocabulary())
+    return pack_documents(t.documents, tokenizer_file())
 
 
 @query()

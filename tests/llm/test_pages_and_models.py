@@ -9,10 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import prose  # noqa: I001
-from millrace.llm.packing import LENGTH, Encoder, best_fit, cut_points, local_search, pack_documents, vocabulary
+from millrace.llm.packing import LENGTH, SHARD_DOCS, best_fit, cut_points, local_search, pack, pack_documents
 from millrace.llm.page_text import blocks, extract_pages, main_text, min_cut
 from millrace.llm.quality_net import Network, fit, quality_scores
 from millrace.llm.secret_forest import CANDIDATE, Forest, find_secrets
+from millrace.llm.token_ids import tokenizer_file
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body>
 <header><a href="/">Home</a><p>Site of things.</p></header><nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>
@@ -137,18 +138,12 @@ def test_extract_pages(spark):
 def reference_ids(texts):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary()[0])
+    t = Tokenizer.from_file(tokenizer_file())
     return [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
 
 
-def test_encoder():
-    texts = ["", " ", "a", " a b", "a  b", "a\n\nb c\t d ", "it's I'll <|endoftext|> x", "é ü   z", "a\x00 b", "x" * 5000, "1234 5,678! \U0001f600 ‍", "tail \n", "\nhead a", "a \x1c b"]
-    encode = Encoder(*vocabulary())
-    assert [np.frombuffer(b, dtype="<u4").tolist() + [2] for b in encode(texts)] == reference_ids(texts)
-
-
 def test_packing(corpus, odd_docs, no_docs):
-    rows = pack_documents(odd_docs, vocabulary()).collect()
+    rows = pack_documents(odd_docs, tokenizer_file()).collect()
     want = defaultdict(int)
     for (i, *_), ids in zip(corpus, reference_ids([t for _, t, *_ in corpus])):
         first = len(ids) % LENGTH or LENGTH
@@ -164,7 +159,15 @@ def test_packing(corpus, odd_docs, no_docs):
         parts.sort()
         assert [o for o, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= LENGTH
     assert len(sequences) <= -(-sum(k[3] * c for k, c in want.items()) // LENGTH) + 1
-    assert pack_documents(no_docs, vocabulary()).count() == 0
+    assert pack_documents(no_docs, tokenizer_file()).count() == 0
+
+
+def test_rows_that_repeat_spread_over_shards(spark):
+    """Forty thousand equal rows without an id: no shard gets more than its share."""
+    rows = spark.range(0, 40_000, 1, 5).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "0 AS piece", "0L AS start", "1L AS length", "9L AS ids_crc32")
+    packed = pack(rows, -(-40_000 // SHARD_DOCS))
+    sizes = [r["count"] for r in packed.groupBy(F.col("sequence_id") % 3).count().collect()]
+    assert len(sizes) == 3 and max(sizes) < SHARD_DOCS and packed.select("sequence_id").distinct().count() <= 42
 
 
 def test_cut_points():
