@@ -124,7 +124,11 @@ def html_tables(df: DataFrame, key: str, html: str, n_cols: int) -> DataFrame:
 HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<![^>]*>"
 _ATTRIBUTE = r"(?is)[\s\"'/]([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 # All named references of HTML 5, and the numbers that it reads as other signs.
-REFERENCES = json.dumps(html5)
+# They are looked up by their first two letters and then by name: a map is searched from its front.
+_BY_START: dict[str, dict[str, str]] = {}
+for _name, _char in html5.items():
+    _BY_START.setdefault(_name[:2], {})[_name] = _char
+REFERENCES = json.dumps(_BY_START)
 _WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
@@ -134,7 +138,7 @@ def unescaped(c: Column) -> Column:
     A name without ``;`` counts where HTML 5 lets it, unless a letter, digit or
     ``=`` follows. Numbers that are no character become U+FFFD.
     """
-    names = F.from_json(F.lit(REFERENCES), "map<string,string>")
+    names = F.from_json(F.lit(REFERENCES), "map<string,map<string,string>>")
     windows = F.create_map(*[F.lit(x) for pair in _WINDOWS.items() for x in pair])
 
     def number(piece: Column) -> Column:
@@ -148,7 +152,7 @@ def unescaped(c: Column) -> Column:
 
     def named(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=]))", 0)
-        char = F.when(name == "", None).otherwise(names[name])
+        char = F.when(name == "", None).otherwise(names[F.left(name, F.lit(2))][name])
         return F.coalesce(F.concat(char, F.substr(piece, F.length(name) + 1)), F.concat(F.lit("&"), piece))
 
     def decoded(piece: Column) -> Column:
@@ -177,7 +181,9 @@ def attribute_values(html: str | Column, tag: str, attr: str) -> Column:
             F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(1)), F.regexp_extract_all(inside, F.lit(_ATTRIBUTE), F.lit(2)),
             lambda n, v: F.struct(F.lower(n).alias("n"), v.alias("v")),
         )
-        return F.get(F.filter(pairs, lambda x: x["n"] == attr.lower()), F.lit(0))["v"]
+        # Most tags begin with the attribute that is asked for; the others are read from the front.
+        ahead = F.regexp_extract(inside, rf"(?is)^\s+{re.escape(attr)}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+        return F.when(ahead != "", ahead).otherwise(F.get(F.filter(pairs, lambda x: x["n"] == attr.lower()), F.lit(0))["v"])
 
     values = F.filter(F.transform(tags, first_value), lambda v: v.isNotNull() & (v != ""))
     return F.transform(values, lambda v: unescaped(F.regexp_replace(v, r"(?s)^([\"'])(.*)\1$", "$2")))

@@ -1,8 +1,10 @@
 """Data-quality checks, the check report, and the publish gate.
 
-All checks of a table are computed in one pass: the duplicate and share checks
-of different key sets become the grouping sets of a single aggregate, so the
-table is read once and shuffled once whatever the number of checks.
+All checks of a table are computed in one pass: a row becomes one narrow row per
+key set, with a fingerprint instead of the key's columns, and a single aggregate
+counts and sums them. The table is read once and shuffled once whatever the
+number of checks, rows are combined before the shuffle, and what is shuffled is
+as wide for a key of seven columns as for a key of one.
 """
 
 from __future__ import annotations
@@ -98,6 +100,17 @@ def check_report(df: DataFrame, checks: Sequence[Check], table: str) -> DataFram
     return reduce(DataFrame.unionByName, reports)
 
 
+def fingerprint(keys: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits that stand for a key: two hashes with different seeds over its columns and over which of them are NULL.
+
+    Equal keys have equal fingerprints. That two of n different keys share one
+    has a chance of n^2 / 2^129, below 10^-14 for a trillion keys.
+    """
+    unset = reduce(Column.__add__, [F.col(k).isNull().cast("long") * (1 << i) for i, k in enumerate(keys)])
+    cols = [*[F.col(k) for k in keys], unset]
+    return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
+
+
 def _one_pass(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     null_checks = [c for c in checks if isinstance(c, NoNulls)]
     grouped = [c for c in checks if isinstance(c, (Unique, SumsTo))]
@@ -114,27 +127,33 @@ def _one_pass(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
             entries.append((f"c{j}", c.code, isinstance(c, NotEmpty)))
         return _report(df.agg(*finals), table, entries)
 
-    columns = list(dict.fromkeys(k for s in sets for k in s))
     amounts = list(dict.fromkeys(c.amount for c in grouped if isinstance(c, SumsTo)))
-    # Grouping columns are read through copies: a grouping set replaces the
-    # columns outside of it by NULL, also inside the aggregates.
+    summed = {(tuple(c.keys), c.amount) for c in grouped if isinstance(c, SumsTo)}
+    nothing = F.lit(None)
+    # One narrow row per key set: its number, the key's fingerprint, and what is counted or summed for it.
     prepared = df.select(
-        *[F.col(k).alias(f"g{i}") for i, k in enumerate(columns)],
+        *[h.alias(f"{name}{i}") for i, s in enumerate(sets) for name, h in zip("kl", fingerprint(s))],
         *[money(a).alias(f"a{i}") for i, a in enumerate(amounts)],
         *[p.cast("long").alias(f"z{i}") for i, p in null_row.items()],
     )
-    names = {k: f"g{i}" for i, k in enumerate(columns)}
-    per_key = prepared.groupingSets([[names[k] for k in s] for s in sets], *names.values()).agg(
-        F.grouping_id().alias("gid"),
+    copies = [
+        F.struct(
+            F.lit(i).alias("gid"),
+            F.col(f"k{i}").alias("k"),
+            F.col(f"l{i}").alias("l"),
+            *[(F.col(f"a{n}") if (s, a) in summed else nothing.cast(prepared.schema[f"a{n}"].dataType)).alias(f"a{n}") for n, a in enumerate(amounts)],
+            *[(F.col(f"z{n}") if i == 0 else nothing.cast("long")).alias(f"z{n}") for n in null_row],
+        )
+        for i, s in enumerate(sets)
+    ]
+    per_key = prepared.select(F.inline(F.array(*copies))).groupBy("gid", "k", "l").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(amounts))],
         *[F.sum(f"z{i}").alias(f"z{i}") for i in null_row],
     )
 
-    def gid(s: tuple[str, ...]) -> int:
-        return sum(1 << (len(columns) - 1 - i) for i, k in enumerate(columns) if k not in s)
-
-    first = F.col("gid") == gid(sets[0])
+    gid = {s: i for i, s in enumerate(sets)}.__getitem__
+    first = F.col("gid") == 0
     for j, c in enumerate(checks):
         if isinstance(c, NotEmpty):
             count = F.sum(F.when(first, F.col("n")))
