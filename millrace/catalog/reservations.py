@@ -12,6 +12,7 @@ from millrace.functions.money import money
 from millrace.operators.nested import explode_errors
 from millrace.plans import reservations as R
 from millrace.schemas import RESERVATION
+from millrace.session import staged
 from millrace.sources.files import parse_json, quarantine
 from millrace.sources.tables import Tables
 
@@ -66,8 +67,9 @@ def message_text(t: Tables) -> DataFrame:
 
 
 def messages(t: Tables) -> DataFrame:
+    """Parsed once: the amounts and the rows that they are joined back to both read the staged messages."""
     good, _ = quarantine(parse_json(message_text(t), "value", RESERVATION))
-    return good.select("message.*")
+    return staged(good.select("message.*"))
 
 
 def dimensions(t: Tables) -> R.Dimensions:

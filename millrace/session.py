@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that the operators count on. A join whose output feeds an
 # aggregate on the same key is only split by AQE when the split is forced.
@@ -51,3 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it back.
+
+    For what is costly to make and read more than once: it is made once, later
+    readers take the columns they need, and a lost executor costs a re-read of
+    files. Needs one job; the files stay until the folder is cleared.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
