@@ -52,18 +52,35 @@ def op5_exact_dedup(t) -> DataFrame:
     ),
     t AS (
       SELECT source, source_size, least(cap, rate * w) AS target FROM k, r
-    ), p AS (
-      SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::INT ELSE 0 END AS whole FROM t
+    ), l AS (
+      SELECT source, CASE WHEN size >= 20 THEN 2.0 ELSE 1.0 END::DOUBLE AS wt, sum(size)::BIGINT AS words FROM d GROUP BY ALL
     ), c AS (
-      SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS need,
-             sum(size) OVER (PARTITION BY d.source ORDER BY u RANGE UNBOUNDED PRECEDING) AS upto
-      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+      SELECT l.*, t.source_size, t.target,
+             (target - 3.0::DOUBLE * coalesce(sum(words) OVER (PARTITION BY l.source ORDER BY wt DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / nullif(sum(wt * words) OVER (PARTITION BY l.source ORDER BY wt DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS c
+      FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source
+    ), f AS (
+      SELECT source, max(wt) AS top, arg_max(coalesce(c, 0), wt) AS rate FROM c WHERE coalesce(c, 0) * wt <= 3 GROUP BY source
+    ), x AS (
+      SELECT c.*, least(CASE WHEN f.top IS NULL OR wt > f.top THEN 3.0::DOUBLE ELSE f.rate * wt END, 3.0::DOUBLE) AS e
+      FROM c LEFT JOIN f ON c.source IS NOT DISTINCT FROM f.source
+    ), p AS (
+      SELECT *, floor(e)::INT AS whole, e - floor(e) AS chance,
+             target - sum(floor(e) * words) OVER (PARTITION BY source) AS need
+      FROM x
+    ), q AS (
+      SELECT d.*, p.source_size, p.target, p.whole, p.need,
+             CASE WHEN chance > 0 THEN ((u + 0.5::DOUBLE) / 281474976710656.0::DOUBLE) / (1.0::DOUBLE - (u + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
+                                       / (chance / (1.0::DOUBLE - chance)) END AS rank
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND p.wt = CASE WHEN size >= 20 THEN 2.0 ELSE 1.0 END
+    ), o AS (
+      SELECT source, need, rank, sum(size) OVER (PARTITION BY source ORDER BY rank RANGE UNBOUNDED PRECEDING) AS upto FROM q WHERE rank IS NOT NULL
     ), b AS (
-      SELECT source, arg_min(u, (abs(need - upto), u)) AS cut, min(abs(need - upto)) AS miss, any_value(need) AS need FROM c GROUP BY source
+      SELECT source, arg_min(rank, (abs(need - upto), rank)) AS cut, min(abs(need - upto)) AS miss FROM o GROUP BY source
     )
-    SELECT doc_id, size, c.source_size, target,
-           (size * (whole + CASE WHEN c.need > 0 AND b.miss < c.need AND u <= cut THEN 1 ELSE 0 END))::BIGINT AS taken
-    FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source
+    SELECT doc_id, size, q.source_size, target,
+           (size * (whole + CASE WHEN q.need > 0 AND b.miss < q.need AND rank <= cut THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM q LEFT JOIN b ON q.source IS NOT DISTINCT FROM b.source
     """
 )
 def op6_source_mix(t) -> DataFrame:

@@ -160,6 +160,57 @@ def test_mix(corpus, odd_docs, no_docs):
     assert mix(no_docs).count() == 0 and mixed_rows(no_docs).count() == 0
 
 
+def expected_copies(docs, target, most=3):
+    """Expected copies of documents (size, weight) of one source: rate times weight, at most ``most``."""
+    limited = set()
+    while True:
+        left = target - sum(most * s for i, (s, _) in enumerate(docs) if i in limited)
+        total = sum(s * w for i, (s, w) in enumerate(docs) if i not in limited)
+        rate = left / total if total else 0.0
+        over = {i for i, (_, w) in enumerate(docs) if i not in limited and rate * w > most}
+        if not over:
+            return [most if i in limited else rate * w for i, (_, w) in enumerate(docs)]
+        # The heaviest reach the limit first.
+        top = max(docs[i][1] for i in over)
+        limited |= {i for i, (_, w) in enumerate(docs) if w == top}
+
+
+@pytest.mark.parametrize("kinds", [None, [0.0, 1.0, 2.5, 40.0], [1.0], [0.0]])
+def test_mix_by_document_weights(spark, corpus, kinds):
+    """Certain copies and Pareto order against plain Python, with document-wise odds."""
+    rows = [(i, t, s) for i, t, _, s, _ in corpus if i is not None and i != 5]
+    weights = [None if kinds is None else kinds[i % len(kinds)] for i, _, _ in rows]
+    df = spark.createDataFrame([(*r, w) for r, w in zip(rows, weights)], "doc_id bigint, text string, source string, w double")
+    got = {r.doc_id: r for r in mix(df, document_weight=None if kinds is None else F.col("w")).collect()}
+    sizes = [len(words_of(t)) for _, t, _ in rows]
+    total = Counter()
+    for (_, _, s), n in zip(rows, sizes):
+        total[s] += n
+    want = expected_targets(total)
+    for source in total:
+        mine = [k for k, r in enumerate(rows) if r[2] == source]
+        w = [(2 if sizes[k] >= 20 else 1) if kinds is None else weights[k] for k in mine]
+        expected = expected_copies([(sizes[k], x) for k, x in zip(mine, w)], want[source])
+        need = want[source] - sum(int(e + 1e-12) * sizes[k] for k, e in zip(mine, expected))
+        ranks = {}
+        for k, e in zip(mine, expected):
+            chance = e - int(e + 1e-12)
+            if chance > 1e-9:
+                i, t, _ = rows[k]
+                u = int(hashlib.md5(f"mix:{i}:{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()[:12], 16)
+                x = (u + 0.5) / 2**48
+                ranks[k] = x / (1 - x) / (chance / (1 - chance))
+        upto, best, taken = 0, (abs(need), 0), sorted(ranks, key=ranks.get)
+        for n, k in enumerate(taken, 1):
+            upto += sizes[k]
+            best = min(best, (abs(need - upto), n))
+        sampled = set(taken[: best[1]])
+        for k, e in zip(mine, expected):
+            # Documents of size 0 at the very cut may go either way.
+            if sizes[k]:
+                assert got[rows[k][0]].copies == int(e + 1e-12) + (k in sampled), (source, rows[k][0])
+
+
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
