@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import text_or_empty, written
+from millrace.llm.shared import chosen, text_or_empty, written
 from millrace.llm.shingles import mixed, texts_as_bytes, word_hashes
 
 
@@ -225,15 +225,16 @@ def quality_scores(
     The network is fitted on labelled rows whose ``fold`` is not 0, at most
     ``most_labelled`` of them chosen by a hash of the id; fold 1 sets the
     temperature. Labels that are NULL are left out; of several labels of an id
-    the largest counts. Empty and NULL texts have a zero vector and a score.
+    the largest counts, and of several rows of an id the one with the least
+    features. Empty and NULL texts have a zero vector and a score.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     vectors = word_vectors(rows, how)
     pooled = written(features(rows, vectors, how, "doc_id", "text"))
     known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("l_id")).agg(F.max(label).cast("int").alias("y"))
     known = known.withColumn("fold", fold(F.col("l_id"))).filter("fold <> 0")
-    known = known.orderBy(F.xxhash64("l_id"), "l_id").limit(how.most_labelled)
-    sample = pooled.join(known, pooled["doc_id"] == known["l_id"]).select("l_id", "pooled", "y", "fold").toPandas()
+    known = chosen(written(known), how.most_labelled, "l_id")
+    sample = pooled.join(known, pooled["doc_id"] == known["l_id"]).groupBy("l_id", "y", "fold").agg(F.min("pooled").alias("pooled")).toPandas()
     sample = sample.sort_values("l_id", kind="stable")
     x = np.array(sample["pooled"].tolist(), dtype=np.float64).reshape(len(sample), how.inputs)
     model = fit(x, sample["y"].to_numpy(), (sample["fold"] == 1).to_numpy(), how)

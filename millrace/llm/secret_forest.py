@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.shared import text_or_empty, written
+from millrace.llm.shared import chosen, text_or_empty, written
 from millrace.llm.shingles import texts_as_bytes
 
 # Runs of at least 16 signs that keys are written in, with a digit among them.
@@ -210,7 +210,7 @@ def find_secrets(
 
     vector = F.pandas_udf(features, "array<double>")("found", "before", "path")
     rows = written(found.withColumn("f", vector).withColumn("y", (label if label is not None else rule_label(F.col("found"), F.col("before"))).cast("double")))
-    labelled = rows.filter("y IS NOT NULL").orderBy(F.xxhash64("found", "before"), "found", "before").limit(how.most_labelled)
+    labelled = chosen(rows.filter("y IS NOT NULL"), how.most_labelled, "found", "before")
     labelled = written(labelled.select(array_to_vector("f").alias("features"), "y"))
     kinds = [r["y"] for r in labelled.select("y").distinct().collect()]
     if len(kinds) < 2:

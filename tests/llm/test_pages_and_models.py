@@ -284,3 +284,24 @@ def test_values_assigned_to_names_of_secrets(spark):
         got[r.doc_id - 2000].append(r)
     assert [[r.found for r in got[i]] for i in range(len(cases))] == [[v] if v else [] for _, v in cases]
     assert all(got[i][0].is_secret for i in (0, 1, 2, 7))
+
+
+def test_rows_chosen_by_a_hash(spark):
+    from millrace.llm.shared import chosen
+
+    rows = spark.range(0, 50_000, 1, 8)
+    got = [r.id for r in chosen(rows, 1000, "id").collect()]
+    assert 850 < len(got) <= 1000 and len(set(got)) == len(got) and max(got) > 45_000
+    assert sorted(got) == sorted(r.id for r in chosen(rows.repartition(3), 1000, "id").collect())
+    assert chosen(rows.limit(5), 1000, "id").count() == 5 and chosen(rows.limit(0), 10, "id").count() == 0
+
+
+def test_repeated_ids_bring_one_row_to_the_fit(spark):
+    """A labelled id with a third of all rows is one labelled row."""
+    rng = random.Random(2)
+    rows = [(1, prose(rng, 40))] * 60 + [(i, prose(rng, 40)) for i in range(2, 60)]
+    labels = [(i, i % 2) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = quality_scores(docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id == 1}) == 1
