@@ -220,14 +220,14 @@ def roundtrip_stream_restart(t: Tables) -> DataFrame:
 
 
 @query(
-    A.FLAGGED_SQL.replace("l_partkey * 100000 + l_suppkey AS atrb_stay_key", "l_orderkey * 10000000000 + l_partkey * 100000 + l_suppkey AS atrb_stay_key")
+    A.FLAGGED_SQL.replace("l_partkey * 100000 + l_suppkey AS atrb_stay_key", "l_orderkey * 100000000000 + l_linenumber * 10000000000 + l_partkey * 100000 + l_suppkey AS atrb_stay_key")
     + " WHERE confo_num_orig_id % 50 <> 0"
 )
 def attribution_loaded(t: Tables) -> DataFrame:
     """Stays of two days loaded day by day, the second day twice: history stays as it was and nothing comes twice."""
     match, daily, audit = _table("match", "daily", "audit")
     # Keys of stays that no two days share, and the bookings whose shares add up.
-    stays = A.stays(t).withColumn("atrb_stay_key", F.col("confo_num_orig_id") * 10_000_000_000 + F.col("atrb_stay_key"))
+    stays = A.stays(t).withColumn("atrb_stay_key", F.col("confo_num_orig_id") * 100_000_000_000 + F.col("confo_num_curr_id") * 10_000_000_000 + F.col("atrb_stay_key"))
     stays, shares = (x.filter(F.col("confo_num_orig_id") % 50 != 0) for x in (stays, A.allocations(t)))
     for day, rest in ((1, 0), (2, 1), (2, 1)):
         mine = F.col("confo_num_orig_id") % 2 == rest
