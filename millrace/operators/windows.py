@@ -12,8 +12,10 @@ its own) and treat them separately:
 3. block totals (at most one row per block and group) are accumulated in block
    order and added to every row of the block.
 
-The result is the same as one window over the whole group. All other rows take
-the ordinary window.
+The result is the same as one window over the whole group, for integers, decimals
+and everything that is compared; sums of doubles are added in another order and
+can differ in their last digits, so give decimals where that matters. All other
+rows take the ordinary window.
 """
 
 from __future__ import annotations
@@ -52,10 +54,6 @@ class Measure:
         return (F.least if self.kind == "min" else F.greatest)(carried, local)
 
 
-def _same_key(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [left[b].eqNullSafe(right[b]) for b in by])
-
-
 def oversized_groups(df: DataFrame, by: Sequence[str], max_rows: int) -> list[tuple]:
     """Groups with more than ``max_rows`` rows, as (key..., rows). Runs a job.
 

@@ -4,41 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-CHECK_REPORT = T.StructType(
-    [
-        T.StructField("error_code", T.IntegerType()),
-        T.StructField("error_abv", T.StringType()),
-        T.StructField("error_table", T.StringType()),
-        T.StructField("row_cnt", T.LongType()),
-    ]
-)
-
-RECORD_ERROR = T.StructType(
-    [T.StructField("errorField", T.StringType()), T.StructField("errorDesc", T.StringType())]
-)
-
-FIELD_ERROR = T.StructType(
-    [
-        T.StructField("errorField", T.StringType()),
-        T.StructField("errorFieldValue", T.StringType()),
-        T.StructField("errorField_description", T.StringType()),
-    ]
-)
-
-AUDIT_ROW = T.StructType(
-    [
-        T.StructField("audit_key", T.StringType()),
-        T.StructField("initial_load_ts", T.TimestampType()),
-        T.StructField("data_batch_dt", T.DateType()),
-        T.StructField("table_nm", T.StringType()),
-        T.StructField("min_data_ts", T.TimestampType()),
-        T.StructField("max_data_ts", T.TimestampType()),
-        T.StructField("record_amt", T.LongType()),
-        T.StructField("sys_id", T.StringType()),
-        T.StructField("dw_load_ts", T.TimestampType()),
-    ]
-)
-
 
 def record(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
