@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import ensure_checkpoint_dir, tune
+from millrace.sinks.folders import Folder
 from millrace.sources.tables import Tables
 
 # White space that separates words; every other character belongs to a word.
@@ -41,19 +44,45 @@ def query(sql: str | None = None):
     return register
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("millrace_scratch", default=None)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage: what was read once is not computed again, also after
     executors are lost. Needs one job. Unlike ``checkpoint()`` the files are
-    compressed columns, and their size is known to later joins.
+    compressed columns, and their size is known to later joins. Inside of
+    ``scratch`` the table lasts until its end.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/millrace-{uuid.uuid4().hex}"
+    held = _SCRATCH.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every table that ``written`` makes in between, also when a step fails.
+
+    What is returned from inside must not read them any more: write it first,
+    with a scope of its own around what it is made of. A scope inside another
+    one leaves the other's tables alone.
+    """
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        root = Folder(spark, ensure_checkpoint_dir(spark))
+        for path in paths:
+            root.delete(path.rsplit("/", 1)[1])
+
+
 def text_or_empty(column: str | Column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
     return F.coalesce(c.cast("string"), F.lit(""))

@@ -55,6 +55,23 @@ def test_no_stage_filters_by_recomputed_counts(spark, docs, tmp_path):
         assert not [f for f in filters if "split(" in f or "xxhash64(" in f], name
 
 
+def test_run_leaves_no_tables_of_its_stages(spark, docs, tmp_path):
+    from millrace.llm.shared import scratch, written
+    from millrace.session import ensure_checkpoint_dir
+    from millrace.sinks.folders import Folder
+
+    folder = Folder(spark, ensure_checkpoint_dir(spark))
+    before = set(folder.names())
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        written(spark.range(3))
+        1 / 0
+    assert set(folder.names()) == before
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    left = set(folder.names()) - before
+    assert len(left) < 5 and len([n for n in left if n.startswith("pipeline-")]) == 1
+
+
 def test_empty_documents(spark, no_docs, tmp_path):
     frame = no_docs
     for name, stage in corpus_pipeline.STAGES:
