@@ -7,16 +7,19 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.chunk_dedup import drop_copies
 from millrace.llm.host_rules import keep_good
 from millrace.llm.packing import pack_documents
-from millrace.llm.shared import written
+from millrace.llm.shared import scratch
 from millrace.llm.source_mix import mixed_rows
 from millrace.llm.token_ids import tokenizer_file
 from millrace.llm.token_groups import Similarity, drop_near_copies
-from millrace.session import tune
+from millrace.session import ensure_checkpoint_dir, tune
+from millrace.sinks.folders import Folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +60,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again by the next."""
+    """All stages over ``documents``; what a stage returns is written and read again by the next.
+
+    The tables that a stage makes on its way are deleted when its own is whole,
+    and a stage's table when the next one is; those of the last stage stay, as
+    its result is made when it is read.
+    """
     docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+    folder, before = Folder(spark, ensure_checkpoint_dir(spark)), None
+    for name, stage in STAGES[:-1]:
+        table = f"pipeline-{name}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(f"{folder.path}/{table}")
+        docs = spark.read.schema(out.schema).parquet(f"{folder.path}/{table}")
+        if before:
+            folder.delete(before)
+        before = table
     return STAGES[-1][1](spark, docs, sf_dir)
