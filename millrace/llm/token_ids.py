@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 
-# Words kept with their ids in a process before the table is begun anew.
-KEPT_WORDS = 300_000
+# Words, and pieces of words, kept with their ids in each of two generations.
+KEPT = 200_000
+# Signs that end a word: behind a letter or digit a run of them at a word's end is encoded apart.
+_TAIL = ".,;:!?"
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -20,31 +23,46 @@ class _Apart(Exception):
     """A word cannot be encoded apart from its neighbours."""
 
 
-class _Words(dict):
-    """Little-endian 32-bit ids of words, encoded when first asked for."""
+def _byte_signs() -> str:
+    """The sign that byte-level models have for each byte: itself where it prints, else the next one from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = {b: 0x100 + n for n, b in enumerate(sorted(set(range(256)) - set(shown)))}
+    return "".join(chr(hidden.get(b, b)) for b in range(256))
 
-    def __init__(self, encode, before: str):
-        super().__init__()
-        self.encode, self.before = encode, before
 
-    def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Apart
-        if len(self) >= KEPT_WORDS:
+_SIGNS = _byte_signs()
+
+
+class _Kept(dict):
+    """Values made when first asked for. When it is full it becomes the old generation, and what is asked for again is taken over."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= KEPT:
+            self.old = dict(self)
             self.clear()
-        ids = self[word] = self.encode(self.before + word)
-        return ids
+        self[key] = value
+        return value
 
 
 class TokenIds:
     """Ids of whole texts as little-endian 32-bit integers, without special tokens added.
 
     The tokenizer's word pattern always cuts before a space that stands between
-    two other characters, so the words between such spaces are encoded apart,
-    each with the space before it, and their ids are kept. Texts where another
-    white space character stands beside a space, or that hold the string of a
-    special token, are encoded whole. Both give what the tokenizer gives for the
-    text; an empty text has no ids.
+    two other characters, around a line end between two of them, and between a
+    letter or digit and the marks at a word's end. What stands between such
+    places is encoded apart, a word with the space before it, and kept. Texts
+    where another white space character stands at such a place, or that hold the
+    string of a special token, are encoded whole. Both give what the tokenizer
+    gives for the text; an empty text has no ids. Single words of Latin letters
+    are one unit of the pattern and go to the tokenizer's model at once. A
+    tokenizer that cuts by another pattern encodes all texts whole.
     """
 
     def __init__(self, path: str):
@@ -53,18 +71,50 @@ class TokenIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = _Words(self._whole, "")
-        self.later = _Words(self._whole, " ")
+        self.model = self.tokenizer.model
+        parts = json.loads(self.tokenizer.to_str())
+        how = parts["pre_tokenizer"] or {}
+        self.cuts = how.get("type") == "ByteLevel" and how.get("use_regex") and not how.get("add_prefix_space") and not parts["normalizer"]
+        self.pieces = _Kept(self._piece)
+        self.first = _Kept(lambda word: self._word(word, ""))
+        self.later = _Kept(lambda word: self._word(word, " "))
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, text: str) -> bytes:
+        letters = text[1:] if text[0] == " " else text
+        if not letters.isalpha() or max(letters) > "\u024f":
+            return self._whole(text)
+        signs = text.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+
+    def _word(self, word: str, before: str) -> bytes:
+        if word.isalpha():
+            return self.pieces[before + word]
+        stem = word.rstrip(_TAIL)
+        if stem.isalpha():
+            return self.pieces[before + stem] + self.pieces[word[len(stem) :]]
+        out = []
+        for n, line in enumerate(word.split("\n")):
+            if not line or line[0].isspace() or line[-1].isspace():
+                raise _Apart
+            if n:
+                out.append(self.pieces["\n"])
+                before = ""
+            stem = line.rstrip(_TAIL)
+            if stem and stem[-1].isalnum() and len(stem) < len(line):
+                out += [self.pieces[before + stem], self.pieces[line[len(stem) :]]]
+            else:
+                out.append(self.pieces[before + line])
+        return b"".join(out)
+
     def __call__(self, text: str) -> bytes:
-        if not text or any(s in text for s in self.special):
+        if not text or not self.cuts or any(s in text for s in self.special):
             return self._whole(text)
         word, _, rest = text.partition(" ")
         try:
-            if not rest:
+            if not rest and word == text:
                 return self.first[text]
             return self.first[word] + b"".join(map(self.later.__getitem__, rest.split(" ")))
         except _Apart:

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from millrace.llm import hard_negatives as hn
 from millrace.llm import importance as im
 from millrace.llm import token_files as tf
+from millrace.llm import token_ids
 from millrace.llm.hard_negatives import Mining, Packed, hard_negatives
 from millrace.llm.importance import Features, draw
 from millrace.llm.token_files import Layout, check_sums, read_tokens, write_tokens
@@ -189,13 +190,31 @@ ODD_TEXTS = [
 def test_ids_are_those_of_the_tokenizer(plain):
     rng = random.Random(5)
     signs = "ab 'sté\n\t 12., <|>日"
-    texts = ODD_TEXTS + ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    texts = ODD_TEXTS + ["Straße çéñ ÀÖ ſ ɐ ĳ naïve,", "ª º ²a µm"] + ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(4000)]
     to_ids = TokenIds(tokenizer_file())
     for t in texts:
         ids = plain.encode(t, add_special_tokens=False).ids
         assert to_ids(t) == struct.pack(f"<{len(ids)}I", *ids), repr(t)
 
 
+def test_tokenizer_with_another_pattern():
+    """Words of a tokenizer that lower-cases and has word ends are not cut out: its texts are encoded whole."""
+    path = tokenizer_file("word_bpe_49k.json")
+    to_ids, other = TokenIds(path), Tokenizer.from_file(path)
+    for t in ["A cat, two  Cats.", "don't\nstop"]:
+        ids = other.encode(t, add_special_tokens=False).ids
+        assert to_ids(t) == struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_kept_words_are_let_go_in_generations(monkeypatch, plain):
+    monkeypatch.setattr(token_ids, "KEPT", 5)
+    to_ids = TokenIds(tokenizer_file())
+    for text in [f"a{i % 13} b{i % 7}, c{i % 3}.\nd{i}" for i in range(200)]:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert to_ids(text) == struct.pack(f"<{len(ids)}I", *ids)
+    assert max(len(to_ids.later), len(to_ids.pieces), len(to_ids.pieces.old)) <= 5
+
+
 def expected_tokens(rows, plain):
     """(doc_id, n_tokens, crc) in ascending order of the id, NULL last."""
     out = []
