@@ -67,9 +67,13 @@ def message_text(t: Tables) -> DataFrame:
 
 
 def messages(t: Tables) -> DataFrame:
-    """Parsed once: the amounts and the rows that they are joined back to both read the staged messages."""
     good, _ = quarantine(parse_json(message_text(t), "value", RESERVATION))
-    return staged(good.select("message.*"))
+    return good.select("message.*")
+
+
+def staged_messages(t: Tables) -> DataFrame:
+    """Parsed once: the amounts and the rows that they are joined back to both read the staged messages."""
+    return staged(messages(t))
 
 
 def dimensions(t: Tables) -> R.Dimensions:
@@ -123,12 +127,12 @@ def _parsed_sql(n_segments: str, weight: int, blank: str) -> str:
 
 @query(_parsed_sql("least(1 + o_orderkey % 3, 2)", 1, "o_orderkey % 11 = 0 AND o_orderkey % 3 > 0"))
 def reservation_by_position(t: Tables) -> DataFrame:
-    return _flat(R.parse_reservations(messages(t), dimensions(t)))
+    return _flat(R.parse_reservations(staged_messages(t), dimensions(t)))
 
 
 @query(_parsed_sql("1 + o_orderkey % 3", 2, "o_orderkey % 11 = 0"))
 def reservation_product(t: Tables) -> DataFrame:
-    return _flat(R.parse_reservations(messages(t), dimensions(t), align="product"))
+    return _flat(R.parse_reservations(staged_messages(t), dimensions(t), align="product"))
 
 
 @query(f"""
@@ -137,7 +141,7 @@ def reservation_product(t: Tables) -> DataFrame:
     FROM (SELECT confo_num_orig, unnest(string_split(errors, ';')) AS e FROM p WHERE errors <> '')
 """)
 def reservation_errors(t: Tables) -> DataFrame:
-    parsed = R.parse_reservations(messages(t), dimensions(t), align="product")
+    parsed = R.parse_reservations(staged_messages(t), dimensions(t), align="product")
     return explode_errors(parsed.select("confo_num_orig", "errorDescription")).select(
         "confo_num_orig", F.col("errorDesc.errorField").alias("error_field"), F.col("errorDesc.errorDesc").alias("error_desc")
     )

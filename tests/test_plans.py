@@ -49,6 +49,8 @@ def test_json_is_parsed_once_per_branch(spark):
     from millrace.catalog.reservations import messages
 
     assert plan_of(messages(t)).count("from_json(") == 1
+    # Amounts are joined back to their messages: both sides read what was staged.
+    assert "from_json(" not in plan_of(QUERIES["reservation_by_position"](spark, FOLDER))
 
 
 def test_attribution_needs_no_aggregate_after_the_join(spark):
