@@ -173,8 +173,9 @@ def attribute_values(html: str | Column, tag: str, attr: str) -> Column:
     the front, so that neither ``>`` nor ``href=`` inside a value misleads. Of
     equal names in one tag the first counts. Character references are decoded.
     """
-    visible = F.regexp_replace(html, HIDDEN, "")
-    tags = F.regexp_extract_all(visible, F.lit(rf"(?is)<{tag}((?:\s|/)(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"), F.lit(1))
+    # One scan finds what hides text and the tags; only a tag fills the group.
+    found = F.regexp_extract_all(html, F.lit(rf"{HIDDEN}|<{tag}((?:\s|/)(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"), F.lit(1))
+    tags = F.filter(found, lambda x: x != "")
 
     def first_value(inside: Column) -> Column:
         pairs = F.zip_with(
