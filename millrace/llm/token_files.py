@@ -46,6 +46,7 @@ class Layout:
             raise ValueError(f"unknown encoding: {self.encoding}")
         return {
             "compression": self.codec,
+            "parquet.compression.codec.zstd.level": "1",
             "parquet.writer.version": "v2",
             "parquet.block.size": str(self.group_bytes),
             "parquet.page.size": str(self.page_bytes),

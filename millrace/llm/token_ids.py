@@ -7,7 +7,7 @@ import os
 from array import array
 
 # Words, and pieces of words, kept with their ids in each of two generations.
-KEPT = 200_000
+KEPT = 300_000
 # Signs that end a word: behind a letter or digit a run of them at a word's end is encoded apart.
 _TAIL = ".,;:!?"
 
@@ -31,6 +31,7 @@ def _byte_signs() -> str:
 
 
 _SIGNS = _byte_signs()
+_SPACE = _SIGNS[0x20]
 
 
 class _Kept(dict):
@@ -75,38 +76,44 @@ class TokenIds:
         parts = json.loads(self.tokenizer.to_str())
         how = parts["pre_tokenizer"] or {}
         self.cuts = how.get("type") == "ByteLevel" and how.get("use_regex") and not how.get("add_prefix_space") and not parts["normalizer"]
-        self.pieces = _Kept(self._piece)
+        self.marks = _Kept(self._whole)
         self.first = _Kept(lambda word: self._word(word, ""))
         self.later = _Kept(lambda word: self._word(word, " "))
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, text: str) -> bytes:
-        letters = text[1:] if text[0] == " " else text
-        if not letters.isalpha() or max(letters) > "\u024f":
-            return self._whole(text)
-        signs = text.encode().decode("latin-1").translate(_SIGNS)
+    def _letters(self, word: str, before: str) -> bytes:
+        """Ids of a word of letters; only Latin ones are surely letters to the pattern as well."""
+        if word.isascii():
+            signs = f"{_SPACE}{word}" if before else word
+        elif max(word) <= "\u024f":
+            signs = (before + word).encode().decode("latin-1").translate(_SIGNS)
+        else:
+            return self._whole(before + word)
         return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
 
     def _word(self, word: str, before: str) -> bytes:
         if word.isalpha():
-            return self.pieces[before + word]
+            return self._letters(word, before)
+        kept = self.later if before else self.first
         stem = word.rstrip(_TAIL)
         if stem.isalpha():
-            return self.pieces[before + stem] + self.pieces[word[len(stem) :]]
+            return kept[stem] + self.marks[word[len(stem) :]]
         out = []
         for n, line in enumerate(word.split("\n")):
             if not line or line[0].isspace() or line[-1].isspace():
                 raise _Apart
             if n:
-                out.append(self.pieces["\n"])
-                before = ""
+                out.append(self.marks["\n"])
+                before, kept = "", self.first
             stem = line.rstrip(_TAIL)
-            if stem and stem[-1].isalnum() and len(stem) < len(line):
-                out += [self.pieces[before + stem], self.pieces[line[len(stem) :]]]
+            if stem and stem[-1].isalnum() and stem != word:
+                out.append(kept[stem])
+                if len(stem) < len(line):
+                    out.append(self.marks[line[len(stem) :]])
             else:
-                out.append(self.pieces[before + line])
+                out.append(self._whole(before + line))
         return b"".join(out)
 
     def __call__(self, text: str) -> bytes:

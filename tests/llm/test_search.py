@@ -212,7 +212,7 @@ def test_kept_words_are_let_go_in_generations(monkeypatch, plain):
     for text in [f"a{i % 13} b{i % 7}, c{i % 3}.\nd{i}" for i in range(200)]:
         ids = plain.encode(text, add_special_tokens=False).ids
         assert to_ids(text) == struct.pack(f"<{len(ids)}I", *ids)
-    assert max(len(to_ids.later), len(to_ids.pieces), len(to_ids.pieces.old)) <= 5
+    assert max(len(to_ids.later), len(to_ids.first), len(to_ids.later.old)) <= 5
 
 
 def expected_tokens(rows, plain):
