@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import HashingTF
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import crosstab
+from millrace.operators.forest import Forest, grow
 from millrace.operators.project import first_match
 
 # Rating text to label; anything else is 6.
@@ -40,23 +40,29 @@ def split(df: DataFrame, key: str, share: float = 0.75, seed: int = 0) -> tuple[
     return df.filter(train), df.filter(~train)
 
 
+@dataclass(frozen=True)
+class Classifier:
+    """A forest and the column whose words it reads."""
+
+    forest: Forest
+    words: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.forest.transform(df, self.words)
+
+
 def train_classifier(
     train: DataFrame, words: str, label: str, trees: int = 100, seed: int = 10, n_features: int = 1 << 18,
     max_depth: int = 30,
-) -> PipelineModel:
+) -> Classifier:
     """Random forest on word counts. Runs jobs.
 
     Words are hashed into so many columns that few of them share one; no
-    vocabulary passes through the driver. Trees are as deep as Spark allows.
+    vocabulary passes through the driver. Spark's own forest turns every row
+    into an array over all columns, a megabyte at this many; ``forest`` keeps
+    rows sparse.
     """
-    return Pipeline(
-        stages=[
-            HashingTF(inputCol=words, outputCol="__features", numFeatures=n_features),
-            RandomForestClassifier(
-                featuresCol="__features", labelCol=label, numTrees=trees, seed=seed, maxDepth=max_depth
-            ),
-        ]
-    ).fit(train)
+    return Classifier(grow(train, words, label, trees, seed, n_features, max_depth), words)
 
 
 def evaluate(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -69,6 +69,22 @@ def test_classifier(spark):
     assert {(r.actual, r.predicted) for r in C.confusion(pred, "label").collect()} == {(0, 0), (1, 1)}
 
 
+def test_forest_keeps_rows_sparse(spark):
+    """Splits are on how often a word occurs; rows without words or without a label are no error; reruns agree."""
+    rows = [(i, ["late"] * (i % 4) + [f"w{i % 7}"], None if i % 10 == 9 else float(i % 4 > 1)) for i in range(200)] + [(200, None, 0.0)]
+    df = spark.createDataFrame(rows, "id INT, words ARRAY<STRING>, label DOUBLE").repartition(3, "id")
+    model = C.train_classifier(df, "words", "label", trees=20, n_features=64)
+    got = {r.id: r.prediction for r in model.transform(df).collect()}
+    assert len(got) == 201 and sum(got[i] == float(i % 4 > 1) for i in range(200)) == 200 and got[200] == 0.0
+    again = C.train_classifier(df, "words", "label", trees=20, n_features=64)
+    assert [list(x) for x in (again.forest.feature, again.forest.value, again.forest.left)] == [
+        list(x) for x in (model.forest.feature, model.forest.value, model.forest.left)
+    ]
+    deep, left = model.forest, model.forest.left
+    inner = left > 0
+    assert (deep.counts[left[inner]] + deep.counts[left[inner] + 1] == deep.counts[inner]).all() and deep.counts.min() >= 0
+
+
 def test_rating_labels(spark):
     df = spark.createDataFrame([("Critical",), ("Insignificant",), ("odd",), (None,)], "r STRING")
     assert [r[0] for r in df.select(C.rating_label("r")).collect()] == [1, 5, 6, 6]
