@@ -1,10 +1,12 @@
 """Data-quality checks, the check report, and the publish gate.
 
-All checks of a table are computed in one pass: a row becomes one narrow row per
-key set, with a fingerprint instead of the key's columns, and a single aggregate
-counts and sums them. The table is read once and shuffled once whatever the
-number of checks, rows are combined before the shuffle, and what is shuffled is
-as wide for a key of seven columns as for a key of one.
+All checks of a table are computed in one pass: the table is read once and
+shuffled once whatever the number of checks. Key sets that contain another one
+are a family with it: rows are dealt by a fingerprint of the smallest set, which
+brings the rows of each larger key together as well, and a row is shuffled once
+for a family, with the columns that the larger sets add. Keys are mostly
+different, so rows are not combined before the shuffle: that would gather the
+keys of a task in memory and save nothing.
 """
 
 from __future__ import annotations
@@ -111,6 +113,16 @@ def fingerprint(keys: Sequence[str]) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
 
 
+def _families(sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], list[tuple[str, ...]]]:
+    """Key sets by the smallest set that each one contains; the first set's family comes first."""
+    smallest = [s for s in sets if not any(set(o) < set(s) for o in sets)]
+    found: dict[tuple[str, ...], list[tuple[str, ...]]] = {}
+    for s in sets:
+        root = next(o for o in sorted(smallest, key=len) if set(o) <= set(s))
+        found.setdefault(root, []).append(s)
+    return found
+
+
 def _one_pass(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     null_checks = [c for c in checks if isinstance(c, NoNulls)]
     grouped = [c for c in checks if isinstance(c, (Unique, SumsTo))]
@@ -130,23 +142,52 @@ def _one_pass(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     amounts = list(dict.fromkeys(c.amount for c in grouped if isinstance(c, SumsTo)))
     summed = {(tuple(c.keys), c.amount) for c in grouped if isinstance(c, SumsTo)}
     nothing = F.lit(None)
-    # One narrow row per key set: its number, the key's fingerprint, and what is counted or summed for it.
+    families = _families(sets)
+    more = {root: sorted({k for s in members for k in s} - set(root)) for root, members in families.items()}
+    added = sorted({k for keys in more.values() for k in keys})
+    # One narrow row per family: the fingerprint of its smallest key, the columns of its larger ones, and what is summed.
     prepared = df.select(
-        *[h.alias(f"{name}{i}") for i, s in enumerate(sets) for name, h in zip("kl", fingerprint(s))],
+        *[h.alias(f"{name}{f}") for f, root in enumerate(families) for name, h in zip("kl", fingerprint(root))],
+        *[F.col(k).alias(f"c{i}") for i, k in enumerate(added)],
         *[money(a).alias(f"a{i}") for i, a in enumerate(amounts)],
         *[p.cast("long").alias(f"z{i}") for i, p in null_row.items()],
     )
-    copies = [
+
+    def kept(name: str, wanted: bool) -> Column:
+        return (F.col(name) if wanted else nothing.cast(prepared.schema[name].dataType)).alias(name)
+
+    rows = [
         F.struct(
-            F.lit(i).alias("gid"),
-            F.col(f"k{i}").alias("k"),
-            F.col(f"l{i}").alias("l"),
-            *[(F.col(f"a{n}") if (s, a) in summed else nothing.cast(prepared.schema[f"a{n}"].dataType)).alias(f"a{n}") for n, a in enumerate(amounts)],
-            *[(F.col(f"z{n}") if i == 0 else nothing.cast("long")).alias(f"z{n}") for n in null_row],
+            F.lit(f).alias("family"),
+            F.col(f"k{f}").alias("k"),
+            F.col(f"l{f}").alias("l"),
+            *[kept(f"c{i}", k in more[root]) for i, k in enumerate(added)],
+            *[kept(f"a{n}", any((s, a) in summed for s in members)) for n, a in enumerate(amounts)],
+            *[kept(f"z{n}", f == 0) for n in null_row],
         )
-        for i, s in enumerate(sets)
+        for f, (root, members) in enumerate(families.items())
     ]
-    per_key = prepared.select(F.inline(F.array(*copies))).groupBy("gid", "k", "l").agg(
+    # Many parts: a task holds the keys of its part, and parts that Spark merges by their bytes would hold too many.
+    parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = prepared.select(F.inline(F.array(*rows))).repartition(parts, "k", "l")
+
+    # Behind the shuffle a row is counted for every set of its family: for the larger ones by a fingerprint of what they add.
+    def copies(f: int, root: tuple[str, ...], members: list[tuple[str, ...]]) -> list[Column]:
+        none = (F.lit(0).cast("long"), F.lit(0).cast("long"))
+        return [
+            F.struct(
+                F.lit(sets.index(s)).alias("gid"),
+                *[h.alias(name) for name, h in zip("ij", none if set(s) == set(root) else fingerprint([f"c{added.index(k)}" for k in s if k not in root]))],
+                *[kept(f"a{n}", (s, a) in summed) for n, a in enumerate(amounts)],
+                *[kept(f"z{n}", s == sets[0]) for n in null_row],
+            )
+            for s in members
+        ]
+
+    by_family = reduce(
+        lambda rest, x: F.when(F.col("family") == x[0], F.array(*copies(x[0], *x[1]))).otherwise(rest), enumerate(families.items()), nothing
+    )
+    per_key = dealt.select("k", "l", F.inline(by_family)).groupBy("k", "l", "gid", "i", "j").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(amounts))],
         *[F.sum(f"z{i}").alias(f"z{i}") for i in null_row],

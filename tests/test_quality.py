@@ -105,3 +105,19 @@ def test_failures_and_union(shares):
         Q.check_report(shares, [Q.NotEmpty()], "a"), Q.check_report(shares, [Q.Unique(("k",))], "b")
     )
     assert [(r.error_table, r.row_cnt) for r in Q.failures(both).collect()] == [("b", 2)]
+
+
+def test_families_of_key_sets_share_a_row(spark):
+    """A row is shuffled once for all key sets that contain a smaller one; counts are those of plain grouping."""
+    rows = [(i % 7 if i % 5 else None, i % 3, i % 2, float(i % 11)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a INT, b INT, c INT, v DOUBLE")
+    sets = [("a", "b", "c"), ("a", "b"), ("b", "a"), ("a",), ("c", "v"), ("c",)]
+    checks = [Q.NotEmpty("N"), Q.NoNulls(("a",), "Z"), *[Q.Unique(s, f"U{i}") for i, s in enumerate(sets)], Q.SumsTo(("b", "a"), "v", 40, "S")]
+    got = {r.error_abv: r.row_cnt for r in Q.check_report(df, checks, "t").collect()}
+    want = {f"U{i}": df.groupBy(*s).count().filter("count > 1").count() for i, s in enumerate(sets)}
+    want["S"] = df.groupBy("a", "b").agg({"v": "sum"}).filter("round(`sum(v)`, 0) <> 40").count()
+    assert got == {"N": 200, "Z": 40, **want}
+    assert list(Q._families(sets)) == [("a",), ("c",)]
+    # Two families: two rows are made of one, where every key set had its own.
+    plan = Q.check_report(df, checks, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("family") and "RepartitionByExpression [k" in plan
