@@ -200,7 +200,8 @@ def already_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str], null_a
     def norm(frame: DataFrame, k: str) -> Column:
         return F.coalesce(frame[k], F.lit(null_as[k])) if k in null_as else frame[k]
 
-    side = target.select(*[norm(target, k).alias(f"__{k}") for k in keys]).distinct()
+    # A semi join takes a key once however often the target has it, so the target is not grouped, and shuffled, before.
+    side = target.select(*[norm(target, k).alias(f"__{k}") for k in keys])
     typed = df.select(*[norm(df, k).alias(k) for k in keys]).schema
     side = side.withColumn("__hash", F.xxhash64(*[_as_wide(F.col(f"__{k}"), typed[k].dataType) for k in keys]))
     hashed = F.xxhash64(*[_as_wide(norm(df, k), side.schema[f"__{k}"].dataType) for k in keys]) == side["__hash"]
