@@ -57,3 +57,9 @@ def test_attribution_needs_no_aggregate_after_the_join(spark):
     plan = plan_of(QUERIES["attribution_match"](spark, FOLDER))
     join = plan.index("Join")
     assert "Aggregate" not in plan[:join]
+
+
+def test_nested_path_shuffles_texts_once(spark):
+    """Texts are dealt by their id; the words made of them are not shuffled again."""
+    plan = plan_of(QUERIES["nested_path"](spark, FOLDER))
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and plan.count("Exchange") == 1
