@@ -8,11 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that the operators count on. A join whose output feeds an
-# aggregate on the same key is only split by AQE when the split is forced.
+# aggregate on the same key is only split by AQE when the split is forced. Arrow
+# batches are held by Python and the JVM at once, outside of the heap: 2,000 rows
+# of texts or token ids are some megabytes, Spark's 10,000 several times as much.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.session.timeZone": "UTC",
 }
 

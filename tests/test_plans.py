@@ -63,3 +63,10 @@ def test_nested_path_shuffles_texts_once(spark):
     """Texts are dealt by their id; the words made of them are not shuffled again."""
     plan = plan_of(QUERIES["nested_path"](spark, FOLDER))
     assert plan.count("Exchange hashpartitioning(doc_id") == 1 and plan.count("Exchange") == 1
+
+
+def test_arrow_batches_are_small(spark):
+    """Rows of texts and token ids cross to Python a few megabytes at a time, whatever the session had."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    QUERIES["aggregate_count"](spark, FOLDER)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "2000"
