@@ -18,6 +18,9 @@ from millrace.sources.tables import Tables
 # White space that separates words; every other character belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 
+# Deletes the shuffle files of a job at its end; Spark reads it when the job is planned.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -53,14 +56,21 @@ def written(df: DataFrame) -> DataFrame:
     Cuts the lineage: what was read once is not computed again, also after
     executors are lost. Needs one job. Unlike ``checkpoint()`` the files are
     compressed columns, and their size is known to later joins. Inside of
-    ``scratch`` the table lasts until its end.
+    ``scratch`` the table lasts until its end. The job's shuffle files, which
+    the table replaces, go when it ends and not when the driver happens to
+    collect its garbage.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/millrace-{uuid.uuid4().hex}"
     held = _SCRATCH.get()
     if held is not None:
         held.append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

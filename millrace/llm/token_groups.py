@@ -26,6 +26,9 @@ from millrace.llm.shared import written
 from millrace.llm.shingles import mixed, shingle_sets
 from millrace.operators.joins import join_back
 
+# 64-bit words of the parity bits of a set's tokens.
+MARK_WORDS = 4
+
 # A broadcast id list has at most so many rows (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -103,6 +106,22 @@ def set_key(tokens: np.ndarray) -> int:
     return int.from_bytes(blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity_marks(tokens: np.ndarray) -> np.ndarray:
+    """``MARK_WORDS`` words with a bit for each slot of tokens, set where the slot holds an odd number of them.
+
+    Two sets differ in at least as many tokens as their marks in bits, because
+    the marks of the tokens in one of them only are the exclusive or of both.
+    """
+    odd = np.bincount((tokens % np.uint64(64 * MARK_WORDS)).astype(np.int64), minlength=64 * MARK_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _mark(token: Column, word: int) -> Column:
+    """That word of ``parity_marks`` of a single token."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
+    return F.when(F.shiftright(token, 6).bitwiseAND(MARK_WORDS - 1) == word, bit).otherwise(F.lit(0).cast("long"))
+
+
 def set_table(docs: DataFrame, how: Similarity, doc_id: str, text: str) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``node``, the key of the set (NULL when it is empty)."""
 
@@ -149,7 +168,8 @@ def block_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
 
 
 def token_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
-    """``node``, ``tokens`` and the keys of its filled blocks, ``own`` and ``up``, once for each set and task."""
+    """``node``, ``tokens``, the keys of its filled blocks, ``own`` and ``up``, and its parity marks ``m0`` on, once for each set and task."""
+    names = [f"m{i}" for i in range(MARK_WORDS)]
 
     def scan(batches):
         seen: set[int] = set()
@@ -168,12 +188,19 @@ def token_table(docs: DataFrame, how: Similarity, text: str) -> DataFrame:
                     for i in np.unique(owner):
                         keys[up][i] = key[edges[i] : edges[i + 1]]
                 longs = pa.list_(pa.int64())
+                marks = np.array([parity_marks(s) for s in sets], dtype=np.int64).reshape(-1, MARK_WORDS)
                 yield pa.record_batch(
-                    [pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), *[pa.array(k, longs) for k in keys]],
-                    names=["node", "tokens", "own", "up"],
+                    [
+                        pa.array(nodes, pa.int64()),
+                        pa.array([s.view(np.int64) for s in sets], longs),
+                        *[pa.array(k, longs) for k in keys],
+                        *[pa.array(np.ascontiguousarray(m)) for m in marks.T],
+                    ],
+                    names=["node", "tokens", "own", "up", *names],
                 )
 
-    return docs.select(text).mapInArrow(scan, "node bigint, tokens array<bigint>, own array<bigint>, up array<bigint>")
+    schema = "node bigint, tokens array<bigint>, own array<bigint>, up array<bigint>"
+    return docs.select(text).mapInArrow(scan, ", ".join([schema, *[f"{m} bigint" for m in names]]))
 
 
 def semi_by_id(rows: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
@@ -241,12 +268,15 @@ def links(docs: DataFrame, sets: DataFrame, how: Similarity, doc_id: str, text:
        alone + alone' + |away - away'| tokens, by the triangle inequality. A set
        whose least sum over its block is more than a link allows asks nobody;
        the others are compared with the sets of other groups for which the sum
-       allows a link. So no link between groups is missed, links inside a group
-       cannot change the components, and copies with many different changes
-       are not paired with each other.
+       allows a link, and with it alone + alone' + the bits by which the parity
+       marks of their other tokens differ. So no link between groups is missed,
+       links inside a group cannot change the components, and copies with many
+       different changes are not paired with each other, also when what they
+       changed are places that others have changed as well.
     """
     blocks = block_table(docs, how, text)
-    counts = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("block")
+    # Written first, so that the two shuffles of all blocks are not on disk at once.
+    counts = written(blocks.groupBy("block").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("block"))
     shared = join_back(blocks, counts, ["block"]).distinct()
     shared = written(shared)
     for _ in range(2):
@@ -291,17 +321,26 @@ def links(docs: DataFrame, sets: DataFrame, how: Similarity, doc_id: str, text:
         tokens.join(nodes, "node", "left_semi").select("node", F.explode("tokens").alias("token"))
         .groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
     )
-    alone = written(matrix.filter("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
+    marks = [f"m{i}" for i in range(MARK_WORDS)]
+    alone = written(
+        matrix.filter("holders = 1").groupBy("node")
+        .agg(F.count(F.lit(1)).alias("alone"), *[F.bit_xor(_mark(F.col("token"), i)).alias(f"a_{m}") for i, m in enumerate(marks)])
+    )
+    whole = tokens.join(nodes, "node", "left_semi").groupBy("node").agg(*[F.first(m).alias(m) for m in marks])
+    rest = written(
+        whole.join(alone, "node", "left").select("node", *[F.col(m).bitwiseXOR(F.coalesce(f"a_{m}", F.lit(0))).alias(m) for m in marks])
+    )
     common = written(_common(placed.select("a", F.col("node").alias("b")).distinct(), tokens).withColumnRenamed("b", "node").distinct())
-    placed = placed.join(common, ["a", "node"]).join(alone, "node", "left")
+    placed = placed.join(common, ["a", "node"]).join(alone.select("node", "alone"), "node", "left").join(rest, "node")
     placed = placed.join(alone.select(F.col("node").alias("a"), F.col("alone").alias("a_alone")), "a", "left").fillna(0, ["alone", "a_alone"])
     away = F.when(F.col("a") == F.col("node"), 0).otherwise(F.col("n") + F.col("na") - 2 * F.col("both") - F.col("alone") - F.col("a_alone"))
-    placed = written(placed.select("block", "node", "grp", "n", "alone", away.alias("away")))
+    placed = written(placed.select("block", "node", "grp", "n", "alone", away.alias("away"), *marks))
     nearest = placed.groupBy("block").agg(F.min(F.col("alone") - F.col("away")).alias("nearest"))
     largest = F.floor(F.col("n") * how.den / how.num)
     asking = join_back(placed, nearest, ["block"]).filter(F.col("alone") + F.col("away") + F.col("nearest") <= _differ(how, F.col("n"), largest))
-    asking = asking.select("block", *[F.col(c).alias(f"q_{c}") for c in ("node", "grp", "n", "alone", "away")])
-    apart = F.col("q_alone") + F.col("alone") + F.abs(F.col("q_away") - F.col("away"))
+    asking = asking.select("block", *[F.col(c).alias(f"q_{c}") for c in ("node", "grp", "n", "alone", "away", *marks)])
+    bits = sum((F.bit_count(F.col(f"q_{m}").bitwiseXOR(F.col(m))) for m in marks[1:]), F.bit_count(F.col(f"q_{marks[0]}").bitwiseXOR(F.col(marks[0]))))
+    apart = F.col("q_alone") + F.col("alone") + F.greatest(F.abs(F.col("q_away") - F.col("away")), bits)
     fits = how.den * F.least("n", "q_n") >= how.num * F.greatest("n", "q_n")
     meet = (asking["block"] == placed["block"]) & (F.col("q_grp") != F.col("grp")) & fits & (apart <= _differ(how, F.col("q_n"), F.col("n")))
     pairs = asking.join(placed, meet).select(

@@ -8,10 +8,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from millrace.llm import token_groups
 from millrace.llm.components import components
 from millrace.llm.sentence_spans import Spans, drop_repeated
+from millrace.llm.shared import written
 from millrace.llm.shingles import _BLOCK, mixed, runs, shingle_sets, word_hashes
-from millrace.llm.token_groups import Similarity, _blocks_of, _class, block_keys, drop_near_copies, jaccard_groups
+from millrace.llm.token_groups import Similarity, _blocks_of, _class, _mark, block_keys, drop_near_copies, jaccard_groups, parity_marks
 from samples import prose  # noqa: I001
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -268,3 +270,44 @@ def test_near_copies_with_repeated_and_null_ids(spark):
     assert len([t for x, t in got if x == 1]) == 1
     without = [t for x, t in got if x is None]
     assert len(without) == 4 and without.count(None) == without.count("") == without.count(e) == 1
+
+
+def test_marks_differ_in_no_more_bits_than_sets_in_tokens(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    for size, other in ((0, 3), (1, 1), (40, 30), (400, 500)):
+        a, b = (rng.integers(0, 1 << 64, n, dtype=np.uint64) for n in (size, other))
+        b = np.unique(np.concatenate([a[: size // 2], b]))
+        bits = sum(int(x).bit_count() for x in (parity_marks(a) ^ parity_marks(b)).view("<u8"))
+        assert bits <= len(np.setxor1d(a, b)) and not (parity_marks(a) ^ parity_marks(a)).any()
+    tokens = [int(x) for x in rng.integers(-(1 << 63), 1 << 63, 300)] + [63, 64, -1, 255]
+    words = [_mark(F.col("t"), i) for i in range(token_groups.MARK_WORDS)]
+    for r in spark.createDataFrame([(t,) for t in tokens], "t bigint").select("t", *words).collect():
+        assert list(r[1:]) == parity_marks(np.array([r.t], dtype=np.int64).view(np.uint64)).tolist()
+
+
+def test_copies_with_many_changes_are_not_all_paired(spark, monkeypatch):
+    """Members of a family have changed the same places to the same words, so that hardly a token is held alone."""
+    rng, how, asked = random.Random(31), Similarity(1, 8, 10), []
+    base, pool = [f"b{i}" for i in range(120)], [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at, new in zip(rng.sample(range(120), 15 if i % 3 == 0 else 5), rng.sample(pool, 15)):
+            w[at] = new
+        rows.append((i, " ".join(w)))
+    real = token_groups._linked
+    monkeypatch.setattr(token_groups, "_linked", lambda pairs, *rest: asked.append(pairs.count()) or real(pairs, *rest))
+    got = sorted(tuple(r) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), how).collect())
+    assert got == sorted(expected_components(rows, how))
+    assert len({c for *_, c in got}) > 20 and len(asked) == 2 and asked[1] < 400
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+        return {f for f in found if "shuffle_" in f}
+
+    before, table = files(), written(spark.range(5000).selectExpr("id % 700 AS k").groupBy("k").count())
+    assert not files() - before and table.count() == 700
