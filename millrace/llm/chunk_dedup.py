@@ -57,8 +57,8 @@ def mixed_identifiers(recipes: DataFrame, prefix: str = "") -> DataFrame:
     return distinct.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
 
 
-def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:
-    """Add ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` to every row.
+def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: str = "", with_text: bool = True) -> DataFrame:
+    """Add ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` to every row; without ``with_text`` the text goes.
 
     Texts are equal when their recipes are equal: the same verified identifiers
     in the same order. Where a recipe holds an identifier that stands for
@@ -73,7 +73,7 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pref
     p = prefix
     full = with_recipe(docs, text, p)
     mixed = written(mixed_identifiers(full.select(f"{p}recipe", f"{p}chunks"), p))
-    rows = full.drop(f"{p}chunks")
+    rows = full.drop(f"{p}chunks", *([] if with_text else [text]))
     key = f"{p}key"
     # Outside the rare mixed identifiers the second part of the key is empty.
     if mixed.isEmpty():
@@ -109,7 +109,7 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     stays.
     """
     p = "__copies_"
-    found = duplicates(docs.select(doc_id, text), doc_id, text, p)
+    found = duplicates(docs.select(doc_id, text), doc_id, text, p, with_text=False)
     found = written(found.select(F.col(doc_id).alias(f"{p}id"), F.col(f"{p}text_sha256").alias(f"{p}gone"), f"{p}kept"))
     gone = found.filter(~F.col(f"{p}kept")).select(f"{p}id", f"{p}gone").distinct()
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS

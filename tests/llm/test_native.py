@@ -281,3 +281,13 @@ def test_account_numbers_before_other_words(spark):
     got = [[(s.start, s.end) for s in r.found if s.kind == "iban"] for r in rows]
     assert got == [[(0, 27)], [(0, 22)], [(0, 22)], [(9, 31)], [(0, 22), (23, 45)], [], [(5, 32)], []]
     assert redact(df).filter("i = 1").first().text == "[iban] 12 May"
+
+
+def test_tables_of_copies_hold_no_texts(spark, docs, monkeypatch):
+    """Only ids, recipes and hashes are written on the way; the texts are read from where they are."""
+    from millrace.llm import chunk_dedup
+
+    tables, real = [], chunk_dedup.written
+    monkeypatch.setattr(chunk_dedup, "written", lambda df: tables.append(df.columns) or real(df))
+    assert chunk_dedup.drop_copies(docs).columns == docs.columns
+    assert len(tables) == 3 and not any("text" in t for t in tables)
