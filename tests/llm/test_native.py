@@ -285,8 +285,6 @@ def test_account_numbers_before_other_words(spark):
 
 def test_tables_of_copies_hold_no_texts(spark, docs, monkeypatch):
     """Only ids, recipes and hashes are written on the way; the texts are read from where they are."""
-    from millrace.llm import chunk_dedup
-
     tables, real = [], chunk_dedup.written
     monkeypatch.setattr(chunk_dedup, "written", lambda df: tables.append(df.columns) or real(df))
     assert chunk_dedup.drop_copies(docs).columns == docs.columns
