@@ -28,8 +28,8 @@ def chunks(text: Column) -> Column:
 def with_recipe(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """Add ``text_sha256`` and ``recipe``, the ordered identifiers of the chunks.
 
-    An identifier is the chunk's length and 64-bit hash. Identifiers that stand
-    for more than one chunk are found by ``mixed_identifiers``.
+    An identifier is the chunk's length and 64-bit hash. Recipes in which one
+    stands for more than one chunk are found by ``mixed_recipes``.
     """
     p = prefix
     held = docs.withColumn(f"{p}norm", lower_ascii(text_or_empty(text)))
@@ -44,52 +44,45 @@ def with_recipe(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFr
     ).drop(f"{p}norm")
 
 
-def mixed_identifiers(recipes: DataFrame, prefix: str = "") -> DataFrame:
-    """Identifiers ``id`` shared by different chunks: normally none.
+def mixed_recipes(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """Recipes ``r`` that stand for more than one text: normally none.
 
-    Every chunk is checked against the others of its identifier. Distinct
-    chunks are made before the shuffle as well, so a chunk that a third of all
-    documents share is sent once per task, and a long document moves once.
+    An identifier that stands for different chunks shows in the SHA-256 of the
+    texts that have its recipe. A recipe is sent once per task.
     """
-    p = prefix
-    each = recipes.select(F.explode(F.arrays_zip(F.col(f"{p}recipe"), F.col(f"{p}chunks"))).alias("x"))
-    distinct = each.select(F.col(f"x.{p}recipe").alias("id"), F.col(f"x.{p}chunks").alias("chunk")).distinct()
-    return distinct.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    sha = F.col(f"{prefix}text_sha256")
+    found = rows.groupBy(F.col(f"{prefix}recipe").alias("r")).agg(F.min(sha).alias("lo"), F.max(sha).alias("hi"))
+    return found.filter("lo <> hi").select("r")
 
 
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: str = "", with_text: bool = True) -> DataFrame:
     """Add ``keep_id``, ``group_size``, ``kept`` and ``text_sha256`` to every row; without ``with_text`` the text goes.
 
-    Texts are equal when their recipes are equal: the same verified identifiers
-    in the same order. Where a recipe holds an identifier that stands for
-    several chunks, the text's SHA-256 is compared as well. Of equal texts the
+    Texts are equal when their recipes are equal: the same identifiers in the
+    same order. Where a recipe stands for texts that differ in their SHA-256,
+    that is compared as well. Of equal texts the
     row with the largest ``doc_id`` stays; NULL ids are smaller than all others,
     and rows that repeat the kept id with the same text stay together. NULL and
-    empty texts are equal to each other. The chunks are read in one pass, the
-    recipes, about one identifier per two thousand characters, are written once
-    and joined with their groups; hot groups are counted before the shuffle and
-    split by AQE in the join.
+    empty texts are equal to each other. The texts are read in one pass, the
+    recipes, about one identifier per two thousand characters, are written once,
+    checked and joined with their groups; hot groups are counted before the
+    shuffle and split by AQE in the join.
     """
     p = prefix
     full = with_recipe(docs, text, p)
-    mixed = written(mixed_identifiers(full.select(f"{p}recipe", f"{p}chunks"), p))
-    rows = full.drop(f"{p}chunks", *([] if with_text else [text]))
+    rows = written(full.drop(f"{p}chunks", *([] if with_text else [text])))
+    mixed = written(mixed_recipes(rows, p))
     key = f"{p}key"
-    # Outside the rare mixed identifiers the second part of the key is empty.
+    # Outside the rare mixed recipes the second part of the key is empty.
     if mixed.isEmpty():
         rows = rows.withColumn(key, F.struct(F.col(f"{p}recipe").alias("r"), F.lit("").alias("s")))
     else:
-        bad = (
-            rows.select(F.col(f"{p}recipe").alias("r")).distinct()
-            .select("r", F.explode("r").alias("id")).join(mixed, "id", "left_semi").select("r").distinct()
-            .withColumn("bad", F.lit(True))
-        )
-        rows = join_back(rows.withColumn("r", F.col(f"{p}recipe")), bad, ["r"], "left")
+        rows = join_back(rows.withColumn("r", F.col(f"{p}recipe")), mixed.withColumn("bad", F.lit(True)), ["r"], "left")
         rows = rows.withColumn(
             key,
             F.struct(F.col("r"), F.when(F.col("bad"), F.col(f"{p}text_sha256")).otherwise(F.lit("")).alias("s")),
         ).drop("r", "bad")
-    rows = written(rows.drop(f"{p}recipe"))
+    rows = rows.drop(f"{p}recipe")
     groups = rows.groupBy(key).agg(
         F.max(doc_id).alias(f"{p}keep_id"), F.count(F.lit(1)).alias(f"{p}group_size")
     )

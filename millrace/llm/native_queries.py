@@ -26,7 +26,7 @@ _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'
     """
 )
 def op5_exact_dedup(t) -> DataFrame:
-    found = duplicates(t.documents.select("doc_id", "text"))
+    found = duplicates(t.documents.select("doc_id", "text"), with_text=False)
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -289,3 +289,13 @@ def test_tables_of_copies_hold_no_texts(spark, docs, monkeypatch):
     monkeypatch.setattr(chunk_dedup, "written", lambda df: tables.append(df.columns) or real(df))
     assert chunk_dedup.drop_copies(docs).columns == docs.columns
     assert len(tables) == 3 and not any("text" in t for t in tables)
+
+
+def test_texts_are_cut_into_chunks_once(spark, monkeypatch):
+    """One of the written tables is made from the texts, the others from it; no text or chunk is shuffled."""
+    plans, real = [], chunk_dedup.written
+    monkeypatch.setattr(chunk_dedup, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    result = chunk_dedup.duplicates(spark.createDataFrame([(1, "a"), (2, "A")], "doc_id bigint, text string"), with_text=False)
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    cut = [p for p in plans if "regexp_extract_all" in p]
+    assert len(cut) == 1 and "Exchange" not in cut[0]
