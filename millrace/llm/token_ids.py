@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+import string
+import sys
 from array import array
 
 # Words, and pieces of words, kept with their ids in each of two generations.
 KEPT = 300_000
-# Signs that end a word: behind a letter or digit a run of them at a word's end is encoded apart.
-_TAIL = ".,;:!?"
+# Marks: behind a letter or digit a run of them at a word's end is encoded apart.
+_TAIL = string.punctuation
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -77,53 +79,48 @@ class TokenIds:
         how = parts["pre_tokenizer"] or {}
         self.cuts = how.get("type") == "ByteLevel" and how.get("use_regex") and not how.get("add_prefix_space") and not parts["normalizer"]
         self.marks = _Kept(self._whole)
-        self.first = _Kept(lambda word: self._word(word, ""))
-        self.later = _Kept(lambda word: self._word(word, " "))
+        self.first, self.later = self._words(""), self._words(" ")
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _letters(self, word: str, before: str) -> bytes:
-        """Ids of a word of letters; only Latin ones are surely letters to the pattern as well."""
-        if word.isascii():
-            signs = f"{_SPACE}{word}" if before else word
-        elif max(word) <= "\u024f":
-            signs = (before + word).encode().decode("latin-1").translate(_SIGNS)
-        else:
-            return self._whole(before + word)
-        return array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
-
-    def _word(self, word: str, before: str) -> bytes:
-        if word.isalpha():
-            return self._letters(word, before)
-        kept = self.later if before else self.first
-        stem = word.rstrip(_TAIL)
-        if stem.isalpha():
-            return kept[stem] + self.marks[word[len(stem) :]]
-        out = []
-        for n, line in enumerate(word.split("\n")):
-            if not line or line[0].isspace() or line[-1].isspace():
+    def _words(self, before: str) -> _Kept:
+        """The ids of words that have ``before`` in front of them."""
+        tokenize, whole, marks = self.model.tokenize, self._whole, self.marks
+        ids = [n.to_bytes(4, sys.byteorder) for n in range(self.tokenizer.get_vocab_size())]
+        lead = _SPACE if before else ""
+
+        def make(word: str) -> bytes:
+            # Only Latin letters are surely letters to the pattern as well.
+            if word.isalpha():
+                if word.isascii():
+                    return b"".join([ids[t.id] for t in tokenize(lead + word)])
+                if max(word) <= "\u024f":
+                    return b"".join([ids[t.id] for t in tokenize((before + word).encode().decode("latin-1").translate(_SIGNS))])
+                return whole(before + word)
+            stem = word.rstrip(_TAIL)
+            if stem.isalpha():
+                return kept[stem] + marks[word[len(stem) :]]
+            if not word or word[0].isspace() or word[-1].isspace():
                 raise _Apart
-            if n:
-                out.append(self.marks["\n"])
-                before, kept = "", self.first
-            stem = line.rstrip(_TAIL)
-            if stem and stem[-1].isalnum() and stem != word:
-                out.append(kept[stem])
-                if len(stem) < len(line):
-                    out.append(self.marks[line[len(stem) :]])
-            else:
-                out.append(self._whole(before + line))
-        return b"".join(out)
+            if stem and stem != word and stem[-1].isalnum():
+                return kept[stem] + marks[word[len(stem) :]]
+            return whole(before + word)
+
+        kept = _Kept(make)
+        return kept
+
+    def _line(self, line: str) -> bytes:
+        word, space, rest = line.partition(" ")
+        if not space:
+            return self.first[word]
+        return self.first[word] + b"".join(map(self.later.__getitem__, rest.split(" ")))
 
     def __call__(self, text: str) -> bytes:
         if not text or not self.cuts or any(s in text for s in self.special):
             return self._whole(text)
-        word, _, rest = text.partition(" ")
         try:
-            if not rest and word == text:
-                return self.first[text]
-            return self.first[word] + b"".join(map(self.later.__getitem__, rest.split(" ")))
+            return self.marks["\n"].join(map(self._line, text.split("\n")))
         except _Apart:
             return self._whole(text)
 

@@ -302,3 +302,14 @@ def test_ids_beyond_16_bits_take_four_bytes(spark, tmp_path):
 
 def test_batches_hold_everything():
     assert [(a, len(b)) for a, b in tf._in_batches([b"x" * tf.BATCH_BYTES, b"y", b"z"])] == [(0, 1), (1, 2)]
+
+
+def test_words_before_marks_and_line_ends_go_to_the_model(monkeypatch):
+    """Only marks and line ends pass through the whole tokenizer, and words are kept without the line before them."""
+    seen, real = [], TokenIds._whole
+    monkeypatch.setattr(TokenIds, "_whole", lambda self, text: seen.append(text) or real(self, text))
+    to_ids = TokenIds(tokenizer_file())
+    text = "Alpha beta### gamma.\nDelta$$$ épsilon%%%\nzeta_ it's"
+    assert to_ids(text) == real(to_ids, text)
+    assert not [s for s in seen if any(c.isalpha() for c in s) and s != " it's"]
+    assert "gamma.\nDelta" not in " ".join(to_ids.later)
