@@ -146,7 +146,7 @@ def fx_table(rates: DataFrame, dates: DataFrame, currencies: DataFrame) -> DataF
     )
 
 
-def _as_wide(c: Column, other: T.DataType) -> Column:
+def as_wide(c: Column, other: T.DataType) -> Column:
     """The column in the type in which it compares with ``other``; hashes differ between types."""
     return F.coalesce(c, F.lit(None).cast(other))
 
@@ -161,8 +161,8 @@ def join_back(parent: DataFrame, child: DataFrame, keys: Sequence[str], how: str
     shuffled once more, and hot keys are split.
     """
     marked = child.select(*[F.col(c) if c not in keys else F.col(c).alias(f"__{c}") for c in child.columns])
-    marked = marked.withColumn("__hash", F.xxhash64(*[_as_wide(F.col(f"__{k}"), parent.schema[k].dataType) for k in keys]))
-    hashed = F.xxhash64(*[_as_wide(parent[k], child.schema[k].dataType) for k in keys])
+    marked = marked.withColumn("__hash", F.xxhash64(*[as_wide(F.col(f"__{k}"), parent.schema[k].dataType) for k in keys]))
+    hashed = F.xxhash64(*[as_wide(parent[k], child.schema[k].dataType) for k in keys])
     cond = _all([hashed == marked["__hash"], *[parent[k] == marked[f"__{k}"] for k in keys]])
     return parent.join(marked, cond, how).drop("__hash", *[f"__{k}" for k in keys])
 
@@ -202,11 +202,47 @@ def already_loaded(df: DataFrame, target: DataFrame, keys: Sequence[str], null_a
 
     side = target.select(*[norm(target, k).alias(f"__{k}") for k in keys]).distinct()
     typed = df.select(*[norm(df, k).alias(k) for k in keys]).schema
-    side = side.withColumn("__hash", F.xxhash64(*[_as_wide(F.col(f"__{k}"), typed[k].dataType) for k in keys]))
-    hashed = F.xxhash64(*[_as_wide(norm(df, k), side.schema[f"__{k}"].dataType) for k in keys]) == side["__hash"]
+    side = side.withColumn("__hash", F.xxhash64(*[as_wide(F.col(f"__{k}"), typed[k].dataType) for k in keys]))
+    hashed = F.xxhash64(*[as_wide(norm(df, k), side.schema[f"__{k}"].dataType) for k in keys]) == side["__hash"]
     return df.join(side, _all([hashed, *[norm(df, k) == side[f"__{k}"] for k in keys]]), "left_semi")
 
 
+# Bits of a hashed key set: 16 to a key, up to 32 MB, in blocks of 4 KB.
+KEY_BITS, MOST_KEY_BITS, BLOCK_BITS = 16, 1 << 28, 1 << 15
+
+
+def maybe_in(df: DataFrame, other: DataFrame, key: str, other_rows: int, into: str) -> DataFrame:
+    """Add a boolean column that is false for rows whose key is surely not in ``other``.
+
+    ``other``'s keys are hashed into bits that go to all tasks, a few megabytes
+    whatever its size: with 16 bits a key at most one other row in 16 passes; a
+    set that is too large for this lets more rows pass, never fewer. NULL is in no set.
+    """
+    bits = min(MOST_KEY_BITS, max(BLOCK_BITS, 1 << (KEY_BITS * other_rows - 1).bit_length()))
+
+    def at(frame: DataFrame, like: DataFrame) -> Column:
+        return F.xxhash64(as_wide(F.col(key), like.schema[key].dataType)).bitwiseAND(F.lit(bits - 1))
+
+    def block(place: Column) -> Column:
+        return F.shiftright(place, 15).cast("int")
+
+    # Words of 64 bits whose first byte is the highest: bit p of a block is bit (p % 64) ^ 56 of its word.
+    def word(i: Column) -> Column:
+        half = lambda k: F.conv(F.hex(F.substring(F.col("__bytes"), i * 8 + 4 * k + 1, F.lit(4))), 16, 10).cast("long")
+        return F.shiftleft(half(0), 32).bitwiseOR(half(1))
+
+    place = at(other, df)
+    held = other.filter(F.col(key).isNotNull()).groupBy(block(place).alias("__block")).agg(
+        F.bitmap_construct_agg(place.bitwiseAND(F.lit(BLOCK_BITS - 1))).alias("__bytes")
+    )
+    words = held.select("__block", F.transform(F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1)), word).alias("__words"))
+    mine = at(df, other)
+    joined = df.withColumn("__at", F.when(F.col(key).isNotNull(), mine)).join(F.broadcast(words), block(F.col("__at")) == F.col("__block"), "left")
+    its = F.get(F.col("__words"), F.shiftright(F.col("__at").bitwiseAND(F.lit(BLOCK_BITS - 1)), 6).cast("int"))
+    bit = F.call_function("bit_get", its, F.col("__at").bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)).cast("int"))
+    return joined.withColumn(into, F.coalesce(bit == 1, F.lit(False))).select(*df.columns, into)
+
+
 def matched_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join that keeps matched rows only, i.e. an inner join."""
     return a.join(b, list(keys), "inner")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import surrogate_key
-from millrace.operators.joins import double_lookup, join_back
+from millrace.operators.joins import double_lookup, join_back, maybe_in
 from millrace.operators.windows import pick_first
 
 # The operations of a change log, weakest first. On equal sequence
@@ -67,11 +67,23 @@ def net_change(
     return kept.select(*columns).unionByName(live.select(*columns))
 
 
-def set_flag(target: DataFrame, matched: DataFrame, key: str, flag: str) -> DataFrame:
-    """Set ``flag`` on rows whose key is in ``matched``; nothing else changes."""
-    hits = matched.select(key).distinct().withColumn("__hit", F.lit(True))
-    joined = join_back(target, hits, [key], "left")
-    return joined.withColumn(flag, F.coalesce("__hit", F.col(flag))).select(*target.columns)
+def set_flag(target: DataFrame, matched: DataFrame, key: str, flag: str, matched_rows: int | None = None) -> DataFrame:
+    """Set ``flag`` on rows whose key is in ``matched``; nothing else changes.
+
+    ``matched_rows``, where their number is known, spares the other rows the
+    join: those that ``joins.maybe_in`` rules out are not shuffled and stay in their
+    order. Both tables are then read twice.
+    """
+    def flagged(rows: DataFrame) -> DataFrame:
+        hits = matched.select(key).distinct().withColumn("__hit", F.lit(True))
+        joined = join_back(rows, hits, [key], "left")
+        return joined.withColumn(flag, F.coalesce("__hit", F.col(flag))).select(*target.columns)
+
+    if matched_rows is None:
+        return flagged(target)
+    seen = maybe_in(target, matched, key, matched_rows, "__seen")
+    rest, mine = (seen.filter(c).select(*target.columns) for c in (~F.col("__seen"), F.col("__seen")))
+    return rest.unionByName(flagged(mine))
 
 
 def qualify(

@@ -11,15 +11,15 @@ keys of a task in memory and save nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.money import money
-from millrace.operators.joins import already_loaded
+from millrace.operators.joins import already_loaded, as_wide
 from millrace.operators.nested import present
 
 
@@ -211,6 +211,83 @@ def _one_pass(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     return _report(per_key.agg(*finals), table, entries)
 
 
+# Rows of both sides that share a bucket of key marks, on average.
+BUCKET_ROWS = 16_384
+# Buckets that are looked at again are named in a filter; where there are more, the whole tables are.
+MOST_BUCKETS = 4_096
+
+
+def failed_checks(df: DataFrame, checks: Sequence[Check], table: str) -> list:
+    """What ``failures(check_report(...))`` gives, collected; for stored tables, which are read several times.
+
+    Runs jobs, one after the other, so that their shuffle files need not be on
+    disk together. Keys that must not come again are first told apart by marks
+    (``_doubtful``), 4 bytes a row on the way; only the buckets of marks in which
+    a key may come twice go through the report, with all their rows.
+    """
+    found: list[tuple[int, object]] = []
+
+    def report(rows: DataFrame, numbered: list[tuple[int, Check]]) -> None:
+        """Entries come in the order of ``check_report``: checks against a target last."""
+        ordered = sorted(numbered, key=lambda x: isinstance(x[1], NotInTarget))
+        found.extend(zip([i for i, _ in ordered], check_report(rows, [c for _, c in ordered], table).collect()))
+
+    numbered = list(enumerate(checks))
+    if rest := [(i, c) for i, c in numbered if not isinstance(c, (Unique, NotInTarget))]:
+        report(df, rest)
+    unique = [(i, c) for i, c in numbered if isinstance(c, Unique)]
+    n = df.count() if len(rest) < len(numbered) else 0
+    for i, c in [x for x in numbered if isinstance(x[1], NotInTarget)]:
+        with_it = [x for x in unique if tuple(x[1].cols) == tuple(c.keys)]
+        unique = [x for x in unique if x not in with_it]
+        rows, target = _doubtful(df, n, c.keys, bool(with_it), c.target, dict(c.null_as))
+        if rows is not None:
+            report(rows, [*with_it, (i, replace(c, target=target))])
+    for cols in dict.fromkeys(tuple(c.cols) for _, c in unique):
+        rows, _ = _doubtful(df, n, cols, True)
+        if rows is not None:
+            report(rows, [x for x in unique if tuple(x[1].cols) == cols])
+    return [row for _, row in sorted(found, key=lambda x: x[0]) if row.error_code > 0]
+
+
+def _doubtful(df: DataFrame, n: int, keys: Sequence[str], within: bool, target: DataFrame | None = None,
+              null_as: Mapping[str, object] | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of ``df`` and of ``target`` whose key may come twice (``within``) in ``df`` or be in ``target``; (None, None) where there are none.
+
+    A hash of the key is cut into a bucket and a mark of 32 bits. A task hands on
+    the different marks of a bucket as one array, and a bucket is in doubt where
+    ``df`` has fewer marks than rows, or a mark that ``target`` has as well.
+    Equal keys have equal marks, so none is missed; different ones share a mark
+    in about one bucket of 40. ``n`` is the number of rows of ``df``.
+    """
+    null_as = null_as or {}
+    total = n + (target.count() if target is not None else 0)
+    buckets = -(-total // BUCKET_ROWS) or 1
+
+    def marks(frame: DataFrame, other: DataFrame) -> tuple[Column, Column]:
+        def norm(f: DataFrame) -> list[Column]:
+            return [F.coalesce(F.col(k), F.lit(null_as[k])) if k in null_as else F.col(k) for k in keys]
+
+        types = [f.dataType for f in other.select(*[c.alias(f"_{i}") for i, c in enumerate(norm(other))]).schema]
+        hashed = F.xxhash64(*[as_wide(c, t) for c, t in zip(norm(frame), types)])
+        return F.pmod(hashed.bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int"), F.shiftright(hashed, 32).cast("int")
+
+    none = F.lit(None).cast("int")
+    bucket, mark = marks(df, df if target is None else target)
+    rows = df.select(bucket.alias("b"), mark.alias("n"), none.alias("t"))
+    if target is not None:
+        there, its = marks(target, df)
+        rows = rows.unionAll(target.select(there.alias("b"), none.alias("n"), its.alias("t")))
+    twice = F.size("n") < F.col("c") if within else F.lit(False)
+    per_bucket = rows.groupBy("b").agg(F.count("n").alias("c"), F.collect_set("n").alias("n"), F.collect_set("t").alias("t"))
+    doubt = [r.b for r in per_bucket.filter(twice | (F.size(F.array_intersect("n", "t")) > 0)).select("b").collect()]
+    if not doubt:
+        return None, None
+    if len(doubt) > min(buckets // 8, MOST_BUCKETS):
+        return df, target
+    return df.filter(bucket.isin(doubt)), None if target is None else target.filter(there.isin(doubt))
+
+
 def union_reports(*reports: DataFrame) -> DataFrame:
     """One report out of several."""
     return reduce(DataFrame.unionByName, reports)

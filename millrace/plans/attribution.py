@@ -18,9 +18,12 @@ from millrace.operators.windows import pick_first
 
 STAY_KEY = ("confo_num_orig_id", "confo_num_curr_id", "date_create_key", "property_cd", "arrival_dt")
 SHARE_KEY = ("confo_num_orig_id", "confo_num_curr_id", "date_create_key", "arrival_dt")
+BOOKING = ("confo_num_orig_id", "date_create_key")
 RECORD_KEY = (*SHARE_KEY, "market_cd", "camp_source_abrv_txt", "atrb_id")
 # Accepted source prefixes.
 PREFIXES = ("AFF", "PAI", "REF")
+# Rows of one booking that a task takes without harm.
+BOOKING_ROWS = 500_000
 
 
 def collapse_stays(stays: DataFrame) -> DataFrame:
@@ -31,22 +34,38 @@ def collapse_stays(stays: DataFrame) -> DataFrame:
     )
 
 
-def match_stays(stays: DataFrame, allocations: DataFrame, load_ts: dt.datetime | Column) -> DataFrame:
+def small_bookings(df: DataFrame) -> bool:
+    """No booking has more than ``BOOKING_ROWS`` rows. Runs a job over the booking columns.
+
+    Rows are counted by a hash of the booking, so a table of very many rows may
+    be taken for one with large bookings.
+    """
+    found = df.select(*BOOKING).dropna().groupBy(F.pmod(F.xxhash64(*BOOKING), F.lit(16_384))).agg(F.count(F.lit(1)).alias("n"))
+    return (found.agg(F.max("n").alias("n")).first().n or 0) <= BOOKING_ROWS
+
+
+def match_stays(stays: DataFrame, allocations: DataFrame, load_ts: dt.datetime | Column, by_booking: bool = False) -> DataFrame:
     """Stays with their allocations, shares summed per three-letter source.
 
     Collapsed stays are unique, so summing allocations per (booking, source, id)
     before the join gives the same rows as grouping the joined rows by all stay
     columns, with one small aggregate instead of one over the join result.
+
+    ``by_booking`` deals both sides by booking once, where each would be shuffled
+    for its grouping and again for the join. A booking is then in one task: for
+    inputs of which ``small_bookings`` is true.
     """
+    if by_booking:
+        stays, allocations = stays.repartition(*BOOKING), allocations.repartition(*BOOKING)
     shares = attribute_amounts(
         allocations,
-        ["confo_num_orig_id", "date_create_key", "atrb_id"],
+        [*BOOKING, "atrb_id"],
         "camp_source_drvd_txt",
         "atrb_amt",
         "atrb_allocation_key",
         "camp_source_abrv_txt",
     )
-    joined = collapse_stays(stays).join(shares, ["confo_num_orig_id", "date_create_key"])
+    joined = collapse_stays(stays).join(shares, list(BOOKING))
     ts = load_ts if isinstance(load_ts, Column) else F.lit(load_ts)
     return joined.select(
         surrogate_key("atrb_allocation_key", "atrb_stay_key").alias("atrb_key"),
@@ -135,9 +154,9 @@ def flag_qualified(match: DataFrame, agencies: DataFrame, prefixes: Sequence[str
     return marked.withColumn("flag", F.col("flag") | hit).select(*match.columns)
 
 
-def flag_daily(match: DataFrame, daily: DataFrame) -> DataFrame:
-    """Match table with the flag set on rows that went into the daily table."""
-    return set_flag(match, daily, "atrb_key", "flag")
+def flag_daily(match: DataFrame, daily: DataFrame, daily_rows: int | None = None) -> DataFrame:
+    """Match table with the flag set on rows that went into the daily table; ``daily_rows`` is their number, if known."""
+    return set_flag(match, daily, "atrb_key", "flag", daily_rows)
 
 
 @dataclass(frozen=True)

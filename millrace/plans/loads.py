@@ -19,8 +19,9 @@ from millrace.functions.dates import text_date
 from millrace.functions.money import implied_decimals
 from millrace.operators.maintain import audit_row, batch_date, dedup, upsert
 from millrace.operators.project import select_as
-from millrace.operators.quality import Check, ChecksFailed, NoNulls, Unique, check_report, failures, publish_if_clean
+from millrace.operators.quality import Check, ChecksFailed, NoNulls, Unique, check_report, failed_checks, failures, publish_if_clean
 from millrace.plans import attribution as attr
+from millrace.session import CLEANUP, setting
 from millrace.sinks import tables
 from millrace.sources.files import CORRUPT, corrupt_counts, enforce_reject_limit, parse_json, quarantine, read_delimited
 from millrace.sources.tables import read_jdbc
@@ -82,13 +83,23 @@ class GatedLoad:
     mode: str = "overwrite"
 
     def stage(self, staged: DataFrame, ts: dt.datetime) -> list:
-        """Write the replica and return the checks that failed on it."""
+        """Write the replica and return the checks that failed on it.
+
+        The last run's replica makes room first: two of them need not be on disk.
+        """
+        spark = staged.sparkSession
+        tables.recover(spark, self.replica)
+        if spark.catalog.tableExists(self.replica) and not {*spark.table(self.replica).inputFiles()} & {*staged.inputFiles()}:
+            tables.truncate(spark, self.replica)
         tables.rewrite(staged.withColumn("dw_load_ts", F.lit(ts).cast("timestamp")), self.replica)
-        replica = staged.sparkSession.table(self.replica)
-        return failures(check_report(replica, self.checks, self.replica)).collect()
+        with setting(spark, *CLEANUP):
+            return failed_checks(spark.table(self.replica), self.checks, self.replica)
 
-    def publish(self, df: DataFrame, ts: dt.datetime, batch_dt: Column | dt.date) -> None:
-        """Write ``df`` to the target, its audit row, and the target's statistics."""
+    def publish(self, df: DataFrame, ts: dt.datetime, batch_dt: Column | dt.date, audited: DataFrame | None = None) -> None:
+        """Write ``df`` to the target, its audit row, and the target's statistics.
+
+        ``audited`` has the same rows and load times as ``df`` where it is costly to make again.
+        """
         if self.mode == "overwrite":
             tables.rewrite(df, self.target)
         elif self.mode == "append":
@@ -97,7 +108,7 @@ class GatedLoad:
             tables.overwrite_partitions(df.withColumn(LOAD_DAY, F.lit(ts.date())), self.target, [LOAD_DAY])
         else:
             raise ValueError(f"unknown mode: {self.mode}")
-        row = audit_row(df, self.target.upper(), batch_dt, self.sys_id, ts)
+        row = audit_row(df if audited is None else audited, self.target.upper(), batch_dt, self.sys_id, ts)
         if self.mode == "day" and df.sparkSession.catalog.tableExists(self.audit):
             # The key is made of table and load time: the row of a repeated run is there already.
             row = row.join(df.sparkSession.table(self.audit).select("audit_key"), "audit_key", "left_anti").select(row.columns)
@@ -221,18 +232,20 @@ def load_attribution(
     match_load = GatedLoad(
         match_table, f"{match_table}__repl", audit, sys_id, attr.match_checks(other_days(spark, match_table, day)), "day"
     )
-    failed = match_load.stage(attr.match_stays(stays, allocations, F.lit(ts)).drop("dw_load_ts"), ts)
-    if failed:
-        return LoadResult(failed), LoadResult(failed)
-    match = spark.table(match_load.replica)
-    daily_load = GatedLoad(
-        daily_table, f"{daily_table}__repl", audit, sys_id, attr.daily_checks(other_days(spark, daily_table, day)), "day"
-    )
-    failed = daily_load.stage(attr.qualified_rows(match, agencies).drop("dw_load_ts"), ts)
-    daily = spark.table(daily_load.replica)
-    match_load.publish(match if failed else attr.flag_daily(match, daily), ts, day)
-    if not failed:
-        daily_load.publish(daily, ts, day)
+    with setting(spark, *CLEANUP):
+        by_booking = attr.small_bookings(stays) and attr.small_bookings(allocations)
+        failed = match_load.stage(attr.match_stays(stays, allocations, F.lit(ts), by_booking).drop("dw_load_ts"), ts)
+        if failed:
+            return LoadResult(failed), LoadResult(failed)
+        match = spark.table(match_load.replica)
+        daily_load = GatedLoad(
+            daily_table, f"{daily_table}__repl", audit, sys_id, attr.daily_checks(other_days(spark, daily_table, day)), "day"
+        )
+        failed = daily_load.stage(attr.qualified_rows(match, agencies).drop("dw_load_ts"), ts)
+        daily = spark.table(daily_load.replica)
+        match_load.publish(match if failed else attr.flag_daily(match, daily, daily.count()), ts, day, match)
+        if not failed:
+            daily_load.publish(daily, ts, day)
     return LoadResult(), LoadResult(failed)
 
 

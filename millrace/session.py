@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Deletes the shuffle files of a job at its end, not when the driver happens to collect
+# its garbage; Spark reads it when the job is planned. For jobs whose frame is not run again.
+CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Set a key of the session for as long as the block lasts."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def build_session(app: str = "millrace", master: str | None = None, **settings: str) -> SparkSession:
     """Create a session; ``master`` is left to spark-submit unless given."""
     builder = SparkSession.builder.appName(app)

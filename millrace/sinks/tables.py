@@ -7,27 +7,17 @@ per table is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import CLEANUP, setting
 
 # Text keys such as md5 take half the space that the default codec gives them.
 CODEC = ("spark.sql.parquet.compression.codec", "zstd")
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(table)
 
@@ -177,7 +167,7 @@ def rewrite(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Seque
             parts = [c for c in partition_columns(spark, table) if c in df.columns]
     drop(spark, rebuilt)
     writer = df.write.format(fmt)
-    with _setting(spark, *CODEC):
+    with setting(spark, *CODEC), setting(spark, *CLEANUP):
         (writer.partitionBy(*parts) if parts else writer).saveAsTable(rebuilt)
     _set_properties(spark, rebuilt, kept)
     swap(spark, rebuilt, table)
@@ -195,7 +185,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
     spark = df.sparkSession
     recover(spark, table)
     if not spark.catalog.tableExists(table):
-        with _setting(spark, *CODEC):
+        with setting(spark, *CODEC), setting(spark, *CLEANUP):
             df.write.format(fmt).partitionBy(*partition_by).saveAsTable(table)
         return
     if partition_columns(spark, table) != list(partition_by):
@@ -203,7 +193,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
     target = spark.table(table).schema
     out = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target])
     # Inserts read the session alone.
-    with _setting(spark, *CODEC), _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, *CODEC), setting(spark, *CLEANUP), setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         out.write.insertInto(table, overwrite=True)
 
 

@@ -1,4 +1,6 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +166,47 @@ def test_flag_in_one_pass_equals_flag_by_join(spark):
     assert a.flagged.filter("flag").count() == a.daily.count() > 0
 
 
+def shuffle_files(spark):
+    """Shuffle files that are on disk now."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {str(f) for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+
+def test_a_load_leaves_no_shuffle_files(spark, clean):
+    before = shuffle_files(spark)
+    first, second = run_attribution(spark, 50)
+    assert first.published and second.published
+    for _ in range(50):  # they are deleted beside the job
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_the_last_replica_makes_room_unless_the_new_one_is_made_of_it(spark, clean):
+    load = L.GatedLoad("ld_dim", "ld_repl", "ld_audit", "SYS", [Q.NotEmpty()])
+    assert load.run(staged(spark, [("A", "1", "x"), ("A", "2", "y")]), TS, TS.date()).published
+    assert load.run(spark.table("ld_repl").filter("cc_key = '2'"), TS, TS.date()).published
+    assert spark.table("ld_dim").count() == spark.table("ld_repl").count() == 1
+
+
+def test_matching_by_booking_gives_the_same_rows(spark, monkeypatch):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    both = cat.stays(t), cat.allocations(t)
+    apart, dealt = (P.match_stays(*both, TS, x) for x in (False, True))
+    assert sorted(map(str, apart.collect())) == sorted(map(str, dealt.collect()))
+    with L.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        apart, dealt = (P.match_stays(*both, TS, x) for x in (False, True))
+        exchanges = [x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in (apart, dealt)]
+    assert exchanges[1] == 2 < exchanges[0]
+    stays = attribution_inputs(spark, 50)[0]
+    missing = stays.unionAll(stays.withColumn("confo_num_orig_id", F.lit(None).cast("bigint")))
+    monkeypatch.setattr(P, "BOOKING_ROWS", 2)
+    assert P.small_bookings(missing) and P.small_bookings(stays.limit(0))
+    monkeypatch.setattr(P, "BOOKING_ROWS", 1)
+    assert not P.small_bookings(stays)
+
+
 def test_load_delimited(spark, tmp_path):
     from millrace.sources.files import RejectLimitExceeded
 

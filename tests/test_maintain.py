@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from millrace.functions.keys import surrogate_key
+from millrace.operators import joins as J
 from millrace.operators import maintain as M
 from millrace.operators import reconcile as R
 
@@ -74,6 +75,19 @@ def test_trap_14_flag_update_loses_no_rows(spark):
     assert got(M.set_flag(t, m, "k", "flag")) == [(1, True, OLD), (2, True, OLD), (3, False, OLD)]
 
 
+@pytest.mark.parametrize("bits_a_key", [16, 1])
+def test_flags_are_the_same_where_the_number_of_rows_is_known(spark, monkeypatch, bits_a_key):
+    monkeypatch.setattr(J, "KEY_BITS", bits_a_key)
+    target = spark.range(60_000).selectExpr("if(id % 1000 = 0, null, md5(cast(id div 2 as string))) as k", "id % 7 = 0 as flag", "id")
+    matched = spark.range(0, 30_000, 10).selectExpr("md5(cast(id as string)) as k").unionAll(spark.sql("select cast(null as string) as k"))
+    by_id = lambda df: {r.id: (r.k, r.flag) for r in df.collect()}
+    for rows in (matched, matched.limit(0)):
+        told = M.set_flag(target, rows, "k", "flag", rows.count())
+        assert by_id(told) == by_id(M.set_flag(target, rows, "k", "flag")) and told.count() == 60_000
+    passed = J.maybe_in(target, matched, "k", matched.count(), "seen").filter("seen").count()
+    assert passed < 60_000 * (0.2 if bits_a_key == 16 else 0.8)
+
+
 def test_trap_15_key_parts_are_separated(spark):
     df = spark.createDataFrame([(1, 23), (12, 3), (None, 3)], "a INT, b INT")
     for algo in ("md5", "sha2", "xxhash64"):

@@ -63,6 +63,39 @@ def test_null_safe_target_match(spark):
     assert report(df, [Q.NotInTarget(df, ("k", "s"), "E")]) == {"E": (1, 1)}
 
 
+@pytest.mark.parametrize("per_bucket", [16_384, 50])
+def test_failed_checks_are_those_of_the_report(spark, monkeypatch, per_bucket):
+    """Also where only some buckets of key marks are looked at again."""
+    monkeypatch.setattr(Q, "BUCKET_ROWS", per_bucket)
+    rows = spark.range(20_000).selectExpr(
+        "if(id = 7, 8, id) as k", "if(id % 5000 = 3, null, cast(id % 9000 as string)) as s", "cast(id % 100 as decimal(9,2)) as amt", "cast(id as string) as u"
+    )
+    target = spark.range(19_990, 20_990).selectExpr("cast(id as int) as k", "if(id = 19990, '', cast(id % 9000 as string)) as s", "cast(null as string) as u")
+    checks = [
+        Q.NotInTarget(target, ("k",), "K_EXISTS"),
+        Q.Unique(("k",), "K"),
+        Q.Unique(("s",), "S"),
+        Q.NotEmpty(),
+        Q.NotInTarget(target, ("s",), "S_EXISTS", (("s", ""),)),
+        Q.NotInTarget(target, ("u",), "U_EXISTS"),
+        Q.Unique(("u",), "U"),
+        Q.Unique(("k", "s"), "KS"),
+        Q.NoNulls(("s",), "NULL_S"),
+        Q.SumsTo(("k",), "amt", 100, "SUM"),
+    ]
+    seen = []
+    monkeypatch.setattr(Q, "check_report", lambda df, some, table, whole=Q.check_report: seen.append((df, some)) or whole(df, some, table))
+    got = {r.error_abv: r.row_cnt for r in Q.failed_checks(rows, checks, "t")}
+    want = {r.error_abv: r.row_cnt for r in Q.failures(Q.check_report(rows, checks, "t")).collect()}
+    assert got == want and {"K", "S", "K_EXISTS", "S_EXISTS", "SUM", "NULL_S"} == set(got) and got["K_EXISTS"] == 10
+    for df, some in seen[:-1]:
+        if any(c.code == "K_EXISTS" for c in some):
+            assert (df.count() < 10_000) == (per_bucket == 50)
+    none = rows.limit(0)
+    assert [r.error_abv for r in Q.failed_checks(none, checks, "t")] == ["NO_RECORDS_LOADED"]
+    assert [r.error_abv for r in Q.failed_checks(rows, checks[:3], "t")] == ["K_EXISTS", "K", "S"]
+
+
 def test_trap_10_failed_gate_leaves_target(shares):
     written = []
     failed = Q.publish_if_clean(shares, Q.check_report(shares, [Q.Unique(("k",))], "t"), written.append)
