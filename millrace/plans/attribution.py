@@ -22,8 +22,9 @@ BOOKING = ("confo_num_orig_id", "date_create_key")
 RECORD_KEY = (*SHARE_KEY, "market_cd", "camp_source_abrv_txt", "atrb_id")
 # Accepted source prefixes.
 PREFIXES = ("AFF", "PAI", "REF")
-# Rows of one booking that a task takes without harm.
+# Rows of one booking that a task takes without harm, and rows that one should have to sort.
 BOOKING_ROWS = 500_000
+PART_ROWS = 100_000
 
 
 def collapse_stays(stays: DataFrame) -> DataFrame:
@@ -34,29 +35,36 @@ def collapse_stays(stays: DataFrame) -> DataFrame:
     )
 
 
-def small_bookings(df: DataFrame) -> bool:
-    """No booking has more than ``BOOKING_ROWS`` rows. Runs a job over the booking columns.
+def booking_parts(*frames: DataFrame) -> int | None:
+    """Parts to deal the frames by booking; None where a booking may have more than ``BOOKING_ROWS`` rows.
 
-    Rows are counted by a hash of the booking, so a table of very many rows may
-    be taken for one with large bookings.
+    Runs a job over the booking columns of each frame. Rows are counted by a hash
+    of the booking, so a frame of very many rows may be taken for one with large
+    bookings.
     """
-    found = df.select(*BOOKING).dropna().groupBy(F.pmod(F.xxhash64(*BOOKING), F.lit(16_384))).agg(F.count(F.lit(1)).alias("n"))
-    return (found.agg(F.max("n").alias("n")).first().n or 0) <= BOOKING_ROWS
+    most = 0
+    for df in frames:
+        counted = df.select(*BOOKING).dropna().groupBy(F.pmod(F.xxhash64(*BOOKING), F.lit(16_384))).agg(F.count(F.lit(1)).alias("n"))
+        found = counted.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
+        if (found.largest or 0) > BOOKING_ROWS:
+            return None
+        most = max(most, found.rows or 0)
+    return -(-most // PART_ROWS) or 1
 
 
-def match_stays(stays: DataFrame, allocations: DataFrame, load_ts: dt.datetime | Column, by_booking: bool = False) -> DataFrame:
+def match_stays(stays: DataFrame, allocations: DataFrame, load_ts: dt.datetime | Column, parts: int | None = None) -> DataFrame:
     """Stays with their allocations, shares summed per three-letter source.
 
     Collapsed stays are unique, so summing allocations per (booking, source, id)
     before the join gives the same rows as grouping the joined rows by all stay
     columns, with one small aggregate instead of one over the join result.
 
-    ``by_booking`` deals both sides by booking once, where each would be shuffled
-    for its grouping and again for the join. A booking is then in one task: for
-    inputs of which ``small_bookings`` is true.
+    With ``parts``, see ``booking_parts``, both sides are dealt by booking once,
+    where each would be shuffled for its grouping and again for the join. A
+    booking is then in one task.
     """
-    if by_booking:
-        stays, allocations = stays.repartition(*BOOKING), allocations.repartition(*BOOKING)
+    if parts is not None:
+        stays, allocations = stays.repartition(parts, *BOOKING), allocations.repartition(parts, *BOOKING)
     shares = attribute_amounts(
         allocations,
         [*BOOKING, "atrb_id"],

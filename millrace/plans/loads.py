@@ -89,8 +89,9 @@ class GatedLoad:
         """
         spark = staged.sparkSession
         tables.recover(spark, self.replica)
-        if spark.catalog.tableExists(self.replica) and not {*spark.table(self.replica).inputFiles()} & {*staged.inputFiles()}:
-            tables.truncate(spark, self.replica)
+        if spark.catalog.tableExists(self.replica) and spark.catalog.getTable(self.replica).tableType == "MANAGED":
+            if not {*spark.table(self.replica).inputFiles()} & {*staged.inputFiles()}:
+                tables.truncate(spark, self.replica)
         tables.rewrite(staged.withColumn("dw_load_ts", F.lit(ts).cast("timestamp")), self.replica)
         with setting(spark, *CLEANUP):
             return failed_checks(spark.table(self.replica), self.checks, self.replica)
@@ -233,8 +234,8 @@ def load_attribution(
         match_table, f"{match_table}__repl", audit, sys_id, attr.match_checks(other_days(spark, match_table, day)), "day"
     )
     with setting(spark, *CLEANUP):
-        by_booking = attr.small_bookings(stays) and attr.small_bookings(allocations)
-        failed = match_load.stage(attr.match_stays(stays, allocations, F.lit(ts), by_booking).drop("dw_load_ts"), ts)
+        parts = attr.booking_parts(stays, allocations)
+        failed = match_load.stage(attr.match_stays(stays, allocations, F.lit(ts), parts).drop("dw_load_ts"), ts)
         if failed:
             return LoadResult(failed), LoadResult(failed)
         match = spark.table(match_load.replica)

@@ -16,6 +16,8 @@ from millrace.session import CLEANUP, setting
 
 # Text keys such as md5 take half the space that the default codec gives them.
 CODEC = ("spark.sql.parquet.compression.codec", "zstd")
+# Rows that all go to one partition are not sorted by it before they are written.
+UNSORTED = ("spark.sql.maxConcurrentOutputFileWriters", "2")
 
 
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
@@ -185,7 +187,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
     spark = df.sparkSession
     recover(spark, table)
     if not spark.catalog.tableExists(table):
-        with setting(spark, *CODEC), setting(spark, *CLEANUP):
+        with setting(spark, *CODEC), setting(spark, *CLEANUP), setting(spark, *UNSORTED):
             df.write.format(fmt).partitionBy(*partition_by).saveAsTable(table)
         return
     if partition_columns(spark, table) != list(partition_by):
@@ -193,7 +195,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str],
     target = spark.table(table).schema
     out = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target])
     # Inserts read the session alone.
-    with setting(spark, *CODEC), setting(spark, *CLEANUP), setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, *CODEC), setting(spark, *CLEANUP), setting(spark, *UNSORTED), setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         out.write.insertInto(table, overwrite=True)
 
 

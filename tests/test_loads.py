@@ -193,18 +193,28 @@ def test_the_last_replica_makes_room_unless_the_new_one_is_made_of_it(spark, cle
 def test_matching_by_booking_gives_the_same_rows(spark, monkeypatch):
     t = Tables(spark, "/root/testdata/sf0.001")
     both = cat.stays(t), cat.allocations(t)
-    apart, dealt = (P.match_stays(*both, TS, x) for x in (False, True))
-    assert sorted(map(str, apart.collect())) == sorted(map(str, dealt.collect()))
+    found = [sorted(map(str, P.match_stays(*both, TS, parts).collect())) for parts in (None, 1, 5)]
+    assert found[0] == found[1] == found[2]
     with L.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
-        apart, dealt = (P.match_stays(*both, TS, x) for x in (False, True))
-        exchanges = [x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in (apart, dealt)]
-    assert exchanges[1] == 2 < exchanges[0]
+        plans = [P.match_stays(*both, TS, parts)._jdf.queryExecution().executedPlan().toString() for parts in (None, 5)]
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [4, 2]
     stays = attribution_inputs(spark, 50)[0]
     missing = stays.unionAll(stays.withColumn("confo_num_orig_id", F.lit(None).cast("bigint")))
     monkeypatch.setattr(P, "BOOKING_ROWS", 2)
-    assert P.small_bookings(missing) and P.small_bookings(stays.limit(0))
+    assert P.booking_parts(missing) == P.booking_parts(stays.limit(0)) == 1
+    monkeypatch.setattr(P, "PART_ROWS", 2)
+    assert P.booking_parts(stays.limit(0), missing) == 2
     monkeypatch.setattr(P, "BOOKING_ROWS", 1)
-    assert not P.small_bookings(stays)
+    assert P.booking_parts(stays) is None
+
+
+def test_mixed_partitions_are_written_whole(spark, clean):
+    """Rows whose partitions alternate within a task, to a new table and to one that is there."""
+    rows = spark.range(0, 5, numPartitions=1)
+    for i in (1, 2):
+        tables.overwrite_partitions(rows.withColumn("d", F.when(F.col("id") < i, F.lit(dt.date(2024, 1, 2))).otherwise(F.lit(dt.date(2024, 1, 1)))), "ld_keyed", ["d"])
+    assert {(r.id, r.d.day) for r in spark.table("ld_keyed").collect()} == {(0, 2), (1, 2), (2, 1), (3, 1), (4, 1)}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 
 def test_load_delimited(spark, tmp_path):
